@@ -34,7 +34,7 @@ def _plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return round(value, 6) + 0.0
+        return value + 0.0
     if isinstance(value, int):
         return float(value)
     if isinstance(value, datetime.datetime):

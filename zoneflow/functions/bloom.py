@@ -52,10 +52,11 @@ def bloom_contains(ids: DataFrame, column: str, bloom: DataFrame, m: int, k: int
         ).scalar()
 
         def is_set(p: Column) -> Column:
-            word = F.element_at(dense, (F.floor(p / WORD) + 1).cast("int"))
+            word = F.element_at("_words", (F.floor(p / WORD) + 1).cast("int"))
             return F.getbit(word, (p % WORD).cast("int")) == 1
 
-        return ids.withColumn(out, F.forall(positions(F.col(column), m, k), is_set))
+        looked_up = ids.withColumn("_words", dense)
+        return looked_up.withColumn(out, F.forall(positions(F.col(column), m, k), is_set)).drop("_words")
     distinct = ids.select(column).distinct().withColumn("_p", F.explode(positions(F.col(column), m, k)))
     probes = distinct.withColumn("word", (F.col("_p") / WORD).cast("bigint")).join(bloom, "word", "left")
     hit = F.coalesce(F.getbit("bits", (F.col("_p") % WORD).cast("int")) == 1, F.lit(False))

@@ -67,9 +67,9 @@ def network_forecast(state: DataFrame, hour: int, rainfall: float = 0.0) -> Data
         F.col("mean_duration_min"),
     )
     out = state.withColumn("_f", forecast)
-    load = F.round(utilization("_f", "capacity", clipped=True), 1)
+    load = F.bround(utilization("_f", "capacity", clipped=True), 1)
     return (
-        out.withColumn("forecast_occupancy_30m", F.round("_f", 1)).withColumn("forecast_utilization_30m", load)
+        out.withColumn("forecast_occupancy_30m", F.bround("_f", 1)).withColumn("forecast_utilization_30m", load)
         .withColumn("is_risk_hub", F.col("forecast_utilization_30m") >= CRITICAL_PCT).drop("_f")
     )
 

@@ -172,8 +172,8 @@ def best_overflow(state: DataFrame, k: int = 3) -> DataFrame:
             (-F.col("available")).alias("_neg"), F.col("zone_id").alias("zone"), F.col("available").alias("free")
         ))).alias("l")
     ).scalar()
-    others = F.slice(F.filter(leaders, lambda o: o["zone"] != F.col("zone_id")), 1, k)
-    return state.select("zone_id", F.posexplode(others).alias("_pos", "_o")).select(
+    others = F.slice(F.filter("_leaders", lambda o: o["zone"] != F.col("zone_id")), 1, k)
+    return state.select("zone_id", leaders.alias("_leaders")).select("zone_id", F.posexplode(others).alias("_pos", "_o")).select(
         F.col("zone_id").alias("source_zone"), (F.col("_pos") + 1).alias("rank"),
         F.col("_o.zone").alias("target_zone"), F.col("_o.free").alias("available"),
     )

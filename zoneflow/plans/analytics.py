@@ -16,26 +16,26 @@ CLIPPED = f"greatest(0, least(100, {PCT}))"
 
 
 @query("a1_zone_occupancy_summary", sql("""
-    select zone_id, round(avg(occupancy), 6) average_occupancy, max(occupancy) maximum_occupancy,
+    select zone_id, round(avg(occupancy), 9) average_occupancy, max(occupancy) maximum_occupancy,
            min(occupancy) minimum_occupancy, count(*) total_events from ev group by 1"""))
 def _(spark, d):
     return rounded(aggregates.zone_occupancy_summary(sample.events(spark, d)))
 
 
 @query("a2_zone_utilization", sql(f"""
-    select zone_id, round(avg({PCT}), 6) average_utilization, round(max({PCT}), 6) maximum_utilization from ev group by 1"""))
+    select zone_id, round(avg({PCT}), 9) average_utilization, round(max({PCT}), 9) maximum_utilization from ev group by 1"""))
 def _(spark, d):
     return rounded(aggregates.zone_utilization(sample.events(spark, d)))
 
 
 @query("a3_zone_avg_dwell", sql("""
-    select zone_id, round(avg(parking_duration), 6) average_parking_duration_min from ev where event_type = 'EXIT' group by 1"""))
+    select zone_id, round(avg(parking_duration), 9) average_parking_duration_min from ev where event_type = 'EXIT' group by 1"""))
 def _(spark, d):
     return rounded(aggregates.zone_avg_dwell(sample.events(spark, d)))
 
 
 @query("a4_hourly_occupancy", sql("""
-    select hour("timestamp")::int "hour", round(avg(occupancy), 6) avg_occupancy from ev group by 1"""))
+    select hour("timestamp")::int "hour", round(avg(occupancy), 9) avg_occupancy from ev group by 1"""))
 def _(spark, d):
     return rounded(aggregates.hourly_occupancy(sample.events(spark, d)))
 
@@ -55,9 +55,9 @@ _NUMERIC = ["occupancy", "capacity", "parking_duration", "temperature", "rainfal
 
 
 @query("a7_numeric_summary", sql(" union all ".join(f"""
-    select '{c}' "column", count({c}) "count", round(avg({c}), 6) mean, round(stddev_samp({c}), 6) stddev,
-           min({c})::double "min", max({c})::double "max", round(quantile_cont({c}, 0.25), 6) q1,
-           round(quantile_cont({c}, 0.5), 6) median, round(quantile_cont({c}, 0.75), 6) q3 from ev""" for c in _NUMERIC)))
+    select '{c}' "column", count({c}) "count", round(avg({c}), 9) mean, round(stddev_samp({c}), 9) stddev,
+           min({c})::double "min", max({c})::double "max", round(quantile_cont({c}, 0.25), 9) q1,
+           round(quantile_cont({c}, 0.5), 9) median, round(quantile_cont({c}, 0.75), 9) q3 from ev""" for c in _NUMERIC)))
 def _(spark, d):
     return rounded(aggregates.numeric_summary(sample.events(spark, d), _NUMERIC))
 
@@ -109,7 +109,7 @@ trend as (
 
 
 @query("a10_history_trend", sql("""
-    select "timestamp", zone_id, capacity, round(occupancy, 6) occupancy, round(utilization, 6) utilization from trend""", _TREND_SQL))
+    select "timestamp", zone_id, capacity, round(occupancy, 9) occupancy, round(utilization, 9) utilization from trend""", _TREND_SQL))
 def _(spark, d):
     return rounded(history.history_trend(sample.arrivals(spark, d), sample.zones(spark, d)))
 
@@ -124,14 +124,14 @@ win as (
 
 
 @query("t2_zone_window_metrics", sql("""
-    select window_start, window_end, zone_id, round(avg_occupancy, 6) avg_occupancy, max_occupancy,
-           round(avg_capacity, 6) avg_capacity, event_count, round(utilization_pct, 6) utilization_pct from win""", _WINDOW_SQL))
+    select window_start, window_end, zone_id, round(avg_occupancy, 9) avg_occupancy, max_occupancy,
+           round(avg_capacity, 9) avg_capacity, event_count, round(utilization_pct, 9) utilization_pct from win""", _WINDOW_SQL))
 def _(spark, d):
     return rounded(aggregates.flat_window(aggregates.zone_window_metrics(sample.events(spark, d))))
 
 
 @query("a11_occupancy_summary", sql("""
-    select window_start "timestamp", zone_id, round(avg_occupancy, 6) avg_occupancy,
+    select window_start "timestamp", zone_id, round(avg_occupancy, 9) avg_occupancy,
            round_even(avg_occupancy / avg_capacity * 100, 1) utilization, event_count from win""", _WINDOW_SQL))
 def _(spark, d):
     metrics = aggregates.flat_window(aggregates.zone_window_metrics(sample.events(spark, d)))
@@ -147,7 +147,7 @@ heat as (
 
 
 @query("a12_heatmap", sql("""
-    select zone_id, day_of_week, "hour", round(occupancy, 6) occupancy, round(utilization, 6) utilization from heat""", _HEAT_SQL))
+    select zone_id, day_of_week, "hour", round(occupancy, 9) occupancy, round(utilization, 9) utilization from heat""", _HEAT_SQL))
 def _(spark, d):
     return rounded(history.heatmap(sample.arrivals(spark, d)))
 
@@ -161,20 +161,20 @@ matrix as (
 
 
 @query("a12_heatmap_network", sql(
-    'select day_of_week::int day_of_week, "hour"::int "hour", round(utilization, 6) utilization from matrix', _HEAT_SQL, _MATRIX_SQL))
+    'select day_of_week::int day_of_week, "hour"::int "hour", round(utilization, 9) utilization from matrix', _HEAT_SQL, _MATRIX_SQL))
 def _(spark, d):
     return rounded(history.heatmap_network(history.heatmap(sample.arrivals(spark, d))))
 
 
 @query("a12_peak_slot", sql("""
-    select day_of_week::int day_of_week, "hour"::int "hour", round(utilization, 6) utilization from matrix
-    order by round(utilization, 6) desc, 1, 2 limit 1""", _HEAT_SQL, _MATRIX_SQL))
+    select day_of_week::int day_of_week, "hour"::int "hour", round(utilization, 9) utilization from matrix
+    order by round(utilization, 9) desc, 1, 2 limit 1""", _HEAT_SQL, _MATRIX_SQL))
 def _(spark, d):
     return history.peak_slot(rounded(history.heatmap_network(history.heatmap(sample.arrivals(spark, d)))))
 
 
 @query("a13_silver_latest", sql("""
-    select date_trunc('hour', "timestamp") window_start, zone_id, count(*) event_count, round(avg(occupancy), 6) avg_occupancy
+    select date_trunc('hour', "timestamp") window_start, zone_id, count(*) event_count, round(avg(occupancy), 9) avg_occupancy
     from ev group by 1, 2"""))
 def _(spark, d):
     """An append log of growing versions of each hour: after 20, 40 and 60 minutes."""
@@ -200,14 +200,14 @@ flow as (
 
 
 @query("a14_hourly_flow", sql("""
-    select bucket, zone_id, entry, "exit", capacity, round(turnover_rate, 6) turnover_rate, estimated_revenue from flow""", _FLOW_SQL))
+    select bucket, zone_id, entry, "exit", capacity, round(turnover_rate, 9) turnover_rate, estimated_revenue from flow""", _FLOW_SQL))
 def _(spark, d):
     return rounded(history.hourly_flow(sample.arrivals(spark, d), sample.zones(spark, d)))
 
 
 @query("a15_dwell_histogram", sql("""
-    select bin, label, count(*) stays, round(count(*) * 100.0::double / (select count(*) from stay), 6) share_pct,
-           (select round(avg(m), 6) from stay) mean_minutes, (select round(quantile_cont(m, 0.5), 6) from stay) median_minutes,
+    select bin, label, count(*) stays, round(count(*) * 100.0::double / (select count(*) from stay), 9) share_pct,
+           (select round(avg(m), 9) from stay) mean_minutes, (select round(quantile_cont(m, 0.5), 9) from stay) median_minutes,
            (select list_sort(list(m))[(count(*) // 2 + 1)::int] from stay) upper_median_minutes
     from (select case when m < 15 then 0 when m < 30 then 1 when m < 60 then 2 when m < 120 then 3 when m < 180 then 4
                       when m < 240 then 5 else 6 end bin, m from stay)
@@ -225,15 +225,15 @@ hours as (
 
 
 @query("a17_weather_by_hour", sql("""
-    select "hour", round(occupancy, 6) occupancy, round(utilization, 6) utilization, round(temperature, 6) temperature,
-           round(rainfall, 6) rainfall from hours""", _HOURS_SQL))
+    select "hour", round(occupancy, 9) occupancy, round(utilization, 9) utilization, round(temperature, 9) temperature,
+           round(rainfall, 9) rainfall from hours""", _HOURS_SQL))
 def _(spark, d):
     return rounded(history.weather_by_hour(sample.events(spark, d)))
 
 
 @query("a17_rain_effect", sql(f"""
     select count(*) filter (rainfall > 0) rain_hours,
-           round(coalesce(avg(utilization) filter (rainfall > 0), 0) - coalesce(avg(utilization) filter (rainfall = 0), 0), 6) rain_gap
+           round(coalesce(avg(utilization) filter (rainfall > 0), 0) - coalesce(avg(utilization) filter (rainfall = 0), 0), 9) rain_gap
     from (select date_trunc('hour', "timestamp") h, zone_id, avg({CLIPPED}) utilization, avg(rainfall) rainfall from ev group by all)"""))
 def _(spark, d):
     """Hours of the log and not of the day, so that dry ones occur."""
@@ -258,7 +258,7 @@ def _(spark, d):
 
 
 @query("a19_rollup_weekly", sql("""
-    select zone_id, date_trunc('week', "timestamp" + interval 1 day) - interval 1 day bucket, round(avg(utilization), 6) "value"
+    select zone_id, date_trunc('week', "timestamp" + interval 1 day) - interval 1 day bucket, round(avg(utilization), 9) "value"
     from trend group by all""", _TREND_SQL))
 def _(spark, d):
     trend = history.history_trend(sample.arrivals(spark, d), sample.zones(spark, d))
@@ -266,14 +266,14 @@ def _(spark, d):
 
 
 @query("a19_rollup_daily_flow", sql("""
-    select date_trunc('day', bucket) bucket, round(sum(entry), 6)::double "value" from flow group by 1""", _FLOW_SQL))
+    select date_trunc('day', bucket) bucket, round(sum(entry), 9)::double "value" from flow group by 1""", _FLOW_SQL))
 def _(spark, d):
     flow = history.hourly_flow(sample.arrivals(spark, d), sample.zones(spark, d))
     return rounded(history.rollup_series(flow, "entry", "daily", how="sum", ts="bucket"))
 
 
 @query("a20_downsample", sql("""
-    select zone_id, bucket, round("value", 6) "value" from numbered
+    select zone_id, bucket, round("value", 9) "value" from numbered
     where (i - 1) % greatest(1, ceil(n / 120.0)::bigint) = 0 or i = n""", _TREND_SQL, """
     numbered as (
       select zone_id, "timestamp" bucket, utilization "value", row_number() over (partition by zone_id order by "timestamp") i,
@@ -285,7 +285,7 @@ def _(spark, d):
 
 
 @query("a21_network_forecast_series", sql("""
-    select "timestamp", round(sum(current_occupancy), 6) actual, round(sum(predicted_occupancy), 6) predicted
+    select "timestamp", round(sum(current_occupancy), 9) actual, round(sum(predicted_occupancy), 9) predicted
     from pred group by 1 order by 1 desc limit 48""", FEATURES_SQL, PRED_SQL))
 def _(spark, d):
     return rounded(aggregates.network_forecast_series(frames.pred(spark, d)))
@@ -301,8 +301,8 @@ held as (select * from long where is_validation = 1)
 
 def _metrics_sql(keys: str) -> str:
     return sql(f"""
-    select {keys} model, count(*) samples, round(avg(abs(y - p)), 6) mae, round(sqrt(avg((y - p) * (y - p))), 6) rmse,
-           round(case when var_pop(y) > 0 then 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) else 1 end, 6) r2
+    select {keys} model, count(*) samples, round(avg(abs(y - p)), 9) mae, round(sqrt(avg((y - p) * (y - p))), 9) rmse,
+           round(case when var_pop(y) > 0 then 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) else 1 end, 9) r2
     from held group by all""", FEATURES_SQL, PRED_SQL, _METRIC_SQL)
 
 
@@ -319,7 +319,7 @@ def _(spark, d):
 
 
 @query("a23_utilization_stats", sql(f"""
-    select round(avg({PCT}), 6) mean, round(max({PCT}), 6) "max", round(quantile_cont({PCT}, 0.9), 6) p90 from ev"""))
+    select round(avg({PCT}), 9) mean, round(max({PCT}), 9) "max", round(quantile_cont({PCT}, 0.9), 9) p90 from ev"""))
 def _(spark, d):
     return rounded(aggregates.utilization_stats(sample.events(spark, d)))
 
@@ -359,7 +359,7 @@ def _(spark, d):
 
 @query("w1_peak_hour_per_zone", sql("""
     select zone_id, "hour", avg_occupancy from (
-      select zone_id, hour("timestamp")::int "hour", round(avg(occupancy), 6) avg_occupancy,
+      select zone_id, hour("timestamp")::int "hour", round(avg(occupancy), 9) avg_occupancy,
              row_number() over (partition by zone_id order by avg(occupancy) desc, hour("timestamp")) rn
       from ev group by 1, 2, hour("timestamp")) where rn = 1"""))
 def _(spark, d):
@@ -461,7 +461,7 @@ def _(spark, d):
 
 
 @query("l5_template_forecast_validation", sql("""
-    select "timestamp", zone_id, current_occupancy, round(predicted_occupancy, 6) predicted_occupancy, capacity, risk_level
+    select "timestamp", zone_id, current_occupancy, round(predicted_occupancy, 9) predicted_occupancy, capacity, risk_level
     from pred order by "timestamp" desc, zone_id limit 20""", FEATURES_SQL, PRED_SQL))
 def _(spark, d):
     paging.register(frames.pred(spark, d), "predictions")
@@ -469,7 +469,7 @@ def _(spark, d):
 
 
 @query("l5_template_silver_features", sql("""
-    select "timestamp", zone_id, "hour", round(temperature, 6) temperature, round(rainfall, 6) rainfall, current_occupancy,
+    select "timestamp", zone_id, "hour", round(temperature, 9) temperature, round(rainfall, 9) rainfall, current_occupancy,
            capacity, average_duration from features order by "timestamp" desc, zone_id limit 20""", FEATURES_SQL))
 def _(spark, d):
     paging.register(frames.features(spark, d), "ml_features")

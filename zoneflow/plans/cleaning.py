@@ -144,8 +144,8 @@ def _(spark, d):
 
 
 @query("p3_utilization", sql("""
-    select event_id, arrival, round(case when capacity > 0 then occupancy::double / capacity * 100 else 0 end, 6) utilization,
-           round(case when capacity > 0 then greatest(0, least(100, occupancy::double / capacity * 100)) else 0 end, 6) utilization_clipped
+    select event_id, arrival, round(case when capacity > 0 then occupancy::double / capacity * 100 else 0 end, 9) utilization,
+           round(case when capacity > 0 then greatest(0, least(100, occupancy::double / capacity * 100)) else 0 end, 9) utilization_clipped
     from arrivals"""))
 def _(spark, d):
     df = cleaning.with_utilization(sample.arrivals(spark, d))
@@ -376,7 +376,7 @@ def _(spark, d):
 
 @query("j3_lookup", sql("""
     select e.event_id, e.arrival, coalesce(z.zone_name, 'unknown') zone_name, coalesce(z.mean_duration_min, 30)::double mean_duration_min,
-           round(w.temperature, 6) day_temperature,
+           round(w.temperature, 9) day_temperature,
            (e."timestamp"::date in (date '2024-01-01', date '2024-01-26'))::int is_holiday
     from arrivals e left join zones z using (zone_id) left join weather w on w."date" = e."timestamp"::date"""))
 def _(spark, d):

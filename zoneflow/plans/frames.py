@@ -17,7 +17,7 @@ LIVE_ROWS = 1000
 MANUAL_AGE = "6 HOUR"
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+def rounded(df: DataFrame, places: int = 9) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
     return df.select(*[
         F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
