@@ -68,7 +68,7 @@ if __name__ == "__main__":
     sf, prefixes = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_spark(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                        spark__driver__memory="8g")
+                        spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles, bad = entry.oracle_sql(), 0

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.functions.scalar import clip
 from zoneflow.operators.ordered import CHUNK, range_chunks
 from zoneflow.session import write_table
 
@@ -39,18 +40,18 @@ OUTCOME = T.StructType([
 def prepare(commands: DataFrame, zones: DataFrame) -> DataFrame:
     """Normalized commands with the zone's capacity and starting occupancy.
 
-    `_shift` is the signed change and `_set` the target of a SET; both are null
+    `shift` is the signed change and `set_to` the target of a SET; both are null
     for a command no state can accept.
     """
     action = F.upper(F.trim(F.coalesce("action", F.lit("SET"))))
     count = F.coalesce(F.when(F.col("amount") != 0, F.col("amount")), F.lit(1))
     amount = F.greatest(F.lit(1), F.least(F.lit(MAX_AMOUNT), count))
     start = F.col("occupancy") if "occupancy" in zones.columns else F.lit(0)
-    dim = zones.select("zone_id", F.col("capacity").alias("_capacity"), start.cast("int").alias("_base"))
+    dim = zones.select("zone_id", F.col("capacity").alias("zone_capacity"), clip(start.cast("int"), 0, F.col("capacity")).alias("zone_start"))
     tidy = commands.select(
         "command_id", F.upper(F.trim("zone_id")).alias("zone_id"), "observed_at", action.alias("action"),
-        F.when(action == "ENTRY", amount).when(action == "EXIT", -amount).when(action == "SET", 0).alias("_shift"),
-        F.when(action == "SET", F.col("occupancy")).alias("_set"),
+        F.when(action == "ENTRY", amount).when(action == "EXIT", -amount).when(action == "SET", 0).alias("shift"),
+        F.when(action == "SET", F.col("occupancy")).alias("set_to"),
     )
     return tidy.join(dim, "zone_id", "left")
 
@@ -62,20 +63,20 @@ def step(occupancy: np.ndarray | int, capacity: int, shift: int, target: float):
 
 
 def _table(pdf: pd.DataFrame) -> pd.DataFrame:
-    capacity = int(pdf["_capacity"].iloc[0])
+    capacity = int(pdf["zone_capacity"].iloc[0])
     after = np.arange(capacity + 1)
-    for shift, target in zip(pdf["_shift"].to_numpy(), pdf["_set"].to_numpy(dtype=float)):
+    for shift, target in zip(pdf["shift"].to_numpy(), pdf["set_to"].to_numpy(dtype=float)):
         after = step(after, capacity, int(shift), target)
     return pd.DataFrame({
         "zone_id": [pdf["zone_id"].iloc[0]], CHUNK: [int(pdf[CHUNK].iloc[0])],
-        "_base": [int(pdf["_base"].iloc[0])], "_after": [after.tolist()],
+        "zone_start": [int(pdf["zone_start"].iloc[0])], "_after": [after.tolist()],
     })
 
 
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    capacity, occupancy = int(pdf["_capacity"].iloc[0]), int(pdf["_start"].iloc[0])
+    capacity, occupancy = int(pdf["zone_capacity"].iloc[0]), int(pdf["_start"].iloc[0])
     values, statuses = [], []
-    for shift, target in zip(pdf["_shift"].to_numpy(), pdf["_set"].to_numpy(dtype=float)):
+    for shift, target in zip(pdf["shift"].to_numpy(), pdf["set_to"].to_numpy(dtype=float)):
         wanted = int(target) if not np.isnan(target) else occupancy + int(shift)
         accepted = 0 <= wanted <= capacity
         occupancy = wanted if accepted else occupancy
@@ -94,28 +95,28 @@ def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
 def apply_observations(commands: DataFrame, zones: DataFrame) -> DataFrame:
     """Outcome of every command, in time order per zone, with the occupancy after it."""
     ready = prepare(commands, zones)
-    usable = "_capacity > 0 AND _shift IS NOT NULL"
+    usable = "zone_capacity > 0 AND shift IS NOT NULL"
     refused = ready.where(f"NOT coalesce({usable}, false)").select(
         "command_id", "zone_id", "observed_at", "action",
-        F.when(F.coalesce(F.col("_capacity"), F.lit(0)) <= 0, "UNKNOWN_ZONE").otherwise("UNKNOWN_ACTION").alias("status"),
-        F.lit(None).cast("int").alias("occupancy"), F.col("_capacity").alias("capacity"),
+        F.when(F.coalesce(F.col("zone_capacity"), F.lit(0)) <= 0, "UNKNOWN_ZONE").otherwise("UNKNOWN_ACTION").alias("status"),
+        F.lit(None).cast("int").alias("occupancy"), F.col("zone_capacity").alias("capacity"),
     )
     chunks = range_chunks(ready.where(usable), ["zone_id", "observed_at", "command_id"], "commands")
     group = ["zone_id", CHUNK]
     tables = write_table(
         chunks.groupBy(*group).applyInPandas(
-            lambda pdf: _table(_in_order(pdf)), f"zone_id string, {CHUNK} int, _base int, _after array<int>"
+            lambda pdf: _table(_in_order(pdf)), f"zone_id string, {CHUNK} int, zone_start int, _after array<int>"
         ),
         "transfer",
     )
     # At most one table per chunk of the zone; walked in order from the first state.
     walk = (
         tables.groupBy("zone_id")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(CHUNK), F.col("_after")))).alias("l"), F.first("_base").alias("_base"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(CHUNK), F.col("_after")))).alias("l"), F.first("zone_start").alias("zone_start"))
     )
     walked = F.aggregate(
         "l",
-        F.array(F.struct(F.lit(-1).alias("chunk"), F.col("_base").alias("start"), F.col("_base").alias("end"))),
+        F.array(F.struct(F.lit(-1).alias("chunk"), F.col("zone_start").alias("start"), F.col("zone_start").alias("end"))),
         lambda acc, t: F.concat(acc, F.array(F.struct(
             t[CHUNK].alias("chunk"), F.element_at(acc, -1)["end"].alias("start"),
             t["_after"][F.element_at(acc, -1)["end"]].alias("end"),
@@ -138,11 +139,8 @@ def final_state(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def fold_batches(batches: Iterator[pd.DataFrame], occupancy: int | None) -> Iterator[tuple[pd.DataFrame, int]]:
-    """Sequential fold over the batches of one zone, for keyed streaming state."""
-    for pdf in batches:
-        ordered = _in_order(pdf)
-        start = int(ordered["_base"].iloc[0]) if occupancy is None else occupancy
-        out = _replay(ordered.assign(_start=start))
-        occupancy = int(out["occupancy"].iloc[-1])
-        yield out, occupancy
+def fold_batches(batches: Iterator[pd.DataFrame], occupancy: int | None) -> pd.DataFrame:
+    """Outcome of one zone's commands in one micro-batch, for keyed streaming state."""
+    ordered = _in_order(pd.concat(list(batches)))
+    start = int(ordered["zone_start"].iloc[0]) if occupancy is None else occupancy
+    return _replay(ordered.assign(_start=start))

@@ -63,3 +63,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give `checkpoint()` a folder where the session has none, which only a local master may lack."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_dir(spark)}/checkpoint")
