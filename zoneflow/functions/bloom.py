@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,26 +13,29 @@ WORD = 64
 MAX_LOOKUP_BITS = 1 << 26
 
 
-def positions(ids: Column, m: int, k: int) -> Column:
-    """The k bit positions of an id: sha256(`id:i`) as a 256-bit number modulo m."""
+def position(ids: Column, i: Column, m: int) -> Column:
+    """Bit position i of an id: sha256(`id:i`) as a 256-bit number modulo m."""
     if not 0 < m < 1 << 31:
         raise ValueError("m must be between 1 and 2^31 - 1")
+    digest = F.sha2(F.concat_ws(":", ids, i.cast("string")), 256)
+    # Weighted groups of hex digits, narrow enough that their sum stays below 2^63.
+    digits = next(n for n in range(15, 0, -1) if 4 * n + m.bit_length() + (-(-64 // n)).bit_length() <= 63)
+    total = F.lit(0).cast("bigint")
+    for start in range(1, 65, digits):
+        width = min(digits, 65 - start)
+        group = F.conv(F.substring(digest, start, width), 16, 10).cast("bigint")
+        total = total + group * F.lit(pow(16, 65 - start - width, m)).cast("bigint")
+    return total % m
 
-    def one(i: int) -> Column:
-        digest = F.sha2(F.concat(ids, F.lit(f":{i}")), 256)
-        rest = F.lit(0).cast("bigint")
-        # Eight hex digits at a time; the remainder stays below m.
-        for start in range(1, 65, 8):
-            chunk = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-            rest = (rest * (1 << 32) + chunk) % m
-        return rest
 
-    return F.array(*[one(i) for i in range(k)])
+def positions(ids: Column, m: int, k: int) -> Column:
+    return F.array(*[position(ids, F.lit(i), m) for i in range(k)])
 
 
 def bloom_build(ids: DataFrame, column: str, m: int, k: int) -> DataFrame:
     """Set bits as (word, bits): at most m/64 rows, however many ids there are."""
-    spots = ids.select(F.explode(positions(F.col(column), m, k)).alias("p"))
+    turns = ids.select(column, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"))
+    spots = turns.select(position(F.col(column), F.col("i"), m).alias("p"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("p") % WORD).cast("int"))
     return spots.groupBy((F.col("p") / WORD).cast("bigint").alias("word")).agg(F.bit_or(bit).alias("bits"))
 
@@ -50,13 +54,15 @@ def bloom_contains(ids: DataFrame, column: str, bloom: DataFrame, m: int, k: int
                 lambda w: w["bits"],
             ).alias("w")
         ).scalar()
-
-        def is_set(p: Column) -> Column:
-            word = F.element_at("_words", (F.floor(p / WORD) + 1).cast("int"))
-            return F.getbit(word, (p % WORD).cast("int")) == 1
-
-        looked_up = ids.withColumn("_words", dense)
-        return looked_up.withColumn(out, F.forall(positions(F.col(column), m, k), is_set)).drop("_words")
+        # The filter stays a constant of these expressions and never enters a row.
+        # Summed rather than and-ed: each position is then computed once, in a
+        # method of its own that the JVM can compile.
+        def bit(i: int) -> Column:
+            p = position(F.col(column), F.lit(i), m)
+            word = F.element_at(dense, (F.floor(p / WORD) + 1).cast("int"))
+            return F.getbit(word, (p % WORD).cast("int")).cast("int")
+
+        return ids.withColumn(out, reduce(Column.__add__, [bit(i) for i in range(k)]) == k)
     distinct = ids.select(column).distinct().withColumn("_p", F.explode(positions(F.col(column), m, k)))
     probes = distinct.withColumn("word", (F.col("_p") / WORD).cast("bigint")).join(bloom, "word", "left")
     hit = F.coalesce(F.getbit("bits", (F.col("_p") % WORD).cast("int")) == 1, F.lit(False))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from zoneflow.functions.scalar import bucket, clip, day_of_week, utilization
-from zoneflow.operators.ordered import exact_quantiles, upper_median
+from zoneflow.operators.ordered import quantile, ranked_values, upper_median
 
 FEE_PER_EXIT = 60
 
@@ -71,26 +71,28 @@ def hourly_flow(ev: DataFrame, zones: DataFrame, fee: int = FEE_PER_EXIT) -> Dat
 
 
 def dwell_histogram(ev: DataFrame) -> DataFrame:
-    """Counts and shares of seven dwell bins, with the mean and both medians of all stays."""
+    """Counts and shares of seven dwell bins, with the mean and both medians of all stays.
+
+    One scan reduces the stays to a count per length; the rest works on those.
+    """
     stays = ev.where(F.col("parking_duration") > 0).select(
         F.lit(1).alias("_all"), F.col("parking_duration").alias("minutes")
     )
+    ranked = ranked_values(stays, ["_all"], "minutes")
     index = F.lit(len(DWELL_BOUNDS))
     for i in reversed(range(len(DWELL_BOUNDS))):
         index = F.when(F.col("minutes") < DWELL_BOUNDS[i], i).otherwise(index)
-    counts = stays.groupBy("_all", index.alias("bin")).agg(
-        F.count("*").alias("stays"), F.sum("minutes").alias("_minutes")
+    bins = ranked.groupBy("_all", index.alias("bin")).agg(F.sum("n").alias("stays"), F.max("total").alias("_total"))
+    overall = ranked.groupBy("_all").agg(
+        (F.sum(F.col("minutes") * F.col("n")) / F.sum("n")).alias("mean_minutes"),
+        quantile("minutes", 0.5).alias("median_minutes"), upper_median("minutes").alias("upper_median_minutes"),
     )
-    every = Window.partitionBy("_all")
     labels = F.array(*[F.lit(x) for x in DWELL_LABELS])
-    bins = counts.select(
-        "_all", "bin", labels[F.col("bin")].alias("label"), "stays",
-        (F.col("stays") / F.sum("stays").over(every) * 100).alias("share_pct"),
-        (F.sum("_minutes").over(every) / F.sum("stays").over(every)).alias("mean_minutes"),
+    return bins.join(overall, "_all").select(
+        "bin", labels[F.col("bin")].alias("label"), "stays",
+        (F.col("stays") / F.col("_total") * 100).alias("share_pct"),
+        "mean_minutes", "median_minutes", "upper_median_minutes",
     )
-    middle = exact_quantiles(stays, ["_all"], "minutes", {"median_minutes": 0.5})
-    upper = upper_median(stays, ["_all"], "minutes", "upper_median_minutes")
-    return bins.join(middle, "_all").join(upper, "_all").drop("_all")
 
 
 def weather_by_hour(ev: DataFrame) -> DataFrame:

@@ -62,35 +62,35 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str = "row_index") ->
     )
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles per group, one output column per entry of `probs`.
+def ranked_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per group with their count `n`, the rank `upto` of their last copy and the group's `total`.
 
-    Works on value frequencies, so repeated values meet before the shuffle and
-    no aggregation buffer grows with the data.
+    Repeated values meet before the shuffle, and no buffer grows with the data.
     """
-    freq = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    ranked = running_sum(freq, by, [value], "_n", "_upto")
-    totals = ranked.groupBy(*by).agg(F.max("_upto").alias("_total"))
-    ranked = ranked.join(totals, list(by))
-
-    def at_rank(rank: Column) -> Column:
-        hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
-
-    out = []
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.col("_total") - 1)
-        fraction = F.max(pos - F.floor(pos))
-        low, high = at_rank(F.floor(pos)), at_rank(F.ceil(pos))
-        out.append((low + (high - low) * fraction).alias(name))
-    return ranked.groupBy(*by).agg(*out)
-
-
-def upper_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """Middle element of the sorted values, the upper one for an even count."""
-    freq = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    ranked = running_sum(freq, by, [value], "_n", "_upto")
-    totals = ranked.groupBy(*by).agg(F.max("_upto").alias("_total"))
-    middle = F.floor(F.col("_total") / 2)
-    hit = (F.col("_upto") - F.col("_n") <= middle) & (middle < F.col("_upto"))
-    return ranked.join(totals, list(by)).where(hit).select(*by, F.col(value).alias(out))
+    freq = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    ranked = running_sum(freq, by, [value], "n", "upto")
+    return ranked.join(ranked.groupBy(*by).agg(F.max("upto").alias("total")), list(by))
+
+
+def value_at(rank: Column, value: str) -> Column:
+    """Aggregate over `ranked_values`: the value at a zero-based rank."""
+    hit = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+    return F.max(F.when(hit, F.col(value)))
+
+
+def quantile(value: str, p: float) -> Column:
+    """Aggregate over `ranked_values`: quantile interpolated between neighbours."""
+    pos = F.lit(p) * (F.col("total") - 1)
+    low, high = (value_at(r, value).cast("double") for r in (F.floor(pos), F.ceil(pos)))
+    return low + (high - low) * F.max(pos - F.floor(pos))
+
+
+def upper_median(value: str) -> Column:
+    """Aggregate over `ranked_values`: middle element, the upper one of an even count."""
+    return value_at(F.floor(F.col("total") / 2), value)
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles per group, one output column per entry of `probs`."""
+    ranked = ranked_values(df, by, value)
+    return ranked.groupBy(*by).agg(*[quantile(value, p).alias(name) for name, p in probs.items()])

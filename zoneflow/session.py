@@ -70,3 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_dir(spark)}/checkpoint")
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables this application wrote to the shared folder, once nothing reads them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
