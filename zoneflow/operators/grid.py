@@ -20,12 +20,16 @@ TARGET = "future_occupancy"
 
 
 def day_bounds(ev: DataFrame, minutes: int = STEP_MINUTES) -> tuple[Column, Column]:
-    """First and last grid time of the days the events touch, as scalars."""
-    first = ev.agg(F.date_trunc("day", F.min("timestamp")).alias("t")).scalar()
-    last = ev.agg(
-        (F.date_trunc("day", F.max("timestamp")) + F.make_dt_interval(mins=F.lit(24 * 60 - minutes))).alias("t")
-    ).scalar()
-    return first, last
+    """First and last grid time of the days the events touch, as constants.
+
+    One small job reads the time column; plans over the grid then hold two
+    literals in place of repeated subqueries.
+    """
+    day_end = F.date_trunc("day", F.max("timestamp")) + F.make_dt_interval(mins=F.lit(24 * 60 - minutes))
+    row = ev.agg(
+        F.unix_micros(F.date_trunc("day", F.min("timestamp"))).alias("first"), F.unix_micros(day_end).alias("last"),
+    ).first()
+    return tuple(F.timestamp_micros(F.lit(row[c]).cast("bigint")) for c in ("first", "last"))
 
 
 def time_grid(zones: DataFrame, start: Column, end: Column, minutes: int = STEP_MINUTES) -> DataFrame:

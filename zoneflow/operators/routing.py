@@ -108,8 +108,10 @@ def reroute_candidates(state: DataFrame, k: int = TOP_K) -> DataFrame:
     #    of the first size that covers it.
     top_base = useful.agg(F.max("_base").alias("b")).scalar()
     radius = F.greatest(F.lit(_CUBE_KM), (top_base - F.col("_bound")) / KM_WEIGHT)
-    level = F.coalesce(F.ceil(F.log2(radius / _CUBE_KM)), F.lit(_LEVELS - 1))
-    level = F.greatest(F.lit(0), F.least(F.lit(_LEVELS - 1), level)).cast("int")
+    widest = F.lit(_LEVELS - 1)
+    level = F.least(widest, F.ceil(F.log2(radius / _CUBE_KM)))
+    # Fewer than k destinations in all: no bound, so look everywhere.
+    level = F.when(F.col("_bound").isNull(), widest).otherwise(level).cast("int")
     around = F.array(*[
         _cube_key(F.col("_level"), _axis("_x", F.col("_level")) + i, _axis("_y", F.col("_level")) + j,
                   _axis("_z", F.col("_level")) + m)
