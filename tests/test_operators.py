@@ -446,3 +446,10 @@ def test_stored_tables_live_under_the_shared_folder(spark):
     assert shared_dir(spark) in stored.inputFiles()[0]
     assert build_spark().sparkContext.applicationId == spark.sparkContext.applicationId
     assert callable(release)
+
+
+def test_running_sum_keeps_rows_of_a_null_key(spark):
+    df = spark.createDataFrame([(None, 1, 2), (None, 2, 3), ("a", 1, 5)], "k string, t int, v int")
+    got = sorted((r["k"] or "", r["t"], r["s"]) for r in ordered.running_sum(df, ["k"], ["t"], "v", "s").collect())
+    assert got == [("", 1, 2), ("", 2, 5), ("a", 1, 5)]
+    assert ordered.exact_quantiles(df, ["k"], "v", {"m": 0.5}).count() == 2

@@ -18,13 +18,12 @@ def position(ids: Column, i: Column, m: int) -> Column:
     if not 0 < m < 1 << 31:
         raise ValueError("m must be between 1 and 2^31 - 1")
     digest = F.sha2(F.concat_ws(":", ids, i.cast("string")), 256)
-    # Weighted groups of hex digits, narrow enough that their sum stays below 2^63.
-    digits = next(n for n in range(15, 0, -1) if 4 * n + m.bit_length() + (-(-64 // n)).bit_length() <= 63)
+    # Fifteen hex digits fit a bigint; reduced and weighted groups stay below m * m.
     total = F.lit(0).cast("bigint")
-    for start in range(1, 65, digits):
-        width = min(digits, 65 - start)
-        group = F.conv(F.substring(digest, start, width), 16, 10).cast("bigint")
-        total = total + group * F.lit(pow(16, 65 - start - width, m)).cast("bigint")
+    for start in range(1, 65, 15):
+        width = min(15, 65 - start)
+        group = F.conv(F.substring(digest, start, width), 16, 10).cast("bigint") % m
+        total = total + group * F.lit(pow(16, 65 - start - width, m)).cast("bigint") % m
     return total % m
 
 

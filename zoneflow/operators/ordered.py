@@ -19,6 +19,13 @@ from zoneflow.session import write_table
 CHUNK = "_chunk"
 
 
+def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add a group's columns to its rows; a null key is a group too."""
+    renamed = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    return rows.join(renamed, same).drop(*[f"_g_{k}" for k in keys])
+
+
 def range_chunks(df: DataFrame, keys: Sequence[str], name: str = "chunks") -> DataFrame:
     """`df` cut into consecutive ranges of `keys`, numbered in `_chunk`.
 
@@ -39,7 +46,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: s
     )
     inside = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        chunks.join(carry, [*by, CHUNK])
+        _join_groups(chunks, carry, [*by, CHUNK])
         .withColumn(out, F.col("_carry") + F.sum(value).over(inside))
         .drop("_carry", CHUNK)
     )
@@ -69,7 +76,7 @@ def ranked_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """
     freq = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
     ranked = running_sum(freq, by, [value], "n", "upto")
-    return ranked.join(ranked.groupBy(*by).agg(F.max("upto").alias("total")), list(by))
+    return _join_groups(ranked, ranked.groupBy(*by).agg(F.max("upto").alias("total")), by)
 
 
 def value_at(rank: Column, value: str) -> Column:
