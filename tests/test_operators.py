@@ -53,6 +53,21 @@ def test_running_sum_splits_a_hot_key(spark, many_chunks):
     assert got == want
 
 
+@pytest.mark.parametrize("hot_rows", [10, 300, 10_000])
+def test_running_sum_in_time_cuts_hot_hours(spark, many_chunks, hot_rows):
+    rng = random.Random(9)
+    rows = [(rng.choice(["hot", "hot", "cold", None]), minute(30 if rng.random() < 0.5 else rng.randrange(600)), i, rng.choice([-1, 1, 2]))
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, id int, v int")
+    out = ordered.running_sum_in_time(df, ["k"], ["t", "id"], "v", "s", hot_rows=hot_rows)
+    assert out.columns == ["k", "t", "id", "v", "s"]
+    want, totals = {}, {}
+    for k, t, i, v in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        totals[k] = totals.get(k, 0) + v
+        want[i] = totals[k]
+    assert {r["id"]: r["s"] for r in out.collect()} == want
+
+
 def test_dense_index_is_gapless_over_chunks(spark, many_chunks):
     values = random.Random(2).sample(range(10_000), 500)
     df = spark.createDataFrame([(v,) for v in values], "v int")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from zoneflow.functions.scalar import available_bays, clip, risk_level, utilization
-from zoneflow.operators.ordered import dense_index, running_sum
+from zoneflow.operators.ordered import dense_index, running_sum_in_time
 
 # Equal times are settled by event type (ENTRY before EXIT), then by id.
 EVENT_ORDER = ["timestamp", "event_type", "event_id"]
@@ -32,7 +32,7 @@ def sessions_to_events(sessions: DataFrame) -> DataFrame:
 def running_occupancy(ev: DataFrame) -> DataFrame:
     """Add `occupancy`: the zone's running sum of +1/-1, clipped to [0, capacity] afterwards."""
     sign = F.when(F.col("event_type") == "ENTRY", 1).when(F.col("event_type") == "EXIT", -1).otherwise(0)
-    summed = running_sum(ev.withColumn("_sign", sign), ["zone_id"], EVENT_ORDER, "_sign", "_inside")
+    summed = running_sum_in_time(ev.withColumn("_sign", sign), ["zone_id"], EVENT_ORDER, "_sign", "_inside")
     return (
         summed.withColumn("occupancy", clip(F.col("_inside"), 0, F.col("capacity")).cast("int"))
         .drop("_sign", "_inside")

@@ -1,9 +1,9 @@
 """Order-dependent operators that never hold one key in one task.
 
 A window over a hot zone would sort all its rows in a single task. Here the
-rows are range-partitioned on a total order instead, so a hot zone spans as
-many chunks as its size needs; only one total per (zone, chunk) is carried
-from chunk to chunk.
+rows of a key are cut into consecutive pieces, by time cells or by ranges of a
+total order, as many as their number needs. Each piece is summed on its own
+and starts from the total of the pieces before it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 from zoneflow.session import write_table
 
 CHUNK = "_chunk"
+# Rows of one key and hour that one task may sort.
+HOT_ROWS = 5_000_000
 
 
 def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,20 +38,52 @@ def range_chunks(df: DataFrame, keys: Sequence[str], name: str = "chunks") -> Da
     return write_table(ranged, name)
 
 
+def _piecewise(rows: DataFrame, parts: DataFrame, by: Sequence[str], piece: str, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Running sum inside each piece, on top of the sum of the key's earlier pieces.
+
+    `parts` has the sum of every piece as `_part`. Earlier sums enter as one
+    extra row per piece that sorts first: one shuffle, and no join.
+    """
+    before = Window.partitionBy(*by).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    seeds = parts.select(*by, piece, F.coalesce(F.sum("_part").over(before), F.lit(0)).alias(value))
+    both = rows.withColumn("_own", F.lit(1)).unionByName(
+        seeds.withColumn("_own", F.lit(0)), allowMissingColumns=True
+    )
+    inside = Window.partitionBy(*by, piece).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(out, F.sum(value).over(inside)).where("_own = 1").drop("_own")
+
+
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """Inclusive running sum of `value` within `by` along the total order `order`."""
     chunks = range_chunks(df, [*by, *order], "running_sum")
-    before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        chunks.groupBy(*by, CHUNK).agg(F.sum(value).alias("_part"))
-        .select(*by, CHUNK, F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_carry"))
-    )
-    inside = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        _join_groups(chunks, carry, [*by, CHUNK])
-        .withColumn(out, F.col("_carry") + F.sum(value).over(inside))
-        .drop("_carry", CHUNK)
-    )
+    parts = chunks.groupBy(*by, CHUNK).agg(F.sum(value).alias("_part"))
+    return _piecewise(chunks, parts, by, CHUNK, order, value, out).drop(CHUNK)
+
+
+def running_sum_in_time(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str,
+    unit: str = "hour", hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`running_sum` for an order that begins with a time: the pieces are hours.
+
+    Rows are shuffled once and none is stored. Only hours of a key with more
+    than `hot_rows` rows are cut further, by ranges.
+    """
+    rows = df.withColumn("_cell", F.date_trunc(unit, F.col(order[0])))
+    keys = [*by, "_cell"]
+    cells = write_table(rows.groupBy(*keys).agg(F.sum(value).alias("_part"), F.count("*").alias("_n")), "cells")
+    hot = cells.where(F.col("_n") > hot_rows)
+    if hot.isEmpty():
+        return _piecewise(rows, cells.drop("_n"), by, "_cell", order, value, out).drop("_cell")
+
+    marked = _join_groups(rows, cells.select(*keys, (F.col("_n") > hot_rows).alias("_hot")), keys)
+    cold = _piecewise(marked.where("NOT _hot").drop("_hot"), cells.drop("_n"), by, "_cell", order, value, out)
+    # Inside a hot hour by ranges, then on top of the hours before it.
+    inner = running_sum(marked.where("_hot").drop("_hot"), keys, order, value, out)
+    before = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carry = cells.select(*keys, "_n", F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_carry"))
+    lifted = _join_groups(inner, carry.where(F.col("_n") > hot_rows).drop("_n"), keys)
+    return cold.unionByName(lifted.withColumn(out, F.col(out) + F.col("_carry")).drop("_carry")).drop("_cell")
 
 
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "row_index") -> DataFrame:

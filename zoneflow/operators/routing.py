@@ -112,14 +112,17 @@ def reroute_candidates(state: DataFrame, k: int = TOP_K) -> DataFrame:
     level = F.least(widest, F.ceil(F.log2(radius / _CUBE_KM)))
     # Fewer than k destinations in all: no bound, so look everywhere.
     level = F.when(F.col("_bound").isNull(), widest).otherwise(level).cast("int")
-    around = F.array(*[
-        _cube_key(F.col("_level"), _axis("_x", F.col("_level")) + i, _axis("_y", F.col("_level")) + j,
-                  _axis("_z", F.col("_level")) + m)
-        for i in (-1, 0, 1) for j in (-1, 0, 1) for m in (-1, 0, 1)
-    ])
+    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     looking = (
         source.join(bound, "source_zone", "left").withColumn("_level", level)
-        .select("source_zone", "_slat", "_slon", "_bound", F.explode(F.array_distinct(around)).alias("_cube"))
+        .select(
+            "source_zone", "_slat", "_slon", "_bound", "_level",
+            *[_axis(a, F.col("_level")).alias(a) for a in ("_x", "_y", "_z")],
+        )
+        .withColumn("_i", step).withColumn("_j", step).withColumn("_m", step)
+        .select("source_zone", "_slat", "_slon", "_bound", _cube_key(
+            F.col("_level"), F.col("_x") + F.col("_i"), F.col("_y") + F.col("_j"), F.col("_z") + F.col("_m")
+        ).alias("_cube"))
     )
     pairs = looking.join(_pyramid(useful), "_cube").where(F.col("source_zone") != F.col("zone_id"))
     scored = pairs.withColumn("_km", km).where(F.col("_bound").isNull() | (_score(F.col("_km")) >= F.col("_bound")))
