@@ -143,6 +143,18 @@ def test_replays_across_batches_are_suppressed(spark, tmp_path, mode):
     assert ids(spark.read.parquet(str(tmp_path / "out"))) == Counter([e["event_id"] for e in events] + ["E0200"])
 
 
+def test_bloom_stream_publishes_closed_windows(spark, tmp_path):
+    events = [event(i, i % 10) for i in range(30)]
+    drop(tmp_path / "in", "a", events + events[:5])
+    cfg = config(tmp_path, dedup="bloom")
+    run_stream(spark, cfg)
+    drop(tmp_path / "in", "b", events[25:] + [event(90, 40)])
+    run_stream(spark, cfg)
+    assert ids(read_bronze(spark, cfg.bronze)) == Counter([e["event_id"] for e in events] + ["E0090"])
+    closed = {r["window_start"].minute: r["event_count"] for r in silver_latest(read_silver(spark, cfg.silver)).collect()}
+    assert closed == {0: 15, 5: 15}
+
+
 def test_unknown_dedup_mode(spark, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(ValueError):

@@ -53,16 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/zoneflow/{app_id}"
 
 
+def save_table(df: DataFrame, name: str) -> str:
+    """Write `df` as Parquet under a new name in the shared folder; returns its path."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return path
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and return the stored table.
 
     The result survives lost executors and is the same on every read, which
     partition numbers and sampled range bounds are not before they are stored.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(save_table(df, name))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

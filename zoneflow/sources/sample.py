@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.functions.scalar import clip, session_exit
 from zoneflow.operators.occupancy import running_occupancy, sessions_to_events
-from zoneflow.schema import EVENT_COLUMNS
-from zoneflow.session import write_table
+from zoneflow.schema import EVENT, EVENT_COLUMNS
+from zoneflow.session import save_table
 
+EVENT_LOG = T.StructType([*EVENT, T.StructField("channel", T.StringType()), T.StructField("k", T.IntegerType())])
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
-_LOGS: dict[tuple[str, str], DataFrame] = {}
+_LOGS: dict[tuple[str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,8 +74,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOGS:
-        _LOGS[key] = write_table(running_occupancy(bare_events(spark, sf_dir)), "event_log")
-    return _LOGS[key]
+        _LOGS[key] = save_table(running_occupancy(bare_events(spark, sf_dir)), "event_log")
+    return spark.read.schema(EVENT_LOG).parquet(_LOGS[key])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

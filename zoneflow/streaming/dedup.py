@@ -36,7 +36,8 @@ def _bloom_stream(events: DataFrame, buckets: int = BUCKETS, m: int = BLOOM_BITS
     # Ids are hashed to buckets, so a busy zone does not make a busy bucket.
     keyed = events.withColumn("_bucket", F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int"))
     return keyed.groupBy("_bucket").transformWithStateInPandas(
-        BloomBucket(m, k, events.columns), outputStructType=events.schema, outputMode="append", timeMode="none",
+        BloomBucket(m, k, events.columns), outputStructType=events.schema, outputMode="append",
+        timeMode="EventTime", eventTimeColumnName="timestamp",
     )
 
 

@@ -53,10 +53,12 @@ def silver_writer(path: str):
     return write
 
 
-def write_silver(metrics: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
-    """Publish window updates as they change; read them through `silver_latest`."""
+def write_silver(
+    metrics: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, mode: str = "update",
+) -> StreamingQuery:
+    """Publish windows as they change, or once they close (`mode="append"`); read them through `silver_latest`."""
     writer = (
-        metrics.writeStream.outputMode("update").foreachBatch(silver_writer(path))
+        metrics.writeStream.outputMode(mode).foreachBatch(silver_writer(path))
         .option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, every).start()
@@ -100,10 +102,14 @@ def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQue
     if cfg.run_seconds < 0:
         raise ValueError("run_seconds must be zero or greater")
     events = cleaned_stream(spark, cfg)
+    # Spark takes custom state before an aggregation in append mode only.
+    mode = "append" if cfg.dedup == "bloom" else "update"
     queries = {
         "bronze": write_bronze(events, cfg.bronze, f"{cfg.checkpoints}/bronze", cfg.every),
         # The events carry the watermark of the deduplication already.
-        "silver": write_silver(zone_window_metrics(events, WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every),
+        "silver": write_silver(
+            zone_window_metrics(events, WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every, mode
+        ),
     }
     try:
         if cfg.every is None:
