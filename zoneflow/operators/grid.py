@@ -35,10 +35,12 @@ def day_bounds(ev: DataFrame, minutes: int = STEP_MINUTES) -> tuple[Column, Colu
 def time_grid(zones: DataFrame, start: Column, end: Column, minutes: int = STEP_MINUTES) -> DataFrame:
     """Every grid time from start to end for every zone.
 
-    Zones are spread over tasks first, so each task expands only its own.
+    Zones are spread over all cores first, so each task expands only its own.
+    The number is given: by size alone Spark would keep the few zones together.
     """
     steps = F.sequence(start, end, F.make_dt_interval(mins=F.lit(minutes)))
-    return zones.repartition("zone_id").withColumn("timestamp", F.explode(steps))
+    cores = zones.sparkSession.sparkContext.defaultParallelism
+    return zones.repartition(cores, "zone_id").withColumn("timestamp", F.explode(steps))
 
 
 def resample_asof(ev: DataFrame, grid: DataFrame, start: Column, minutes: int = STEP_MINUTES) -> DataFrame:
