@@ -6,8 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from zoneflow.llm.decontaminate import contamination
+from zoneflow.llm.fingerprint import fingerprints
+from zoneflow.llm.packing import pack_documents
+from zoneflow.llm.pii import personal_data
+from zoneflow.llm.quality import score_quality
+from zoneflow.llm.sharding import shard_documents
 from zoneflow.llm.similarity import jaccard_components
 from zoneflow.llm.text import table
+from zoneflow.llm.token_count import token_counts
+from zoneflow.llm.toxicity import score_documents
+from zoneflow.llm.url_filter import judge_urls, repeated_addresses
+
+# Fixed rules of the address query: verdict, host, path.
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,11 +35,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op2_ngram_jaccard_join", """
+@query("op1_minimax_shards")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight contiguous shards of near equal bytes."""
+    return shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
+@query("op2_ngram_jaccard_join", r"""
 with recursive words as (
   select doc_id, string_split_regex(trim(regexp_replace(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\\x20\\x09-\\x0D]+', ' ', 'g')), ' ') w from documents),
+    '[\x20\x09-\x0D]+', ' ', 'g')), ' ') w from documents),
 sized as (select doc_id, case when w = [''] then [] else w end w from words),
 sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
@@ -43,3 +62,98 @@ from sets s left join (select root, min(node) low from reach group by 1) m on m.
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of at least 90 % Jaccard similarity between the 3-word shingle sets of all documents."""
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@query("op4_cost_balanced_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids in sequences of at most 1024."""
+    return pack_documents(table(spark, sf_dir, "documents"), capacity=1024)
+
+
+@query("op5_url_filter", r"""
+with parts as (
+  select page_id, url, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end rest from pages),
+split as (
+  select page_id,
+    coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') path,
+    regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) q from parts),
+named as (
+  select *, list_sort(list_filter(string_split(coalesce(q, ''), '&'), lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref)(=|$)'))) kept
+  from split),
+addressed as (
+  select page_id, host, path, case when host <> '' then
+    host || regexp_replace(path, '/+$', '') || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end end address
+  from named),
+listed as (select address from addressed where address is not null group by 1 having count(*) >= 2),
+rules(verdict, h, p) as (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+ruled as (
+  select a.page_id, a.host, a.path, a.address, r.h || r.p rule, r.verdict,
+    row_number() over (partition by a.page_id, a.host, a.path, a.address order by length(r.h || r.p) desc) k
+  from addressed a left join rules r on (a.host = r.h or ends_with(a.host, '.' || r.h)) and starts_with(a.path, r.p))
+select page_id, host, path, rule,
+  coalesce(verdict, case when address in (select address from listed) then 'block' else 'allow' end) verdict
+from ruled where k = 1
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the address of every page; listed are addresses that several pages share."""
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, RULES, repeated_addresses(pages))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return token_counts(table(spark, sf_dir, "documents"), limit=2048)
+
+
+@query("op10_benchmark_decontamination", r"""
+with dw as (
+  select row_number() over () row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+bw as (
+  select item_id::varchar item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark where item_id is not null and text is not null),
+windows as (
+  select item, least(len(w), 10) m, unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') for i in range(1, len(w) - least(len(w), 10) + 2)]) t
+  from bw where len(w) > 0),
+sizes as (select distinct m from windows),
+places as (
+  select row_id, m, unnest(range(1, len(w) - m + 2)) i, w from dw join sizes on len(w) >= m),
+hits as (
+  select p.row_id, p.i, p.m, x.item from places p join windows x on x.m = p.m and x.t = array_to_string(p.w[p.i:p.i + p.m - 1], ' ')),
+covered as (select row_id, count(distinct k) n from (select row_id, unnest(range(i, i + m)) k from hits) group by 1),
+met as (
+  select row_id, count(*) n, string_agg(item, ',' order by item) items from (select distinct row_id, item from hits) group by 1)
+select doc_id, len(w)::bigint n_words, coalesce(c.n, 0)::bigint n_hit, coalesce(m.n, 0)::bigint n_items,
+  sha256(coalesce(m.items, '')) items_sha256, coalesce(c.n, 0) > 0 contaminated
+from dw left join covered c using (row_id) left join met m using (row_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark passages of ten words."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+@query("op3_kneser_ney_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+@query("op6_multiset_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_pii_disclosure")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and revealing terms of every document."""
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
