@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.text import mix64, raw_texts, to_array, to_arrow
+from zoneflow.llm.text import free_prefix, mix64, raw_texts, same_columns, to_array, to_arrow
 
 # Benchmark words that one pass over the documents carries to every task.
 BLOCK_WORDS = 1_000_000
@@ -90,11 +90,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int
     return [[(r.item, r.text.encode()) for r in items.where(block == b).collect()] for b in range(count)]
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, bytes]], width: int) -> DataFrame:
-    """Add a block's items and word ranges to the columns `_items` and `_ranges`."""
-    schema = docs.schema
-    names = [f.name for f in schema]
-    wanted = to_arrow(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+def _scan(docs: DataFrame, items: list[tuple[str, bytes]], width: int, text_col: str, mark: str) -> DataFrame:
+    """Add a block's items and word ranges to the columns `items` and `ranges`, whose names begin with `mark`."""
+    names, wanted = same_columns(docs)
     shared = docs.sparkSession.sparkContext.broadcast(items)
     built = []
 
@@ -103,31 +101,29 @@ def _scan(docs: DataFrame, items: list[tuple[str, bytes]], width: int) -> DataFr
             built.append(Windows(shared.value, width))
         for batch in batches:
             all_items, all_ranges = [], []
-            old = zip(batch.column("_items").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)
-            for raw, (had, ranges) in zip(raw_texts(batch.column("_text")), old, strict=True):
+            old = zip(batch.column(f"{mark}items").to_pylist(), batch.column(f"{mark}ranges").to_pylist(), strict=True)
+            for raw, (had, ranges) in zip(raw_texts(batch.column(text_col)), old, strict=True):
                 items_, more = built[0].hits(words(raw))
                 all_items.append(sorted({*had, *items_}))
                 all_ranges.append(ranges + [x for pair in more for x in pair])
-            new = {"_items": all_items, "_ranges": all_ranges}
+            new = {f"{mark}items": all_items, f"{mark}ranges": all_ranges}
             yield pa.RecordBatch.from_arrays(
-                [to_array(new.get(n, batch.column(n)), wanted.field(n).type) for n in names], schema=wanted)
+                [to_array(new[n] if n in new else batch.column(n), wanted.field(n).type) for n in names], schema=wanted)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def scan_windows(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_col: str = "text", item_col: str = "item_id",
-                 benchmark_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """`docs` with `_text`, `_items` (sorted ids of the items met) and `_ranges` (flat word starts and ends).
+                 benchmark_text: str = "text", block_words: int = BLOCK_WORDS, mark: str = "_") -> DataFrame:
+    """`docs` with the columns `items` (sorted ids of the items met) and `ranges` (flat word starts and ends).
 
     A window is `width` consecutive item words, or all words of a shorter item.
     Null texts have no words; items with a null id or text are ignored; items
-    that repeat count once. Columns of `docs` that begin with an underscore and
-    bear these names are replaced.
+    that repeat count once. The new names begin with `mark`.
     """
-    state = docs.drop("_items", "_ranges").withColumns({
-        "_text": F.col(text_col), "_items": F.array().cast("array<string>"), "_ranges": F.array().cast("array<int>")})
+    state = docs.withColumns({f"{mark}items": F.array().cast("array<string>"), f"{mark}ranges": F.array().cast("array<int>")})
     for items in _blocks(benchmark, item_col, benchmark_text, block_words):
-        state = _scan(state, items, width)
+        state = _scan(state, items, width, text_col, mark)
     return state
 
 
@@ -148,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, **name
     def run(batches):
         for batch in batches:
             n_words, n_hit, n_items, digests = [], [], [], []
-            rows = zip(raw_texts(batch.column("_text")), batch.column("_items").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)
+            rows = zip(raw_texts(batch.column("text")), batch.column("_items").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)
             for raw, items, ranges in rows:
                 n = len(words(raw))
                 n_words.append(n)
@@ -158,7 +154,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, **name
             out = [batch.column("doc_id"), n_words, n_hit, n_items, digests, [h > 0 for h in n_hit]]
             yield pa.RecordBatch.from_arrays([to_array(x, f.type) for x, f in zip(out, wanted, strict=True)], schema=wanted)
 
-    return found.select("doc_id", "_text", "_items", "_ranges").mapInArrow(run, schema)
+    return found.mapInArrow(run, schema)
 
 
 def _without(raw: bytes, ranges: list[int]) -> bytes:
@@ -179,24 +175,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, drop_s
     that form another window, so hit documents are scanned again `rounds` times
     in the same pipeline; one that still has a hit after that goes too.
     """
-    schema = docs.schema
-    state = docs
+    names, wanted = same_columns(docs)
+    mark, state = free_prefix(names), docs
     for last in [False] * rounds + [True]:
-        state = _cut(scan_windows(state, benchmark, width, block_words=block_words), schema, 0.0 if last else drop_share)
+        found = scan_windows(state, benchmark, width, block_words=block_words, mark=mark)
+        state = found.mapInArrow(_cutter(names, wanted, f"{mark}ranges", 0.0 if last else drop_share), docs.schema)
     return state
 
 
-def _cut(found: DataFrame, schema, drop_share: float) -> DataFrame:
-    names = [f.name for f in schema]
-    wanted = to_arrow(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
-
+def _cutter(names: list[str], wanted: pa.Schema, ranges_col: str, drop_share: float):
     def run(batches):
         for batch in batches:
             texts, keep = [], []
-            for raw, ranges in zip(raw_texts(batch.column("text")), batch.column("_ranges").to_pylist(), strict=True):
+            for raw, ranges in zip(raw_texts(batch.column("text")), batch.column(ranges_col).to_pylist(), strict=True):
                 keep.append(not ranges or bool(_covered(ranges, n := len(words(raw))).sum() <= drop_share * n))
-                texts.append(_without(raw, ranges).decode() if ranges and keep[-1] else raw and raw.decode())
+                texts.append(_without(raw, ranges).decode() if ranges and keep[-1] else raw if raw is None else raw.decode())
             out = [to_array(texts if n == "text" else batch.column(n), wanted.field(n).type) for n in names]
             yield pa.RecordBatch.from_arrays(out, schema=wanted).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(run, schema)
+    return run

@@ -17,9 +17,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.llm.decontaminate import words
-from zoneflow.llm.text import map_batches, raw_texts, to_array, to_arrow
+from zoneflow.llm.text import free_prefix, map_batches, raw_texts, same_columns, to_array, to_arrow
 from zoneflow.session import write_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -189,13 +190,11 @@ def _masked(text: str, spans: list[Span]) -> str:
 
 def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """Rows of `docs` with entities generalised to their kind and revealing terms to a mark; other rows stay as they are."""
-    schema = docs.schema
-    names = [f.name for f in schema]
-    wanted = to_arrow(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
+    names, wanted = same_columns(docs)
     found = write_table(find_entities(docs), "entities")
     added = term_spans(found, revealing_terms(found, docs, support, disclosure))
     # `digest` and `terms` under names that the rows cannot have.
-    free = "_" * (1 + max(map(len, names)))
+    free = free_prefix(names)
     hit = found.where(F.size("spans") > 0).select("digest").distinct().join(added, "digest", "left").select(
         F.col("digest").alias(f"{free}d"), F.coalesce("terms", F.array().cast(_SPANS)).alias(f"{free}t"))
 
@@ -209,7 +208,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLO
                 rows = pa.RecordBatch.from_arrays([to_array(batch.column(n), wanted.field(n).type) for n in names] + [pa.array([_digest(t) for t in texts])], schema=extra)
                 yield rows.filter(pa.array(keep, pa.bool_()))
 
-        return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", {free}d string")
+        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(f"{free}d", T.StringType())]))
 
     def mask(batches):
         for batch in batches:
@@ -219,4 +218,4 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLO
             yield pa.RecordBatch.from_arrays(
                 [to_array(texts if n == "text" else batch.column(n), wanted.field(n).type) for n in names], schema=wanted)
 
-    return split(False).select(*names).unionByName(split(True).join(hit, f"{free}d").mapInArrow(mask, schema))
+    return split(False).drop(f"{free}d").unionByName(split(True).join(hit, f"{free}d").mapInArrow(mask, docs.schema))

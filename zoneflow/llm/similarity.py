@@ -264,3 +264,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     rows = index.select("doc_id", "n", "one", "two").join(groups, ["one", "two", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of `docs` without those that a smaller id of their group stands for; all columns are kept.
+
+    Empty and null texts and null ids stay. Rows that repeat an id are one
+    document and stay or go together.
+    """
+    found = jaccard_components(docs, width, percent)
+    extra = write_table(found.where("doc_id <> component_id").select("doc_id").distinct(), "extra")
+    return docs.join(extra, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

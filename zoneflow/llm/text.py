@@ -90,3 +90,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a row's labels stay unseen: crc32 of the id as text is a multiple of five. A null id counts as seen."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def free_prefix(columns: list[str]) -> str:
+    """A prefix that no column name begins with."""
+    return "_" * (1 + max(map(len, columns), default=0))
+
+
+def same_columns(df: DataFrame) -> tuple[list[str], pa.Schema]:
+    """Names and Arrow schema of the columns of `df`."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return df.columns, to_arrow_schema(df.schema)
