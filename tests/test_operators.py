@@ -216,7 +216,7 @@ def test_live_flow_of_nothing_and_of_one_second(spark):
     rows = [(f"E{i}", T0, "ENTRY", 0, 20.0, 0.0) for i in range(3)] + [("E9", minute(-5), "EXIT", 30, 19.0, 1.0)]
     row = aggregates.live_flow(spark.createDataFrame(rows, schema)).first()
     assert (row["entries"], row["exits"], row["peak_events_per_second"], row["events_per_second"]) == (3, 0, 3, 2.0)
-    assert (row["median_dwell"], row["temperature"]) == (30.0, 20.0)
+    assert (row["median_dwell"], row["temperature"]) == (0.0, 20.0)
     empty = aggregates.live_flow(spark.createDataFrame([], schema)).first()
     assert (empty["entries"], empty["peak_events_per_second"], empty["median_dwell"]) == (0, 0, 0.0)
 
@@ -348,8 +348,18 @@ def test_bloom_position_widths(spark, m):
     assert got == [int(hashlib.sha256(f"abc:{i}".encode()).hexdigest(), 16) % m for i in range(2)]
 
 
-def test_bloom_rate_bound():
-    assert bloom.expected_rate(1000, 1_000_000, 5) < 0.001
+def test_bloom_rate_bound(spark):
+    stats = bloom.bloom_stats(F.lit(1000), 1_000_000, 5)
+    assert spark.range(1).select(stats["false_positive_pct"].alias("p")).first()["p"] < 0.1
+
+
+def test_bloom_flag_of_a_null_id_is_null_either_way(spark, monkeypatch):
+    df = spark.createDataFrame([("a",), (None,)], "event_id string")
+    built = bloom.bloom_build(df.na.drop(), "event_id", 4096, 3)
+    for bits in (1 << 26, 0):
+        monkeypatch.setattr(bloom, "MAX_LOOKUP_BITS", bits)
+        got = {r["event_id"]: r["maybe_seen"] for r in bloom.bloom_contains(df, "event_id", built, 4096, 3).collect()}
+        assert got == {"a": True, None: None}
 
 
 # Scalars, sources, sinks, models -------------------------------------------------------
@@ -408,8 +418,18 @@ def test_deep_page_equals_top_k_page(spark, many_chunks):
         assert sorted(near) == sorted(paging.deep_page(df, 80, 20, order).collect())
     assert paging.page(df, 99, 50, ["id"]).count() == 50
     assert paging.page(df, 99, 50, ["id"], clamp=False).count() == 0
-    with pytest.raises(ValueError):
-        paging.deep_page(df, 0, 5, ["g", "-id"])
+    mixed = [tuple(r) for r in paging.deep_page(df, 40, 10, ["g", "-id"]).collect()]
+    assert mixed == sorted(((i, i % 7) for i in range(300)), key=lambda r: (r[1], -r[0]))[40:50]
+    assert [tuple(r) for r in paging.page(df, 5, 10, ["g", "-id"]).collect()] == mixed
+    assert [r["id"] for r in paging.last_points(df, 3, ["id"]).collect()] == [297, 298, 299]
+
+
+def test_ids_of_long_numbers_stay_whole(spark):
+    from zoneflow.operators.occupancy import sessions_to_events
+    df = spark.createDataFrame([(5_000_000_000, T0, minute(1), 1), (5_000_000_001, T0, minute(1), 1), (7, T0, minute(1), 1)],
+                               "session_id long, entry_ts timestamp, exit_ts timestamp, dwell_min int")
+    got = {r["event_id"] for r in sessions_to_events(df).collect()}
+    assert got == {"E10000000000", "E10000000001", "E10000000002", "E10000000003", "E000000014", "E000000015"}
 
 
 def test_state_precedence(spark):

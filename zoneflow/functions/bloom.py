@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,7 +39,7 @@ def bloom_build(ids: DataFrame, column: str, m: int, k: int) -> DataFrame:
 
 
 def bloom_contains(ids: DataFrame, column: str, bloom: DataFrame, m: int, k: int, out: str = "maybe_seen") -> DataFrame:
-    """Add a flag: False is certain, True may be a false positive.
+    """Add a flag: False is certain, True may be a false positive, a null id has null.
 
     A small filter is a constant array that every row looks into; a larger one
     is joined word by word.
@@ -61,8 +60,9 @@ def bloom_contains(ids: DataFrame, column: str, bloom: DataFrame, m: int, k: int
             word = F.element_at(dense, (F.floor(p / WORD) + 1).cast("int"))
             return F.getbit(word, (p % WORD).cast("int")).cast("int")
 
-        return ids.withColumn(out, reduce(Column.__add__, [bit(i) for i in range(k)]) == k)
-    distinct = ids.select(column).distinct().withColumn("_p", F.explode(positions(F.col(column), m, k)))
+        found = reduce(Column.__add__, [bit(i) for i in range(k)]) == k
+        return ids.withColumn(out, F.when(F.col(column).isNotNull(), found))
+    distinct = ids.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_p", F.explode(positions(F.col(column), m, k)))
     probes = distinct.withColumn("word", (F.col("_p") / WORD).cast("bigint")).join(bloom, "word", "left")
     hit = F.coalesce(F.getbit("bits", (F.col("_p") % WORD).cast("int")) == 1, F.lit(False))
     flags = probes.groupBy(column).agg(F.min(hit).alias(out))
@@ -83,7 +83,3 @@ def bloom_stats(n: Column, m: int, k: int) -> dict[str, Column]:
         "false_positive_pct": F.round(false_positive_rate(n, m, k) * 100, 6),
         "memory_kb": F.lit(m // 8 // 1024),
     }
-
-
-def expected_rate(n: int, m: int, k: int) -> float:
-    return (1 - math.exp(-k * n / m)) ** k

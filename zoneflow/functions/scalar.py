@@ -57,6 +57,12 @@ def utilization(occupancy: ColumnLike, capacity: ColumnLike, clipped: bool = Fal
     return clip(pct, 0.0, 100.0) if clipped else pct
 
 
+def padded(number: Column, width: int) -> Column:
+    """Digits filled up with zeros to `width`; a longer number stays whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")
+
+
 def available_bays(occupancy: ColumnLike, capacity: ColumnLike) -> Column:
     return F.greatest(F.lit(0), _col(capacity) - _col(occupancy))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from zoneflow.functions.scalar import available_bays, clip, risk_level, utilization
+from zoneflow.functions.scalar import available_bays, clip, padded, risk_level, utilization
 from zoneflow.operators.ordered import dense_index, running_sum_in_time
 
 # Equal times are settled by event type (ENTRY before EXIT), then by id.
@@ -16,9 +16,8 @@ EVENT_ORDER = ["timestamp", "event_type", "event_id"]
 def sessions_to_events(sessions: DataFrame) -> DataFrame:
     """One ENTRY and one EXIT row per stay, from a single scan of the stays."""
     def half(bit: int, kind: str, ts: str, minutes: Column) -> Column:
-        number = (F.col("session_id") * 2 + bit).cast("string")
         return F.struct(
-            F.concat(F.lit("E"), F.lpad(number, 9, "0")).alias("event_id"),
+            F.concat(F.lit("E"), padded(F.col("session_id") * 2 + bit, 9)).alias("event_id"),
             F.col(ts).alias("timestamp"),
             F.lit(kind).alias("event_type"),
             minutes.cast("int").alias("parking_duration"),
@@ -42,9 +41,7 @@ def running_occupancy(ev: DataFrame) -> DataFrame:
 def assign_event_ids(ev: DataFrame, order: list[str], out: str = "event_id") -> DataFrame:
     """Dense ids `E00000001`, ... along a total order."""
     numbered = dense_index(ev, order, "_index")
-    text = F.col("_index").cast("string")
-    padded = F.when(F.length(text) < 8, F.lpad(text, 8, "0")).otherwise(text)
-    return numbered.withColumn(out, F.concat(F.lit("E"), padded)).drop("_index")
+    return numbered.withColumn(out, F.concat(F.lit("E"), padded(F.col("_index"), 8))).drop("_index")
 
 
 def last_per_instant(ev: DataFrame) -> DataFrame:

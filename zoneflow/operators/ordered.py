@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from zoneflow.session import write_table
 
 CHUNK = "_chunk"
-# Rows of one key and hour that one task may sort.
+# Rows of one key and hour that one task may sort: tunes the plan, never the result.
 HOT_ROWS = 5_000_000
 
 
@@ -28,7 +28,7 @@ def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Dat
     return rows.join(renamed, same).drop(*[f"_g_{k}" for k in keys])
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str], name: str = "chunks") -> DataFrame:
+def range_chunks(df: DataFrame, keys: Sequence[str | Column], name: str = "chunks") -> DataFrame:
     """`df` cut into consecutive ranges of `keys`, numbered in `_chunk`.
 
     Range bounds come from a sample, so a second evaluation would move them.
@@ -86,7 +86,7 @@ def running_sum_in_time(
     return cold.unionByName(lifted.withColumn(out, F.col(out) + F.col("_carry")).drop("_carry")).drop("_cell")
 
 
-def dense_index(df: DataFrame, order: Sequence[str], out: str = "row_index") -> DataFrame:
+def dense_index(df: DataFrame, order: Sequence[str | Column], out: str = "row_index") -> DataFrame:
     """Number rows 1..n along the total order `order` without a one-task sort."""
     chunks = range_chunks(df, order, "dense_index")
     # One row per chunk: the only frame that is not partitioned.

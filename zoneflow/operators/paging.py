@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.operators.cleaning import union_events
 from zoneflow.operators.ordered import dense_index
 
-# Up to here a page is a top-k; beyond it a single task would hold too much.
+# Up to here a page is a top-k; beyond it a single task would hold too much. Both ways give the same rows in the same order.
 TOP_K_ROWS = 100_000
 
 
@@ -34,21 +34,24 @@ def page(df: DataFrame, page: int, limit: int, order: list[str], clamp: bool = T
         number = page_info(df, page, limit).first()["page"]
     start = (number - 1) * limit
     if start + limit <= TOP_K_ROWS:
-        keys = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
-        return df.orderBy(*keys).offset(start).limit(limit)
+        return df.orderBy(*_keys(order)).offset(start).limit(limit)
     return deep_page(df, start, limit, order)
 
 
 def deep_page(df: DataFrame, start: int, limit: int, order: list[str]) -> DataFrame:
-    """Page by distributed row number, whatever its offset."""
-    descending = [c.startswith("-") for c in order]
-    if len(set(descending)) > 1:
-        raise ValueError("a deep page needs one sort direction")
-    indexed = dense_index(df, [c.lstrip("-") for c in order], "_index")
-    if descending[0]:
-        last = indexed.agg(F.max("_index").alias("m")).scalar()
-        indexed = indexed.withColumn("_index", last - F.col("_index") + 1)
-    return indexed.where(F.col("_index").between(start + 1, start + limit)).drop("_index")
+    """Page in order by distributed row number, whatever its offset; directions may be mixed."""
+    indexed = dense_index(df, _keys(order), "_index")
+    return indexed.where(F.col("_index").between(start + 1, start + limit)).orderBy("_index").drop("_index")
+
+
+def last_points(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The last `n` rows along `order`, in that order: the tail of a series."""
+    back = [c[1:] if c.startswith("-") else f"-{c}" for c in order]
+    return df.orderBy(*_keys(back)).limit(n).orderBy(*_keys(order))
+
+
+def _keys(order: list[str]) -> list[Column]:
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

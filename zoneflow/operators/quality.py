@@ -26,9 +26,9 @@ def quality_counts(ev: DataFrame) -> DataFrame:
     )
 
 
-def quality_scores(ev: DataFrame, n: int = 10_000, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
-    """Four percentages over the newest `n` rows, and their mean."""
-    sample = ev.orderBy(*[F.desc(c) for c in order]).limit(n)
+def quality_scores(ev: DataFrame, n: int | None = None, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
+    """Four percentages over all rows, or over the newest `n` if asked for, and their mean."""
+    sample = ev if n is None else ev.orderBy(*[F.desc(c) for c in order]).limit(n)
     in_range = (F.col("occupancy") >= 0) & (F.col("capacity") > 0) & (F.col("occupancy") <= F.col("capacity"))
     present = sum(c in ev.columns for c in REQUIRED_FIELDS) / len(REQUIRED_FIELDS) * 100
 

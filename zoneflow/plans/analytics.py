@@ -75,28 +75,27 @@ def _(spark, d):
     return aggregates.network_kpis(frames.state(spark, d))
 
 
-def _flow_sql(newest: int, window: str) -> str:
+def _flow_sql(window: str) -> str:
     return sql("""
     select count(*) filter (event_type = 'ENTRY') entries, count(*) filter (event_type = 'EXIT') exits,
            count(*) filter (event_type = 'ENTRY') - count(*) filter (event_type = 'EXIT') flow_delta,
            (select max(n) from (select count(*) n from minute group by date_trunc('second', "timestamp"))) peak_events_per_second,
            round(greatest(0, count(*) - 1) / greatest(1, epoch(max("timestamp") - min("timestamp"))), 2) events_per_second,
-           (select round(coalesce(median(parking_duration) filter (parking_duration > 0), 0), 1) from newest) median_dwell,
-           (select arg_max(temperature, ("timestamp", event_id)) from newest) temperature,
-           (select arg_max(rainfall, ("timestamp", event_id)) from newest) rainfall
+           (select round(coalesce(median(parking_duration) filter (parking_duration > 0), 0), 1) from minute) median_dwell,
+           (select arg_max(temperature, ("timestamp", event_id)) from minute) temperature,
+           (select arg_max(rainfall, ("timestamp", event_id)) from minute) rainfall
     from minute""", f"""
-    newest as (select * from ev order by "timestamp" desc, event_id desc limit {newest}),
-    minute as (select * from newest where "timestamp" >= (select max("timestamp") - interval {window} from newest))""")
+    minute as (select * from ev where "timestamp" >= (select max("timestamp") - interval {window} from ev))""")
 
 
-@query("a9_live_flow", _flow_sql(500, "60 second"))
+@query("a9_live_flow", _flow_sql("60 second"))
 def _(spark, d):
     return aggregates.live_flow(sample.events(spark, d))
 
 
-@query("a9_live_flow_hour", _flow_sql(2000, "1 hour"))
+@query("a9_live_flow_hour", _flow_sql("1 hour"))
 def _(spark, d):
-    return aggregates.live_flow(sample.events(spark, d), newest=2000, window="1 HOUR")
+    return aggregates.live_flow(sample.events(spark, d), window="1 HOUR")
 
 
 _TREND_SQL = """
@@ -338,7 +337,7 @@ def _(spark, d):
 def _(spark, d):
     """Commit lines of the log, those of the `error` channel malformed."""
     log = sample.event_log(spark, d)
-    session = F.floor(F.substring("event_id", 2, 9).cast("bigint") / 2)
+    session = F.floor(F.expr("substring(event_id, 2)").cast("bigint") / 2)
     sign = F.when(F.col("event_type") == "ENTRY", 1).otherwise(-1)
     number = F.substring("zone_id", 2, 3).cast("int") - 1
     good = F.concat_ws(":", F.lit("events"), "event_type", number.cast("string"), (session * 2 + sign).cast("string"))
@@ -446,6 +445,14 @@ def _(spark, d):
     return paging.deep_page(orders, 1000, 50, ["-o_totalprice", "-o_orderkey"])
 
 
+@query("l4_last_points", sql("""
+    select "timestamp", event_id, occupancy from (
+      select * from ev where zone_id = 'Z001' order by "timestamp" desc, event_id desc limit 960)"""))
+def _(spark, d):
+    series = sample.events(spark, d).where("zone_id = 'Z001'").select("timestamp", "event_id", "occupancy")
+    return paging.last_points(series, 960, ["timestamp", "event_id"])
+
+
 @query("l4_page_info", """
     select count(*) total, greatest(1, ceil(count(*) / 200.0))::int pages, greatest(1, ceil(count(*) / 200.0))::int page from orders""")
 def _(spark, d):

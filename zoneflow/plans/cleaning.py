@@ -99,7 +99,7 @@ def _(spark, d):
         F.when(is_way, F.struct(lat.alias("lat"), lon.alias("lon"))).alias("center"), tags.alias("tags"),
     )
     documents = c.select(F.to_json(F.struct(F.array(element).alias("elements"))).alias("value"))
-    return poi.flatten_poi(documents, limit=None)
+    return poi.flatten_poi(documents)
 
 
 @query("s8_registered_view", sql("select zone_id, count(*) n from ev group by 1"))
@@ -285,9 +285,9 @@ def _(spark, d):
            100.0::double schema_compliance,
            round((200 + round(count(distinct event_id)::double / count(*) * 100, 2)
              + round(avg((occupancy >= 0 and capacity > 0 and occupancy <= capacity)::int) * 100, 2)) / 4, 2) quality_average
-    from (select * from arrivals order by "timestamp" desc, event_id desc, arrival desc limit 10000)"""))
+    from (select * from arrivals)"""))
 def _(spark, d):
-    return quality.quality_scores(sample.arrivals(spark, d), order=("timestamp", "event_id", "arrival"))
+    return quality.quality_scores(sample.arrivals(spark, d))
 
 
 @query("q3_check_constraints", sql("""

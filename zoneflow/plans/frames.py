@@ -7,15 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.ml.forecast import predictions
-from zoneflow.operators.cleaning import last_interval
 from zoneflow.operators.grid import build_features
 from zoneflow.operators.occupancy import latest_per_zone, zone_state
-from zoneflow.operators.paging import recent_events
 from zoneflow.sources import sample
 
-LIVE_ROWS = 1000
-MANUAL_AGE = "6 HOUR"
-
 
 def rounded(df: DataFrame, places: int = 9) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
@@ -38,12 +33,12 @@ def snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def manual(spark: SparkSession, d: str) -> DataFrame:
-    return last_interval(sample.operator_rows(spark, d), "timestamp", MANUAL_AGE)
+    return sample.operator_rows(spark, d)
 
 
 def state(spark: SparkSession, d: str) -> DataFrame:
-    live = recent_events(sample.events(spark, d), n=LIVE_ROWS)
-    return zone_state(sample.zones(spark, d), snapshot(spark, d), live, manual(spark, d))
+    """State of every zone from its newest event and observation in the whole log."""
+    return zone_state(sample.zones(spark, d), snapshot(spark, d), sample.events(spark, d), manual(spark, d))
 
 
 FEATURES_SQL = """
@@ -76,12 +71,10 @@ STATE_SQL = """
 snap as (
   select zone_id, capacity, current_occupancy occupancy from features
   qualify row_number() over (partition by zone_id order by "timestamp" desc) = 1),
-live as (select * from ev order by "timestamp" desc, event_id desc limit 1000),
 live1 as (
-  select * from live qualify row_number() over (partition by zone_id order by "timestamp" desc, event_id desc) = 1),
-manual6 as (select * from manual where "timestamp" >= (select max("timestamp") - interval 6 hour from manual)),
+  select * from ev qualify row_number() over (partition by zone_id order by "timestamp" desc, event_id desc) = 1),
 manual1 as (
-  select * from manual6 qualify row_number() over (partition by zone_id order by "timestamp" desc, event_id desc) = 1),
+  select * from manual qualify row_number() over (partition by zone_id order by "timestamp" desc, event_id desc) = 1),
 merged as (
   select z.*, m.capacity is not null and m.capacity = z.capacity has_manual,
          l.capacity is not null and l.capacity = z.capacity has_live,

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # The derived fixture in plain SQL: zones, stays, events with running occupancy.
 BASE = """
 with zones as (
-  select n_nationkey zone_key, 'Z' || lpad((n_nationkey + 1)::varchar, 3, '0') zone_id, n_name zone_name,
+  select n_nationkey zone_key, 'Z' || lpad((n_nationkey + 1)::varchar, greatest(3, length((n_nationkey + 1)::varchar))::int, '0') zone_id, n_name zone_name,
          (2 + n_nationkey % 4)::int capacity,
          19.0::double + 0.01::double * (n_nationkey % 5) latitude,
          72.8::double + 0.01::double * (n_nationkey // 5) longitude,
@@ -35,7 +35,7 @@ with zones as (
          45.0::double + 5.0::double * (n_nationkey % 10) mean_duration_min
   from nation),
 stays as (
-  select event_id session_id, 'V' || lpad(user_id::varchar, 5, '0') vehicle_id, user_id % 25 zone_key,
+  select event_id session_id, 'V' || lpad(user_id::varchar, greatest(5, length(user_id::varchar))::int, '0') vehicle_id, user_id % 25 zone_key,
          date_trunc('second', ts) entry_ts,
          cast(least(240, greatest(5, round(value))) as int) dwell_min,
          20.0::double + (props->>'k')::int % 16 temperature,
@@ -43,10 +43,10 @@ stays as (
          event_type channel, (props->>'k')::int k
   from events),
 halves as (
-  select 'E' || lpad((session_id * 2)::varchar, 9, '0') event_id, entry_ts as "timestamp", vehicle_id, zone_key,
+  select 'E' || lpad((session_id * 2)::varchar, greatest(9, length((session_id * 2)::varchar))::int, '0') event_id, entry_ts as "timestamp", vehicle_id, zone_key,
          'ENTRY' event_type, 0 parking_duration, 1 sgn, temperature, rainfall, channel, k from stays
   union all
-  select 'E' || lpad((session_id * 2 + 1)::varchar, 9, '0'), entry_ts + to_minutes(dwell_min), vehicle_id, zone_key,
+  select 'E' || lpad((session_id * 2 + 1)::varchar, greatest(9, length((session_id * 2 + 1)::varchar))::int, '0'), entry_ts + to_minutes(dwell_min), vehicle_id, zone_key,
          'EXIT', dwell_min, -1, temperature, rainfall, channel, k from stays),
 elog as (
   select h.event_id, h."timestamp", h.vehicle_id, z.zone_id, h.event_type, h.parking_duration,
@@ -62,7 +62,7 @@ arrivals as (
          case when channel = 'purchase' and k > 95 then occupancy + capacity else occupancy end occupancy,
          case when channel = 'click' and k = 50 then 0 else capacity end capacity,
          latitude, longitude, temperature, rainfall,
-         c.copy * 1000000000 + substr(event_id, 2, 9)::bigint arrival
+         c.copy * 1000000000000000000 + substr(event_id, 2)::bigint arrival
   from elog join (values (0), (1)) c(copy) on c.copy = 0 or channel = 'error'),
 manual as (
   select * exclude (channel, k, occupancy), least(occupancy + 1, capacity) occupancy,

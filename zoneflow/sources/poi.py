@@ -13,14 +13,17 @@ UNSTATED = "unknown"
 SOURCE = "OPENSTREETMAP"
 
 
-def flatten_poi(documents: DataFrame, column: str = "value", limit: int | None = 300) -> DataFrame:
+def flatten_poi(documents: DataFrame, column: str = "value", limit: int | None = None) -> DataFrame:
     """One row per located element; places without coordinates are left out.
 
-    `limit` keeps the first elements in document order of a small answer; None
-    keeps all.
+    All places are kept; `limit` asks for the first located elements of each
+    document, in document order.
     """
-    element = F.explode(F.from_json(F.col(column), POI_DOCUMENT)["elements"])
-    rows = documents.select(element.alias("e"))
+    elements = F.from_json(F.col(column), POI_DOCUMENT)["elements"]
+    if limit is not None:
+        located = F.filter(elements, lambda e: F.coalesce(e["lat"], e["center"]["lat"]).isNotNull() & F.coalesce(e["lon"], e["center"]["lon"]).isNotNull())
+        elements = F.slice(located, 1, limit)
+    rows = documents.select(F.explode(elements).alias("e"))
     tags = F.coalesce(F.col("e.tags"), F.create_map().cast("map<string,string>"))
 
     def tag(name: str):
@@ -44,4 +47,4 @@ def flatten_poi(documents: DataFrame, column: str = "value", limit: int | None =
         F.lit(SOURCE).alias("source_type"),
         F.lit(False).alias("occupancy_available"),
     ).where("latitude IS NOT NULL AND longitude IS NOT NULL")
-    return flat if limit is None else flat.limit(limit)
+    return flat

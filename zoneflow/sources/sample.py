@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zoneflow.functions.scalar import clip, session_exit
+from zoneflow.functions.scalar import clip, padded, session_exit
 from zoneflow.operators.occupancy import running_occupancy, sessions_to_events
 from zoneflow.schema import EVENT, EVENT_COLUMNS
 from zoneflow.session import save_table
@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("Z"), F.lpad((key + 1).cast("string"), 3, "0")).alias("zone_id"),
+        F.concat(F.lit("Z"), padded(key + 1, 3)).alias("zone_id"),
         F.col("n_name").alias("zone_name"),
         (2 + key % 4).cast("int").alias("capacity"),
         (19.0 + 0.01 * (key % 5)).alias("latitude"),
@@ -47,7 +47,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     dwell = clip(F.round("value"), 5, 240).cast("int")
     stays = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("session_id"),
-        F.concat(F.lit("V"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("vehicle_id"),
+        F.concat(F.lit("V"), padded(F.col("user_id"), 5)).alias("vehicle_id"),
         (F.col("user_id") % 25).cast("int").alias("zone_key"),
         entry.alias("entry_ts"),
         dwell.alias("dwell_min"),
@@ -89,7 +89,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     of delivery.
     """
     log = event_log(spark, sf_dir)
-    number = F.substring("event_id", 2, 9).cast("bigint")
+    number = F.expr("substring(event_id, 2)").cast("bigint")
     copies = F.when(F.col("channel") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     dirty = log.withColumn("copy", F.explode(copies))
     return dirty.select(
@@ -102,7 +102,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("occupancy")).alias("occupancy"),
         F.when((F.col("channel") == "click") & (F.col("k") == 50), F.lit(0)).otherwise(F.col("capacity")).alias("capacity"),
         "latitude", "longitude", "temperature", "rainfall",
-        (F.col("copy").cast("bigint") * 1_000_000_000 + number).alias("arrival"),
+        (F.col("copy").cast("bigint") * 1_000_000_000_000_000_000 + number).alias("arrival"),
     )
 
 
