@@ -25,6 +25,7 @@ from zoneflow.session import write_table
 # Accepted actions, bounds of one command.
 ACTIONS = ("ENTRY", "EXIT", "SET")
 MAX_AMOUNT = 100
+USABLE = "zone_capacity > 0 AND shift IS NOT NULL"
 
 OUTCOME = T.StructType([
     T.StructField("command_id", T.StringType()),
@@ -92,16 +93,19 @@ def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.sort_values(["observed_at", "command_id"], kind="stable")
 
 
-def apply_observations(commands: DataFrame, zones: DataFrame) -> DataFrame:
-    """Outcome of every command, in time order per zone, with the occupancy after it."""
-    ready = prepare(commands, zones)
-    usable = "zone_capacity > 0 AND shift IS NOT NULL"
-    refused = ready.where(f"NOT coalesce({usable}, false)").select(
+def refusals(ready: DataFrame) -> DataFrame:
+    """Outcome of prepared commands that no state can accept."""
+    return ready.where(f"NOT coalesce({USABLE}, false)").select(
         "command_id", "zone_id", "observed_at", "action",
         F.when(F.coalesce(F.col("zone_capacity"), F.lit(0)) <= 0, "UNKNOWN_ZONE").otherwise("UNKNOWN_ACTION").alias("status"),
         F.lit(None).cast("int").alias("occupancy"), F.col("zone_capacity").alias("capacity"),
     )
-    chunks = range_chunks(ready.where(usable), ["zone_id", "observed_at", "command_id"], "commands")
+
+
+def apply_observations(commands: DataFrame, zones: DataFrame) -> DataFrame:
+    """Outcome of every command, in time order per zone, with the occupancy after it."""
+    ready = prepare(commands, zones)
+    chunks = range_chunks(ready.where(USABLE), ["zone_id", "observed_at", "command_id"], "commands")
     group = ["zone_id", CHUNK]
     tables = write_table(
         chunks.groupBy(*group).applyInPandas(
@@ -126,7 +130,7 @@ def apply_observations(commands: DataFrame, zones: DataFrame) -> DataFrame:
         "zone_id", F.col("w.chunk").alias(CHUNK), F.col("w.start").alias("_start")
     )
     done = chunks.join(starts, group).groupBy(*group).applyInPandas(lambda pdf: _replay(_in_order(pdf)), OUTCOME)
-    return done.unionByName(refused)
+    return done.unionByName(refusals(ready))
 
 
 def final_state(outcomes: DataFrame) -> DataFrame:

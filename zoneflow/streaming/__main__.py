@@ -17,13 +17,14 @@ def main() -> None:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--dedup", choices=("exact", "bloom"), default="exact")
     parser.add_argument("--run-seconds", type=float, default=0, help="stop after this time; 0 runs until stopped")
+    parser.add_argument("--max-per-trigger", type=int, help="offsets that one micro-batch takes at most")
     args = parser.parse_args()
     run_stream(build_spark("zoneflow-stream"), StreamConfig(
         bronze=f"{args.output}/bronze", silver=f"{args.output}/silver", checkpoints=args.checkpoints,
         source_options={
             "kafka__bootstrap__servers": args.servers, "subscribe": args.topic, "startingOffsets": args.starting_offsets,
         },
-        run_seconds=args.run_seconds, dedup=args.dedup,
+        run_seconds=args.run_seconds, dedup=args.dedup, max_per_trigger=args.max_per_trigger,
     ))
 
 

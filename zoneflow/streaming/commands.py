@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from zoneflow.operators.commands import OUTCOME, fold_batches, prepare
+from zoneflow.operators.commands import OUTCOME, USABLE, fold_batches, prepare, refusals
 
 
 class ZoneCommands(StatefulProcessor):
@@ -30,12 +30,13 @@ class ZoneCommands(StatefulProcessor):
 
 
 def apply_observations_stream(commands: DataFrame, zones: DataFrame) -> DataFrame:
-    """Outcome of each usable command, against occupancy kept across micro-batches.
+    """Outcome of each command, against occupancy kept across micro-batches; unknown zones and actions are answered too.
 
     A zone is one key here because a command's effect depends on all before
     it; `maxFilesPerTrigger` or `maxOffsetsPerTrigger` bounds a micro-batch.
     """
-    ready = prepare(commands, zones).where("zone_capacity > 0 AND shift IS NOT NULL")
-    return ready.withColumn("set_to", F.col("set_to").cast("double")).groupBy("zone_id").transformWithStateInPandas(
+    ready = prepare(commands, zones)
+    folded = ready.where(USABLE).withColumn("set_to", F.col("set_to").cast("double")).groupBy("zone_id").transformWithStateInPandas(
         ZoneCommands(), outputStructType=OUTCOME, outputMode="append", timeMode="none",
     )
+    return folded.unionByName(refusals(ready))

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from zoneflow.operators.aggregates import flat_window, zone_window_metrics
 from zoneflow.operators.cleaning import valid_events
@@ -16,25 +17,69 @@ from zoneflow.streaming.dedup import dedup_stream
 TRIGGER = "5 seconds"
 WATERMARK = "5 minutes"
 WIDTH = "5 minutes"
+# Files that one micro-batch, or a compaction, writes per day of events.
+FILES_PER_DAY = 4
 
 
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def write_bronze(stream: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
-    """Append cleaned events, partitioned by day and zone so that reads prune both.
+def _by_day(events: DataFrame, files_per_day: int) -> DataFrame:
+    """Rows of a day in at most `files_per_day` tasks, sorted by zone so that a reader skips row groups."""
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_day))
+    return events.withColumn("_salt", salt).repartition("event_date", "_salt").sortWithinPartitions("event_date", "zone_id", "timestamp").drop("_salt")
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def bronze_writer(path: str, files_per_day: int = FILES_PER_DAY):
+    """Sink that appends the events of a micro-batch which Bronze does not hold yet, however late they are.
+
+    A copy bears its event's time, so only the days of the batch are looked
+    up. A batch overwrites its own directories and does not look itself up, so
+    a batch run again after a failure leaves one copy.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.dropDuplicates(["event_id"]).withColumn("event_date", F.to_date("timestamp")).persist()
+        try:
+            days = [r["event_date"] for r in dated.select("event_date").distinct().collect()]
+            if not days:
+                return
+            fresh = dated
+            if _stored(spark, path):
+                held = spark.read.schema("event_id string, event_date date, batch_id bigint").parquet(path)
+                held = held.where(F.col("event_date").isin(days) & (F.col("batch_id") != batch_id))
+                fresh = dated.join(held.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti").select(dated.columns)
+            rows = _by_day(fresh, files_per_day).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            rows.write.partitionBy("event_date", "batch_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        finally:
+            dated.unpersist()
+
+    return write
+
+
+def write_bronze(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, files_per_day: int = FILES_PER_DAY,
+) -> StreamingQuery:
+    """Append valid events, partitioned by day; give it the stream before any watermark, so that late rows stay.
 
     `every=None` takes what is there and ends.
     """
-    dated = stream.withColumn("event_date", F.to_date("timestamp"))
-    writer = (
-        dated.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .partitionBy("event_date", "zone_id").outputMode("append")
-    )
+    writer = stream.writeStream.foreachBatch(bronze_writer(path, files_per_day)).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
+def compact_bronze(spark: SparkSession, path: str, target: str, files_per_day: int = FILES_PER_DAY) -> None:
+    """Copy Bronze to `target` with the batches of a day in a few files; readers of `path` are not disturbed."""
+    rows = spark.read.parquet(path).withColumn("batch_id", F.max("batch_id").over(Window.partitionBy("event_date")))
+    _by_day(rows, files_per_day).write.partitionBy("event_date", "batch_id").mode("overwrite").parquet(target)
+
+
 def silver_writer(path: str):
     """Sink for one micro-batch of window updates.
 
@@ -90,25 +135,35 @@ class StreamConfig:
     every: str | None = TRIGGER
     run_seconds: float = 0
     dedup: str = "exact"
+    # Offsets of a topic, or files, that one micro-batch takes at most.
+    max_per_trigger: int | None = None
+
+
+def source_options(cfg: StreamConfig) -> dict[str, str]:
+    bound = "maxOffsetsPerTrigger" if cfg.source_format == "kafka" else "maxFilesPerTrigger"
+    return cfg.source_options | ({bound: str(cfg.max_per_trigger)} if cfg.max_per_trigger else {})
 
 
-def cleaned_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
-    raw = read_event_stream(spark, cfg.source_format, cfg.source_path, **cfg.source_options)
-    return dedup_stream(valid_events(parse_events(raw)), WATERMARK, cfg.dedup)
+def valid_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """Valid events, copies and late rows among them."""
+    return valid_events(parse_events(read_event_stream(spark, cfg.source_format, cfg.source_path, **source_options(cfg))))
 
 
 def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQuery]:
-    """Run both queries, each on its own checkpoint, and stop both at the end."""
+    """Run both queries, each on its own checkpoint, and stop both at the end.
+
+    Bronze takes every valid event once, late ones too, and keeps no state but
+    itself; only the windows have a watermark and state against copies.
+    """
     if cfg.run_seconds < 0:
         raise ValueError("run_seconds must be zero or greater")
-    events = cleaned_stream(spark, cfg)
+    events = valid_stream(spark, cfg)
     # Spark takes custom state before an aggregation in append mode only.
     mode = "append" if cfg.dedup == "bloom" else "update"
     queries = {
         "bronze": write_bronze(events, cfg.bronze, f"{cfg.checkpoints}/bronze", cfg.every),
-        # The events carry the watermark of the deduplication already.
         "silver": write_silver(
-            zone_window_metrics(events, WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every, mode
+            zone_window_metrics(dedup_stream(events, WATERMARK, cfg.dedup), WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every, mode
         ),
     }
     try:
