@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from zoneflow.session import build_spark  # noqa: E402
+from zoneflow.session import build_spark, release  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,6 +18,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

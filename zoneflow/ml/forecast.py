@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions.scalar import available_bays, clip, risk_level, utilization
 from zoneflow.operators.aggregates import regression_metrics
-from zoneflow.operators.grid import FEATURES
 from zoneflow.operators.occupancy import latest_per_zone
 
 # Published linear model.
@@ -194,7 +193,3 @@ def weather_now(live: DataFrame, ev: DataFrame) -> DataFrame:
         F.coalesce(reading.select("t").scalar(), F.col("t")).alias("temperature"),
         F.coalesce(reading.select("r").scalar(), F.col("r")).alias("rainfall"),
     )
-
-
-def feature_columns() -> list[str]:
-    return list(FEATURES)

@@ -26,6 +26,8 @@ _CUBE_KM = 0.5
 _LEVELS = 16  # the largest cube holds the whole earth
 _SLACK = 0.02  # scores are compared after rounding to two places
 _SIDE = 1 << 15
+# Cube sizes of the descent, each an eighth of the one before.
+_DESCENT = (12, 9, 6, 3, 0)
 
 
 def _cube_size(level: Column) -> Column:
@@ -104,27 +106,26 @@ def reroute_candidates(state: DataFrame, k: int = TOP_K) -> DataFrame:
         .where(F.col("_rn") == k).select("source_zone", (F.col("_s") - _SLACK).alias("_bound"))
     )
 
-    # 3. Nothing beyond this radius can reach the bound: look into the 27 cubes
-    #    of the first size that covers it.
-    top_base = useful.agg(F.max("_base").alias("b")).scalar()
-    radius = F.greatest(F.lit(_CUBE_KM), (top_base - F.col("_bound")) / KM_WEIGHT)
-    widest = F.lit(_LEVELS - 1)
-    level = F.least(widest, F.ceil(F.log2(radius / _CUBE_KM)))
-    # Fewer than k destinations in all: no bound, so look everywhere.
-    level = F.when(F.col("_bound").isNull(), widest).otherwise(level).cast("int")
-    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    looking = (
-        source.join(bound, "source_zone", "left").withColumn("_level", level)
-        .select(
-            "source_zone", "_slat", "_slon", "_bound", "_level",
-            *[_axis(a, F.col("_level")).alias(a) for a in ("_x", "_y", "_z")],
+    # 3. Descend from the cube that holds all places: a smaller cube is looked into where its best base, less the
+    #    way to the nearest side of the box around its own places, still reaches the bound. One outstanding zone opens
+    #    the way to itself only.
+    frontier = source.join(bound, "source_zone", "left").withColumn("_cube", _own_cube(F.lit(_LEVELS - 1)))
+    members = useful.withColumn("_parent", _own_cube(F.lit(_LEVELS - 1)))
+    for level in _DESCENT:
+        members = members.withColumn("_cube", _own_cube(F.lit(level)))
+        boxes = members.groupBy("_parent", "_cube").agg(
+            F.max("_base").alias("_top"), *[f(a).alias(f"{n}{a}") for a in ("_x", "_y", "_z") for n, f in (("low", F.min), ("high", F.max))])
+        boxes = boxes.withColumnRenamed("_cube", "_child")
+        apart = [F.greatest(F.lit(0.0), F.col(f"low{a}") - F.col(a), F.col(a) - F.col(f"high{a}")) for a in ("_x", "_y", "_z")]
+        reach = F.col("_top") - F.sqrt(sum((d * d for d in apart[1:]), apart[0] * apart[0])) * KM_WEIGHT
+        frontier = (
+            frontier.join(boxes, frontier["_cube"] == boxes["_parent"])
+            .where(F.col("_bound").isNull() | (reach >= F.col("_bound")))
+            .select("source_zone", "_slat", "_slon", "_x", "_y", "_z", "_bound", F.col("_child").alias("_cube"))
         )
-        .withColumn("_i", step).withColumn("_j", step).withColumn("_m", step)
-        .select("source_zone", "_slat", "_slon", "_bound", _cube_key(
-            F.col("_level"), F.col("_x") + F.col("_i"), F.col("_y") + F.col("_j"), F.col("_z") + F.col("_m")
-        ).alias("_cube"))
-    )
-    pairs = looking.join(_pyramid(useful), "_cube").where(F.col("source_zone") != F.col("zone_id"))
+        members = members.withColumn("_parent", F.col("_cube"))
+    targets = members.drop("_x", "_y", "_z", "_parent")
+    pairs = frontier.drop("_x", "_y", "_z").join(targets, "_cube").where(F.col("source_zone") != F.col("zone_id"))
     scored = pairs.withColumn("_km", km).where(F.col("_bound").isNull() | (_score(F.col("_km")) >= F.col("_bound")))
     ranked = scored.withColumn("recommendation_score", F.round(_score(F.col("_km")), 2)).withColumn(
         "rank", F.row_number().over(by_source.orderBy(F.desc("recommendation_score"), "zone_id"))

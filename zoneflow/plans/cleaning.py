@@ -13,23 +13,22 @@ from zoneflow.plans import frames
 from zoneflow.plans.frames import FEATURES_SQL, STATE_SQL, rounded
 from zoneflow.plans.registry import query, sql
 from zoneflow.schema import EVENT_COLUMNS
-from zoneflow.session import shared_dir
+from zoneflow.session import once, shared_dir
 from zoneflow.sinks import to_geojson
 from zoneflow.sources import files, poi, sample, stream
 
 _ARRIVAL_ORDER = ["timestamp", "arrival"]
-_CSV: dict[tuple[str, str], str] = {}
 _EVENT_SQL = ", ".join(f'"{c}"' for c in EVENT_COLUMNS)
 
 
 def _csv_copy(spark, d) -> str:
     """The log as CSV in the shared folder, written once per application."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _CSV:
+    def write() -> str:
         path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex[:12]}"
         sample.events(spark, d).write.option("header", True).csv(path)
-        _CSV[key] = path
-    return _CSV[key]
+        return path
+
+    return once(spark, ("csv", d), write)
 
 
 @query("s1_events_csv", sql(f"select {_EVENT_SQL} from ev"))

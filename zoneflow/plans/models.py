@@ -1,4 +1,4 @@
-"""Queries that train models. Their results vary with the engine, so they have no SQL.
+"""Queries that train models. Their numbers vary with the engine, so SQL checks what must hold of them.
 
 The trees here are smaller than the library's defaults, which take minutes on
 one machine; the data is the whole feature table.
@@ -6,11 +6,15 @@ one machine; the data is the whole feature table.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from zoneflow.ml import forecast, models
-from zoneflow.operators.aggregates import regression_metrics
-from zoneflow.operators.grid import TARGET
+from zoneflow.operators.grid import FEATURES, TARGET
 from zoneflow.plans import frames
-from zoneflow.plans.registry import query
+from zoneflow.plans.frames import FEATURES_SQL
+from zoneflow.plans.registry import query, sql
 from zoneflow.session import write_table
 
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 8}
@@ -23,37 +27,59 @@ def _split(spark, d):
 
 
 def _held_out(model, held):
+    """Held-out rows, and whether the model errs less than the mean of the held-out rows would."""
     scored = model.transform(models.complete(held))
-    return regression_metrics(scored, [model.stages[-1].getPredictionCol()], actual=TARGET)
+    error = F.col(TARGET) - F.col(model.stages[-1].getPredictionCol())
+    return scored.agg(
+        F.count("*").alias("n"), (F.sum(error * error) < F.var_pop(TARGET) * F.count("*")).alias("beats_mean"))
 
 
-@query("ml3_forest")
+_SPLIT_SQL = """
+marked as (
+  select *, ('0x' || substr(md5(zone_id || '|' || strftime("timestamp", '%Y-%m-%d %H:%M:%S')), 1, 8))::bigint % 5 = 0 held from features)
+"""
+_HELD_OUT_SQL = sql("select count(*) n, true beats_mean from marked where held", FEATURES_SQL, _SPLIT_SQL)
+
+
+@query("ml3_forest", _HELD_OUT_SQL)
 def _(spark, d):
     train, held = _split(spark, d)
     return _held_out(models.fit_forest(train, **SMALL_FOREST), held)
 
 
-@query("ml4_boosted")
+@query("ml4_boosted", _HELD_OUT_SQL)
 def _(spark, d):
     train, held = _split(spark, d)
     return _held_out(models.fit_boosted(train, **SMALL_BOOSTED), held)
 
 
-@query("ml5_linear")
+@query("ml5_linear", "select unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) feature, 0.0::double gradient")
 def _(spark, d):
-    train, held = _split(spark, d)
-    return _held_out(models.fit_linear(train), held)
+    """Least squares leave no feature correlated with the residual: X'r / n is zero to six places."""
+    train, _held = _split(spark, d)
+    scored = models.fit_linear(train).transform(models.complete(train))
+    residual = F.col(TARGET) - F.col("linear_prediction")
+    sums = scored.agg(*[(F.round(F.avg(F.col(c) * residual), 6) + 0.0).alias(c) for c in FEATURES])
+    return sums.unpivot([], list(FEATURES), "feature", "gradient")
 
 
-@query("ml6_trained_importance")
+@query("ml6_trained_importance", "select unnest(['linear', 'random_forest']) model, "
+       f"{len(FEATURES)}::bigint features, 1.0::double total, true non_negative")
 def _(spark, d):
+    """Weights of a model cover all features, sum to one and are never negative."""
     train, _held = _split(spark, d)
     forest = models.importance(models.fit_forest(train, **SMALL_FOREST), train, "random_forest")
-    return forest.unionByName(models.importance(models.fit_linear(train), train, "linear"))
+    both = forest.unionByName(models.importance(models.fit_linear(train), train, "linear"))
+    return both.groupBy("model").agg(
+        F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        (F.min("importance") >= 0).alias("non_negative"))
 
 
-@query("ml8_score_recent_models")
+@query("ml8_score_recent_models", sql("""
+    select "timestamp", zone_id, round(future_occupancy, 9) actual_occupancy, held::int is_validation, true in_bounds
+    from marked where "timestamp" >= (select max("timestamp") - interval 7 day from features)""", FEATURES_SQL, _SPLIT_SQL))
 def _(spark, d):
+    """Keys, target and split of the recent rows; every model's prediction lies between zero and the capacity."""
     features = write_table(frames.features(spark, d), "features")
     train, _held = forecast.split(features)
     fitted = {
@@ -61,4 +87,8 @@ def _(spark, d):
         "xgboost": models.fit_boosted(train, **SMALL_BOOSTED),
         "linear": models.fit_linear(train),
     }
-    return models.score_recent(fitted, features)
+    scored = models.score_recent(fitted, features)
+    columns = ["predicted_occupancy", *[m.stages[-1].getPredictionCol() for m in fitted.values()]]
+    inside = reduce(lambda a, b: a & b, [F.col(c).between(0, F.col("capacity")) for c in columns])
+    return scored.select(
+        "timestamp", "zone_id", F.round("actual_occupancy", 9).alias("actual_occupancy"), "is_validation", inside.alias("in_bounds"))

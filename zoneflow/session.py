@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{shared_dir(spark)}/checkpoint")
 
 
+_ONCE: dict[tuple[str, ...], str] = {}
+
+
+def once(spark: SparkSession, key: tuple[str, ...], write: Callable[[], str]) -> str:
+    """Path that `write` returned for this key in this application; `release` forgets it."""
+    own = (spark.sparkContext.applicationId, *key)
+    if own not in _ONCE:
+        _ONCE[own] = write()
+    return _ONCE[own]
+
+
 def release(spark: SparkSession) -> None:
-    """Remove the tables this application wrote to the shared folder, once nothing reads them."""
+    """Remove the tables this application wrote to the shared folder, once nothing reads them, and forget their paths."""
+    for key in [k for k in _ONCE if k[0] == spark.sparkContext.applicationId]:
+        del _ONCE[key]
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

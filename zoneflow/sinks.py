@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with header. One file suits reports, which are aggregated; pass False for row data."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with header. One file suits a report of a few rows; row data keeps its partitions."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
@@ -53,5 +55,15 @@ def to_geojson(zones: DataFrame) -> DataFrame:
     return zones.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("feature"))
 
 
-def write_predictions(pred: DataFrame, path: str) -> None:
-    pred.write.mode("overwrite").parquet(path)
+def write_predictions(pred: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Prediction table as Parquet or CSV."""
+    export(pred, fmt, path)
+
+
+def write_importance(importances: list[DataFrame], path: str, fmt: str = "csv") -> None:
+    """Feature weights of all models, one row per model and feature, as one CSV file or Parquet."""
+    rows = reduce(DataFrame.unionByName, importances).select("model", "feature", "importance").orderBy("model", F.desc("importance"), "feature")
+    if fmt == "csv":
+        write_csv(rows, path, single_file=True)
+    else:
+        export(rows, fmt, path)

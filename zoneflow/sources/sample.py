@@ -13,13 +13,11 @@ from pyspark.sql import types as T
 from zoneflow.functions.scalar import clip, padded, session_exit
 from zoneflow.operators.occupancy import running_occupancy, sessions_to_events
 from zoneflow.schema import EVENT, EVENT_COLUMNS
-from zoneflow.session import save_table
+from zoneflow.session import once, save_table
 
 EVENT_LOG = T.StructType([*EVENT, T.StructField("channel", T.StringType()), T.StructField("k", T.IntegerType())])
 HOLIDAYS = ("2024-01-01", "2024-01-26")
 
-_LOGS: dict[tuple[str, str], str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table, read in UTC whatever the caller's session says."""
@@ -72,10 +70,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned files; `channel` and `k` stay on it to seed the dirty variants.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOGS:
-        _LOGS[key] = save_table(running_occupancy(bare_events(spark, sf_dir)), "event_log")
-    return spark.read.schema(EVENT_LOG).parquet(_LOGS[key])
+    path = once(spark, ("event_log", sf_dir), lambda: save_table(running_occupancy(bare_events(spark, sf_dir)), "event_log"))
+    return spark.read.schema(EVENT_LOG).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
