@@ -25,6 +25,8 @@ from zoneflow.session import write_table
 # Accepted actions, bounds of one command.
 ACTIONS = ("ENTRY", "EXIT", "SET")
 MAX_AMOUNT = 100
+# Commands that one task replays in order.
+CHUNK_ROWS = 500_000
 USABLE = "zone_capacity > 0 AND shift IS NOT NULL"
 
 OUTCOME = T.StructType([
@@ -105,7 +107,7 @@ def refusals(ready: DataFrame) -> DataFrame:
 def apply_observations(commands: DataFrame, zones: DataFrame) -> DataFrame:
     """Outcome of every command, in time order per zone, with the occupancy after it."""
     ready = prepare(commands, zones)
-    chunks = range_chunks(ready.where(USABLE), ["zone_id", "observed_at", "command_id"], "commands")
+    chunks = range_chunks(ready.where(USABLE), ["zone_id", "observed_at", "command_id"], "commands", CHUNK_ROWS)
     group = ["zone_id", CHUNK]
     tables = write_table(
         chunks.groupBy(*group).applyInPandas(

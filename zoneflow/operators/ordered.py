@@ -28,13 +28,20 @@ def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Dat
     return rows.join(renamed, same).drop(*[f"_g_{k}" for k in keys])
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str | Column], name: str = "chunks") -> DataFrame:
+def range_chunks(
+    df: DataFrame, keys: Sequence[str | Column], name: str = "chunks", rows_per_chunk: int | None = None,
+) -> DataFrame:
     """`df` cut into consecutive ranges of `keys`, numbered in `_chunk`.
 
+    The session says how many; where a task must hold a chunk, `rows_per_chunk`
+    makes their number follow the rows.
+
     Range bounds come from a sample, so a second evaluation would move them.
     The chunks are stored before anything reads their numbers.
     """
-    ranged = df.repartitionByRange(*keys).withColumn(CHUNK, F.spark_partition_id())
+    few = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = [] if rows_per_chunk is None else [max(few, -(-df.count() // rows_per_chunk))]
+    ranged = df.repartitionByRange(*wanted, *keys).withColumn(CHUNK, F.spark_partition_id())
     return write_table(ranged, name)
 
 
@@ -109,8 +116,10 @@ def ranked_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     Repeated values meet before the shuffle, and no buffer grows with the data.
     """
     freq = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
-    ranked = running_sum(freq, by, [value], "n", "upto")
-    return _join_groups(ranked, ranked.groupBy(*by).agg(F.max("upto").alias("total")), by)
+    chunks = range_chunks(freq, [*by, value], "ranked_values")
+    parts = chunks.groupBy(*by, CHUNK).agg(F.sum("n").alias("_part"))
+    ranked = _piecewise(chunks, parts, by, CHUNK, [value], "n", "upto").drop(CHUNK)
+    return _join_groups(ranked, parts.groupBy(*by).agg(F.sum("_part").alias("total")), by)
 
 
 def value_at(rank: Column, value: str) -> Column:
