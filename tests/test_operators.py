@@ -406,7 +406,7 @@ def test_exports_round_trip(spark, tmp_path):
     assert '"coordinates":[72.6,19.1]' in spark.read.text(str(tmp_path / "geojson")).first()["value"]
     with pytest.raises(ValueError):
         sinks.export(df, "xml", str(tmp_path / "x"))
-    sinks.write_csv(df, str(tmp_path / "report"))
+    sinks.write_csv(df, str(tmp_path / "report"), single_file=True)
     assert len(list((tmp_path / "report").glob("*.csv"))) == 1
     zones = files.read_csv(spark, str(tmp_path / "report"), T.StructType([f for f in ZONE if f.name in df.columns]))
     assert zones.count() == 2

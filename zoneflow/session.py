@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -40,8 +42,8 @@ def build_spark(app: str = "zoneflow", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    A local master may leave the setting out and gets a temporary folder; a
-    cluster may not, because executors do not share a machine's disk.
+    A local master may leave the setting out and gets a temporary folder, which
+    goes when the application ends; a cluster may not, because executors do not share a machine's disk.
     """
     app_id = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,6 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if app_id not in _LOCAL_DIRS:
             _LOCAL_DIRS[app_id] = tempfile.mkdtemp(prefix="zoneflow-")
+            atexit.register(shutil.rmtree, _LOCAL_DIRS[app_id], ignore_errors=True)
         base = _LOCAL_DIRS[app_id]
     return f"{base.rstrip('/')}/zoneflow/{app_id}"
 
