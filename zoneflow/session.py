@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark's setting that removes the shuffle files of an execution at its end.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 SETTINGS = {
@@ -58,9 +60,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def save_table(df: DataFrame, name: str) -> str:
-    """Write `df` as Parquet under a new name in the shared folder; returns its path."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    """Write `df` as Parquet under a new name in the shared folder; returns its path.
+
+    Later reads take the table, so its shuffle files go as soon as it is written.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    kept = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, kept) if kept is not None else spark.conf.unset(DROP_SHUFFLES)
     return path
 
 
