@@ -28,11 +28,17 @@ from pyspark.sql import functions as F
 
 from zoneflow.llm.components import components
 from zoneflow.llm.text import lists, map_batches, mix64, raw_texts, signed, to_arrow, word_hashes
+from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import write_table
 
 # Sets that one task compares with one copy of their leader.
 CHUNK = 256
+# Blocks of the filter of ids whose texts are compared.
+FILTER_BLOCKS = 1 << 14
 LAYOUTS = 4
+# Classes of distance from a group's centre, and their width in tokens.
+STEPS = 16
+STEP = 3
 _U = np.uint64
 _EMPTY = np.zeros(0, np.uint64)
 
@@ -96,15 +102,15 @@ def _levels(n: int, percent: int) -> tuple[tuple[int, int, int, int], ...]:
     return tuple((i, *grid[i]) for i in range(max(at[0], 1), at[1] + 1))
 
 
-def block_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the index lists a set belongs to.
+def block_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the index lists a set belongs to, and how many of them it has in common with any linked set at least.
 
     Blocks with fewer than `few` tokens are left out as long as fewer of them
     exist than two linked sets have equal blocks, so one equal block that
     counts remains. A set with too many takes further independent layouts, and
     after the last one its poor blocks as well: no link is lost.
     """
-    keys = []
+    keys, common = [], len(tokens)
     for level, h, p, few in _levels(len(tokens), percent):
         for layout in range(LAYOUTS):
             order = tokens if not layout else np.sort(mix64(tokens + _U(layout * 0x9E3779B97F4A7C15 % (1 << 64))))
@@ -117,25 +123,28 @@ def block_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
             if not layout:
                 rest = own[poor]
             if poor.sum() < p - h:
+                common = min(common, p - h - int(poor.sum()))
                 break
         else:
             keys.append(rest)
-    return np.concatenate(keys) if keys else _EMPTY
+            common = 0
+    return (np.concatenate(keys) if keys else _EMPTY), common
 
 
 def _index_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batch: pa.RecordBatch):
-        words, n, one, two, keys = word_hashes(), [], [], [], []
+        words, n, one, two, keys, common = word_hashes(), [], [], [], [], []
         for raw in raw_texts(batch.column("text")):
             tokens = shingle_hashes(raw, width, words)
             n.append(len(tokens))
             one.append(mix64(tokens).sum(dtype=np.uint64))
             two.append(mix64(tokens + _U(0x632BE59BD9B4E019)).sum(dtype=np.uint64))
-            keys.append(block_keys(tokens, percent))
+            for values, value in zip((keys, common), block_keys(tokens, percent), strict=True):
+                values.append(value)
         return {"doc_id": batch.column("doc_id"), "n": n, "one": signed(np.array(one)), "two": signed(np.array(two)),
-                "keys": lists(keys)}
+                "keys": lists(keys), "common": common}
 
-    return map_batches(docs, run, "doc_id long, n long, one long, two long, keys array<long>")
+    return map_batches(docs, run, "doc_id long, n long, one long, two long, keys array<long>, common int")
 
 
 _COMPARED = "lead long, id long, n_lead long, n long, apart array<long>"
@@ -168,13 +177,14 @@ def _compare(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _leaders(index: DataFrame) -> DataFrame:
-    """(lead, id) for every set and the smallest id of each list it is in."""
+    """(lead, id, lists) for every set and the smallest id of each list it is in; `lists` counts these lists."""
     entries = index.select("doc_id", F.explode("keys").alias("key"))
-    shared = (
+    # Stored apart, so that the shuffle files of the grouping go before those of the join come.
+    shared = write_table(
         entries.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
-        .where("lead <> last").select("key", "lead")
-    )
-    return entries.join(shared, "key").where("doc_id <> lead").select("lead", F.col("doc_id").alias("id")).distinct()
+        .where("lead <> last").select("key", "lead"), "shared")
+    return entries.join(shared, "key").where("doc_id <> lead").groupBy(
+        "lead", F.col("doc_id").alias("id")).agg(F.count("*").alias("lists"))
 
 
 def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -184,10 +194,32 @@ def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     members = sized.select(
         F.col("id").alias("doc_id"), "lead", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), F.lit(1).alias("role"))
     heads = members.select(F.col("lead").alias("doc_id"), "lead", "chunk", F.lit(0).alias("role")).distinct()
-    rows = members.unionByName(heads).join(docs, "doc_id")
+    needed = write_table(members.unionByName(heads), "needed")
+    # A filter of fixed size keeps most other texts out of the shuffle.
+    asked = maybe_listed(F.col("doc_id"), blocked_bloom(needed.select("doc_id").distinct(), "doc_id", FILTER_BLOCKS), FILTER_BLOCKS)
+    rows = needed.join(docs.where(asked), "doc_id")
     return rows.repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", "role")
 
 
+def _worth_deriving(compared: DataFrame, pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
+    """Comparisons that further links may come from.
+
+    Frequent tokens bring a set into lists of leaders far from it. With H the
+    largest difference of a set to a linked one, its linked sets share at least
+    `common` lists with it. If fewer of its lists have a leader beyond 2 H, one
+    of the shared lists has a leader within 2 H, which is within 4 H of the
+    linked set as well; then comparisons beyond 4 H add nothing. Sets without
+    that many near lists keep all comparisons.
+    """
+    most = F.floor((100 - percent) * (F.col("n") + F.floor(F.col("n") * 100 / percent)) / (100 + percent))
+    sized = compared.join(pairs.select("lead", "id", "lists"), ["lead", "id"]).withColumn("most", most)
+    crowded = (
+        sized.where("size(apart) > 2 * most").groupBy("id").agg(F.sum("lists").alias("far"))
+        .join(index.select(F.col("doc_id").alias("id"), "common"), "id").where("far >= common").select("id").distinct())
+    near, beyond = sized.where("size(apart) <= 4 * most"), sized.where("size(apart) > 4 * most")
+    return near.unionByName(beyond.join(crowded, "id", "left_semi")).select(compared.columns)
+
+
 def _derived_links(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between sets that share a leader, from their differences to it alone.
 
@@ -216,14 +248,34 @@ def _derived_links(compared: DataFrame, labels: DataFrame, percent: int) -> Data
         scored.join(tops, "lead").select("*", F.col("top.id").alias("hub"), F.col("top.score").alias("best")).drop("top"), "centred")
     sure = stored.where("score + best >= 0 and id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
 
-    # A partner needs at least `least` common difference tokens, so the first d - least + 1 must meet.
+    # A partner has at least `least` common difference tokens. Only tokens that several sets of the leader have can
+    # be common; ordered from rare to frequent, all but the last least - 1 of them must meet.
     least = F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("best")) / (2.0 * (100 + percent)))).cast("int")
-    cut = F.greatest(F.lit(0), F.size("apart") - least + 1)
-    settled = F.when(F.col("score") + F.col("best") >= 0, F.col("hub")).otherwise(F.col("id"))
-    heads = stored.select(
-        "lead", "id", "n", "comp", settled.alias("hub"), F.explode(F.slice("apart", F.lit(1), cut)).alias("token"))
+    far = F.col("score") + F.col("best") < 0
+    needs = stored.groupBy("lead").agg(F.min(F.when(far, least)).alias("fewest")).where("fewest is not null")
+    apart = stored.join(needs, "lead").select(
+        "lead", "id", "n", "comp", "score", "best", F.when(far, F.col("id")).otherwise(F.col("hub")).alias("hub"),
+        F.when(far, least).otherwise(F.col("fewest")).alias("need"), "apart").where("size(apart) >= need")
+    single = apart.select("lead", "id", F.explode("apart").alias("token"))
+    often = single.groupBy("lead", "token").agg(F.count("*").alias("c")).where("c > 1")
+    shared = single.join(often, ["lead", "token"]).groupBy("lead", "id").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("shared"))
+    # Partners are told apart by how far they are: the farther both are, the more tokens they must share.
+    unit = 2 * (100 + percent) * STEP
+    own = 2 * F.least(F.lit(STEPS - 1), F.floor((F.col("best") - F.col("score")) / unit)) + far.cast("int")
+    nearest = F.col("best") - F.floor(F.col("other") / 2) * unit
+    top = F.when(F.col("other") % 2 == 1, F.least(nearest, -F.col("best"))).otherwise(nearest)
+    together = F.greatest(F.lit(1), F.ceil(-(F.col("score") + top) / (2.0 * (100 + percent)))).cast("int")
+    heads = (
+        apart.drop("apart").join(shared, ["lead", "id"]).where("size(shared) >= need")
+        .withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(2 * STEPS - 1))))
+        .where((F.col("other") % 2 == 1) | far)
+        .withColumn("cut", F.size("shared") - together + 1).where("cut > 0")
+        .select("lead", "id", "n", "comp", "hub", "own", "other", F.explode(F.slice("shared", F.lit(1), F.col("cut"))).alias("token"))
+        .select("lead", "id", "n", "comp", "hub", "own", "other", "token.token")
+    )
     left, right = heads.alias("l"), heads.alias("r")
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("lead", "token")]
+    same = [F.col("l.lead") == F.col("r.lead"), F.col("l.token") == F.col("r.token"),
+            F.col("l.own") == F.col("r.other"), F.col("l.other") == F.col("r.own")]
     met = left.join(right, same).where(
         f"l.id < r.id and l.comp <> r.comp and l.hub <> r.hub and 100 * l.n >= {percent} * r.n and 100 * r.n >= {percent} * l.n"
     ).select("l.lead", F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
@@ -257,7 +309,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     linked = compared.where(
         f"{100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)").select(F.col("lead").alias("a"), F.col("id").alias("b"))
     labels = components(linked)
-    derived = write_table(_derived_links(compared, labels, percent), "derived")
+    derived = write_table(_derived_links(_worth_deriving(compared, pairs, full, percent), labels, percent), "derived")
     if not derived.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(derived))
     groups = classes.join(labels, "node", "left").select("one", "two", "n", F.coalesce("comp", "node").alias("component_id"))
