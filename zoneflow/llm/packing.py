@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.text import Memo, to_arrow
+from zoneflow.llm.text import Memo, to_arrow, word_pieces
 from zoneflow.session import write_table
 
 CAPACITY = 1024
@@ -41,16 +41,17 @@ class ByteBpe:
 
         self._whole = Tokenizer.from_file(path)
         self._specials = [t.content for t in self._whole.get_added_tokens_decoder().values()]
-        self._words = Memo(self._word, 600_000)
+        self._model = self._whole.model
+        self._words = Memo(self._word, 1_000_000)
 
     def _word(self, word: str) -> bytes:
-        return self._ids(word)
+        return np.array([t.id for t in word_pieces(self._model, word)], "<u4").tobytes()
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
-        if not SETTLED.fullmatch(text) or any(s in text for s in self._specials):
+        if not (text.isascii() or SETTLED.fullmatch(text)) or any(s in text for s in self._specials):
             return np.frombuffer(self._ids(text), "<u4")
         return np.frombuffer(b"".join(map(self._words.__getitem__, WORD.findall(text))), "<u4")
 

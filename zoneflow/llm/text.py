@@ -29,6 +29,21 @@ class Memo(dict):
         return value
 
 
+def _byte_characters() -> list[str]:
+    """The visible character that byte-level tokenizers write for each byte: itself where visible, else from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def word_pieces(model, word: str) -> list:
+    """Tokens of one word by a tokenizer's own merges, without its word splitting."""
+    return model.tokenize("".join(map(BYTE_CHARACTERS.__getitem__, word.encode())))
+
+
 def word_hashes() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 

@@ -18,7 +18,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from zoneflow.llm.text import Memo, map_batches
+from zoneflow.llm.text import Memo, map_batches, word_pieces
 
 ROW = 128
 # States: between words, in letters, in other signs, after an apostrophe that opens a word, and after it r, v or l.
@@ -104,7 +104,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.words = Memo(self.count, 600_000)
+        self.model = self.whole.model
+        self.words = Memo(lambda word: len(word_pieces(self.model, word)), 1_000_000)
 
     def count(self, text: str) -> int:
         return len(self.whole.encode(text, add_special_tokens=False).ids)
