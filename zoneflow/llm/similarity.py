@@ -36,6 +36,8 @@ CHUNK = 256
 # Blocks of the filter of ids whose texts are compared.
 FILTER_BLOCKS = 1 << 14
 LAYOUTS = 4
+# Lists that a set shares with a leader it is compared with in any case.
+FEW = 3
 # Classes of distance from a group's centre, and their width in tokens.
 STEPS = 16
 STEP = 3
@@ -201,23 +203,20 @@ def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", "role")
 
 
-def _worth_deriving(compared: DataFrame, pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """Comparisons that further links may come from.
+def _worth_comparing(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs of a set and a leader that must be compared; the others lose no link.
 
-    Frequent tokens bring a set into lists of leaders far from it. With H the
-    largest difference of a set to a linked one, its linked sets share at least
-    `common` lists with it. If fewer of its lists have a leader beyond 2 H, one
-    of the shared lists has a leader within 2 H, which is within 4 H of the
-    linked set as well; then comparisons beyond 4 H add nothing. Sets without
-    that many near lists keep all comparisons.
+    A frequent token brings a set into a list or two of a leader that has
+    nothing else in common with it. Linked sets share at least `common` lists.
+    Where fewer than half as many lists of each are under leaders it shares
+    fewer than `FEW` lists with, one of the shared lists has a leader with more
+    for both. A set with too many such leaders is compared with all of them.
     """
-    most = F.floor((100 - percent) * (F.col("n") + F.floor(F.col("n") * 100 / percent)) / (100 + percent))
-    sized = compared.join(pairs.select("lead", "id", "lists"), ["lead", "id"]).withColumn("most", most)
+    few = pairs.where(F.col("lists") < FEW)
     crowded = (
-        sized.where("size(apart) > 2 * most").groupBy("id").agg(F.sum("lists").alias("far"))
-        .join(index.select(F.col("doc_id").alias("id"), "common"), "id").where("far >= common").select("id").distinct())
-    near, beyond = sized.where("size(apart) <= 4 * most"), sized.where("size(apart) > 4 * most")
-    return near.unionByName(beyond.join(crowded, "id", "left_semi")).select(compared.columns)
+        few.groupBy("id").agg(F.sum("lists").alias("weak"))
+        .join(index.select(F.col("doc_id").alias("id"), "common"), "id").where("2 * weak >= common").select("id").distinct())
+    return pairs.where(F.col("lists") >= FEW).unionByName(few.join(crowded, "id", "left_semi"))
 
 
 def _derived_links(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -305,11 +304,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     firsts = full.select("one", "two", "n", "doc_id").join(classes, ["one", "two", "n"])
     copies = firsts.where("doc_id <> node").select(F.col("doc_id").alias("id")).distinct()
     pairs = write_table(_leaders(full).join(copies, "id", "left_anti"), "pairs")
-    compared = write_table(_compare(_with_texts(pairs, texts.where("doc_id is not null")), width), "compared")
+    chosen = write_table(_worth_comparing(pairs, full).select("lead", "id"), "chosen")
+    compared = write_table(_compare(_with_texts(chosen, texts.where("doc_id is not null")), width), "compared")
     linked = compared.where(
         f"{100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)").select(F.col("lead").alias("a"), F.col("id").alias("b"))
     labels = components(linked)
-    derived = write_table(_derived_links(_worth_deriving(compared, pairs, full, percent), labels, percent), "derived")
+    derived = write_table(_derived_links(compared, labels, percent), "derived")
     if not derived.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(derived))
     groups = classes.join(labels, "node", "left").select("one", "two", "n", F.coalesce("comp", "node").alias("component_id"))
