@@ -104,3 +104,19 @@ def test_pipeline_takes_odd_rows(spark, sf_dir, odd_documents, no_documents):
             assert out.columns == docs.columns
             docs = out
         assert corpus_pipeline.packing(spark, docs, sf_dir).count() >= docs.count()
+
+
+def test_rare_words_and_fold_four_are_learned(spark, labelled):
+    """The share above which an entry travels to the tasks changes no score, and no training row is left out."""
+    docs, labels = labelled
+    rows = [r for r in docs.join(labels, "doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    pairs = toxicity.count_bigrams(toxicity.training_rows(docs, labels, "toxic"))
+    total = pairs.agg(F.sum(F.col("n0") + F.col("n1") + F.col("m0") + F.col("m1"))).first()[0]
+    assert total == sum(len(decontaminate.words(r["text"].encode())) for r in rows)
+    # One word of one training document of fold 4 is an entry even where no entry is frequent enough to travel.
+    model, cold = toxicity.stored_model(pairs, ("n0 + m0", "n1 + m1"), 1.0, 1.0)
+    key = int(np.array([toxicity._hashes()[decontaminate.words(next(r["text"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 4).encode())[7]]], np.uint64).view(np.int64)[0])
+    assert len(model.hot[0]) == 1 and cold.where(F.col("key") == key).count() == 1
+    all_held = toxicity.score_documents(docs, labels).orderBy("doc_id").toPandas()
+    none_held = toxicity.score_documents(docs, labels, word_share=1.0, pair_share=1.0).orderBy("doc_id").toPandas()
+    assert np.allclose(all_held["score"], none_held["score"], atol=1e-5)

@@ -3,28 +3,30 @@
 Both models are counted over every labelled training row. A class's bigram
 probability backs off to the class's continuation counts and these to the
 continuation counts of both classes together, so a rare expression is smoothed
-by what the classes share. Words and bigrams below a share of all occurrences
-are folded into the back-off; the share bounds the tables that travel to the
-tasks at any corpus size. A document's score compares its two log-likelihoods,
-each divided by its length, over the whole text and over its strongest window.
+by what the classes share. Every counted word and bigram stays in the models,
+which are stored tables that grow with the corpus. Entries above a share of all
+occurrences also travel to the tasks, which bounds that copy at any corpus
+size; all other entries reach a document by a join on their key. A document's
+score compares its two log-likelihoods, each divided by its length, over the
+whole text and over its strongest window.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.llm.decontaminate import words
-from zoneflow.llm.text import Memo, held_out, map_batches, raw_texts, signed, to_arrow
+from zoneflow.llm.text import Memo, free_prefix, held_out, map_batches, raw_texts, same_columns, signed, to_arrow
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import write_table
 
-# Least share of a class's words, or bigrams, that an entry of the tables needs: at most 2 / share entries exist.
+# Least share of a class's words, or bigrams, of an entry that every task holds: at most 2 / share such entries exist.
 WORD_SHARE = 1e-5
 PAIR_SHARE = 4e-6
 WINDOW = 8
@@ -32,6 +34,13 @@ WINDOW = 8
 BLOCKS = 1 << 14
 # Labelled rows per class that the score is calibrated on, in expectation.
 CALIBRATION_ROWS = 5000
+# Bigrams that a task counts before it hands them to the shuffle.
+COUNTED = 2_000_000
+# Word that stands before the first one.
+START = 0x1E3779B97F4A7C15
+# A filter of this many words of 64 bits keeps most keys that no other entry has out of the shuffle.
+FILTER_BITS = 20
+FILTER_PART = 1 << 13
 _U = np.uint64
 
 
@@ -58,119 +67,200 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return packed.join(known, "doc_id").select("packed", "label", fold)
 
 
-def _counted(rows: DataFrame, per_text, schema: str) -> DataFrame:
-    """Sum of (key, n0, n1) that `per_text` gives; a task counts what it can hold before the shuffle."""
-    wanted = to_arrow(schema)
+def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Key of each bigram: the first word's hash turned by 23 bits, xor the second's; a word's key is its hash."""
+    turned = before.view(np.uint64)
+    return signed((turned << _U(23) | turned >> _U(41)) ^ own.view(np.uint64))
 
-    def flush(counts):
-        keys = {*counts[0], *counts[1]}
-        order = np.fromiter(keys, np.int64, len(keys))
-        columns = [order] + [np.fromiter((c.get(k, 0) for k in order.tolist()), np.int64, len(order)) for c in counts]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=wanted)
 
-    def run(batches):
-        state, counts = _hashes(), (Counter(), Counter())
-        for batch in batches:
-            for raw, label in zip(batch.column("packed").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                counts[int(label == 1)].update(per_text(words(zlib.decompress(raw)), state))
-                if len(counts[0]) + len(counts[1]) > 2_000_000:
-                    yield flush(counts)
-                    counts = (Counter(), Counter())
-        yield flush(counts)
+def _pair_key() -> Column:
+    return F.shiftleft("prev", 23).bitwiseOR(F.shiftrightunsigned("prev", 41)).bitwiseXOR(F.col("word"))
+
+
+def _bigrams(raw: bytes | None, state) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the word before each word, and of the word."""
+    own = words(raw)
+    h = signed(np.fromiter(map(state.__getitem__, own), np.uint64, len(own)))
+    return np.concatenate([np.full(1, START), h[:-1]])[:len(h)], h
 
-    counted = rows.select("packed", "label").mapInArrow(run, schema)
-    return counted.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
+_COUNTS = "prev long, word long, n0 long, n1 long, m0 long, m1 long"
 
-_COUNTS = "key long, n0 long, n1 long"
+
+def count_bigrams(rows: DataFrame) -> DataFrame:
+    """Occurrences of every bigram by class, in folds 1 to 3 (n0, n1) and in fold 4 (m0, m1); a task counts before the shuffle."""
+    wanted = to_arrow(_COUNTS)
+
+    def flush(parts):
+        before, own, kinds = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        _, first, group = np.unique(pair_keys(before, own), return_index=True, return_inverse=True)
+        counts = np.bincount(4 * group + kinds, minlength=4 * len(first)).reshape(-1, 4)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (before[first], own[first], *counts.T)], schema=wanted)
+
+    def run(batches):
+        state, parts, held = _hashes(), [], 0
+        for batch in batches:
+            for raw, label, fold in zip(*(batch.column(c).to_pylist() for c in ("packed", "label", "fold")), strict=True):
+                before, own = _bigrams(zlib.decompress(raw), state)
+                parts.append((before, own, np.full(len(own), int(label == 1) + 2 * (fold == 4))))
+                held += len(own)
+                if held > COUNTED:
+                    yield flush(parts)
+                    parts, held = [], 0
+        if parts:
+            yield flush(parts)
+
+    counted = rows.select("packed", "label", "fold").mapInArrow(run, _COUNTS)
+    return counted.groupBy("prev", "word").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "m0", "m1")])
+
+
+def train(pairs: DataFrame, counts: tuple[str, str], word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> tuple[DataFrame, float] | None:
+    """(key, a, b, hot) of every word and bigram, and the value a of a word never counted; None without words of both classes.
+
+    A word has the logarithms of the ratios of its probability alone (a) and of
+    the back-off after it (b), a bigram of its probability (a). `hot` are the
+    entries above their share.
+    """
+    classes = ("n0", "n1")
+    own = pairs.select("prev", "word", *[F.expr(e).alias(c) for e, c in zip(counts, classes, strict=True)]).where("n0 + n1 > 0")
+    marks = own.agg(F.count("*").alias("both"), *[F.sum(c).alias(c) for c in classes], *[F.count_if(F.col(c) > 0).alias(f"f{c}") for c in classes],
+                    *[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in classes for k in (1, 2)]).first()
+    if not all(marks[c] for c in classes):
+        return None
+    discount = [min(0.95, max(0.1, marks[f"{c}_1"] / max(1, marks[f"{c}_1"] + 2 * marks[f"{c}_2"]))) for c in classes]
+    follows = own.groupBy("word").agg(
+        F.count("*").alias("both"), *[F.count_if(F.col(c) > 0).alias(f"f{c}") for c in classes], *[F.sum(c).alias(c) for c in classes])
+    opens = own.groupBy(F.col("prev").alias("word")).agg(
+        *[F.sum(c).alias(f"h{c}") for c in classes],
+        *[F.sum(F.greatest(F.col(c) - d, F.lit(0.0))).alias(f"k{c}") for c, d in zip(classes, discount, strict=True)])
+    table = write_table(follows.join(opens, "word", "full").na.fill(0), "words")
+    sizes = table.agg(F.count_if(F.col("both") > 0).alias("words"), *[F.count_if(F.col(f"f{c}") > 0).alias(c) for c in classes]).first()
+
+    # Continuation counts of both classes, each word and the unknown one at least once so that nothing has probability zero.
+    least = 1 / (marks["both"] + sizes["words"] + 1)
+    lower = [(F.greatest(F.col(f"f{c}") - d, F.lit(0.0)) + d * sizes[c] * least * (F.col("both") + 1)) / marks[f"f{c}"]
+             for c, d in zip(classes, discount, strict=True)]
+    weight = [F.when(F.col(f"h{c}") > 0, F.greatest(F.lit(1e-6), 1 - F.col(f"k{c}") / F.col(f"h{c}"))).otherwise(1.0) for c in classes]
+    unknown = [d * sizes[c] / marks[f"f{c}"] for c, d in zip(classes, discount, strict=True)]
+
+    def hot(share):
+        return F.greatest(*[F.col(c) / max(1.0, share * marks[c]) for c in classes]) >= 1
+
+    rated = table.select("word", hot(word_share).alias("hot"), *[x.alias(f"l{c}") for x, c in zip(lower, classes, strict=True)],
+                         *[x.alias(f"w{c}") for x, c in zip(weight, classes, strict=True)], *[f"h{c}" for c in classes])
+    before = rated.select(F.col("word").alias("prev"), *[f"{k}{c}" for c in classes for k in "wh"])
+    after = rated.select("word", *[f"l{c}" for c in classes])
+    logs = [F.log(F.greatest(F.col(c) - d, F.lit(0.0)) / F.greatest(F.col(f"h{c}"), F.lit(1)) + F.col(f"w{c}") * F.col(f"l{c}"))
+            for c, d in zip(classes, discount, strict=True)]
+    entries = rated.select(
+        F.col("word").alias("key"), F.log(F.col("ln1") / F.col("ln0")).cast("float").alias("a"), F.log(F.col("wn1") / F.col("wn0")).cast("float").alias("b"),
+        (F.col("hot") | (F.col("word") == START)).alias("hot"),
+    ).unionByName(own.join(before, "prev").join(after, "word").select(
+        _pair_key().alias("key"), (logs[1] - logs[0]).cast("float").alias("a"), F.lit(0.0).cast("float").alias("b"), hot(pair_share).alias("hot")))
+    return entries, float(np.log(unknown[1] / unknown[0]))
 
 
 class Model:
-    """Log-likelihood ratios of the two models, as sorted arrays."""
-
-    def __init__(self, vocabulary: np.ndarray):
-        self.words = np.sort(vocabulary)
-        n = len(self.words) + 1
-        self.before, self.alone = np.zeros(n), np.zeros(n)
-        self.pairs, self.ratios = np.zeros(0, np.int64), np.zeros(0)
-
-    def numbers(self, own: list[bytes], state) -> np.ndarray:
-        """Number of each word, 0 for words outside the vocabulary."""
-        if not len(self.words):
-            return np.zeros(len(own), np.int64)
-        h = signed(np.fromiter(map(state.__getitem__, own), np.uint64, len(own)))
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, at + 1, 0)
-
-    def features(self, raw: bytes | None, state) -> tuple[float, float]:
+    """The entries that every task holds as sorted arrays, and a filter of the keys of all others (None lets all pass)."""
+
+    def __init__(self, unknown: float | None, hot=None, filter_: np.ndarray | None = None):
+        self.unknown, self.filter = unknown, filter_
+        self.hot = (np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32)) if hot is None else hot
+
+    def absent(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key is certainly no entry outside the held ones."""
+        bits = keys.view(np.uint64)
+        out = np.zeros(len(keys), bool) if self.filter is None else (
+            (cell := self.filter[(bits >> _U(64 - FILTER_BITS)).astype(np.int64)]) >> (bits & _U(63)) & cell >> (bits >> _U(6) & _U(63)) & _U(1)) == 0
+        return out | (_find(self.hot, keys)[2])
+
+    def asked(self, raw: bytes | None, state) -> np.ndarray:
+        """Keys whose values the text needs from the stored entries."""
+        before, own = _bigrams(raw, state)
+        if self.unknown is None or not len(own):
+            return np.zeros(0, np.int64)
+        keys = pair_keys(before, own)
+        open_ = ~_find(self.hot, keys)[2]
+        keys = np.unique(np.concatenate([keys[open_], before[open_], own[open_]]))
+        return keys[~self.absent(keys)]
+
+    def features(self, raw: bytes | None, state, fetched: list[dict] | None = None) -> tuple[float, float]:
         """Length-normalised log-likelihood ratio of the text, and of its strongest window."""
-        own = words(raw)
-        if not own:
+        before, own = _bigrams(raw, state)
+        if self.unknown is None or not len(own):
             return 0.0, 0.0
-        ids = self.numbers(own, state)
-        previous = np.concatenate([np.zeros(1, np.int64), ids[:-1]])
-        ratio = self.before[previous] + self.alone[ids]
-        if len(self.pairs):
-            keys = previous << 32 | ids
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            ratio = np.where(self.pairs[at] == keys, self.ratios[at], ratio)
+        more = sorted((f["key"], f["a"], f["b"]) for f in fetched or [])
+        extra = tuple(np.array(c, t) for c, t in zip(zip(*more), (np.int64, np.float32, np.float32), strict=True)) if more else None
+
+        def look(keys):
+            a, b, known = _find(self.hot, keys)
+            if extra:
+                a2, b2, found = _find(extra, keys)
+                a, b, known = np.where(found, a2, a), np.where(found, b2, b), known | found
+            return a, b, known
+
+        pair, _, known = look(pair_keys(before, own))
+        alone, _, met = look(own)
+        ratio = np.where(known, pair, look(before)[1] + np.where(met, alone, self.unknown)).astype(np.float64)
         sums = np.concatenate([np.zeros(1), np.cumsum(ratio)])
         span = min(WINDOW, len(own))
         return float(sums[-1] / len(own)), float((sums[span:] - sums[:-span]).max() / span)
 
 
-def train(rows: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Model:
-    """Both models from stored training rows; only tables of bounded size reach the driver."""
-    counts = write_table(_counted(rows, lambda own, state: signed(np.fromiter(map(state.__getitem__, own), np.uint64, len(own))).tolist(), _COUNTS), "words")
-    totals = [t or 0 for t in counts.agg(F.sum("n0"), F.sum("n1")).first()]
-    kept = counts.where((F.col("n0") >= max(1.0, word_share * totals[0])) | (F.col("n1") >= max(1.0, word_share * totals[1]))).select("key")
-    model = Model(np.array(kept.toPandas()["key"], np.int64))
-    if not len(model.words) or not min(totals):
-        return model
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def pairs(own, state):
-        ids = shared.value.numbers(own, state)
-        return (np.concatenate([np.zeros(1, np.int64), ids[:-1]])[:len(ids)] << 32 | ids).tolist()
-
-    table = write_table(_counted(rows, pairs, _COUNTS), "pairs")
-    n = len(model.words) + 1
-    classes = ("n0", "n1")
-    marks = table.agg(*[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in classes for k in (1, 2)]).first()
-    discount = [min(0.95, max(0.1, marks[f"{c}_1"] / max(1, marks[f"{c}_1"] + 2 * marks[f"{c}_2"]))) for c in classes]
+def _find(entries, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values a and b of each key, 0 for one that is not among the sorted entries, and whether it is."""
+    if not len(entries[0]):
+        return np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(entries[0], keys), len(entries[0]) - 1)
+    known = entries[0][at] == keys
+    return np.where(known, entries[1][at], 0.0), np.where(known, entries[2][at], 0.0), known
+
+
+def stored_model(pairs: DataFrame, counts: tuple[str, str], word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> tuple[Model, DataFrame]:
+    """Model whose entries above the shares travel to the tasks, and the stored table of all others."""
+    trained = train(pairs, counts, word_share, pair_share)
+    if trained is None:
+        return Model(None), pairs.sparkSession.createDataFrame([], "key long, a float, b float")
+    entries = write_table(trained[0], "entries")
+    hot = entries.where("hot").select("key", "a", "b").toPandas().sort_values("key")
+    cold = entries.where("not hot").select("key", "a", "b")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(63).cast("int")).bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("key", 6).bitwiseAND(63).cast("int")))
+    cells = cold.groupBy(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("cell")).agg(F.bit_or(bit).alias("bits"))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        # Packed on the executors, as the driver would need several times the filter's size for its rows.
+        at, own = rows.column("cell").to_numpy(), np.zeros(FILTER_PART, np.int64)
+        own[at % FILTER_PART] = rows.column("bits").to_numpy()
+        return pa.table({"part": pa.array([int(at[0]) // FILTER_PART], pa.int64()), "bits": pa.array([own.tobytes()], pa.binary())})
+
+    filter_ = np.zeros(1 << FILTER_BITS, np.int64)
+    for row in cells.groupBy(F.expr(f"cell div {FILTER_PART}")).applyInArrow(pack, "part long, bits binary").toLocalIterator():
+        filter_[row.part * FILTER_PART:(row.part + 1) * FILTER_PART] = np.frombuffer(row.bits, np.int64)
+    return Model(trained[1], (hot["key"].to_numpy(np.int64), hot["a"].to_numpy(np.float32), hot["b"].to_numpy(np.float32)), filter_.view(np.uint64)), cold
+
+
+def with_entries(rows: DataFrame, column: str, model, cold: DataFrame, mark: str, unpack: Callable = lambda raw: raw) -> DataFrame:
+    """`rows` with the column `{mark}e`: the entries outside the broadcast model that each text needs, null without any.
+
+    Entries meet the distinct keys of the texts by their key; texts meet their
+    entries by a digest. A filter keeps most texts that need none out of the
+    second shuffle.
+    """
+    digest = F.unhex(F.md5(F.coalesce(F.col(column).cast("binary"), F.lit(b""))))
+    own = rows.withColumn(f"{mark}d", digest)
 
+    def run(batch):
+        state = _hashes()
+        return {"d": batch.column("d"), "keys": [model.value.asked(unpack(r), state) for r in raw_texts(batch.column("t"))]}
 
-    word, before = F.col("key").bitwiseAND((1 << 32) - 1), F.shiftright("key", 32)
-    follows = table.groupBy(word.alias("id")).agg(
-        *[F.count_if(F.col(c) > 0).alias(c) for c in classes], F.count("*").alias("both"))
-    keep = F.greatest(*[F.col(c) / max(1.0, pair_share * t) for c, t in zip(classes, totals, strict=True)]) >= 1
-    opens = table.groupBy(before.alias("id")).agg(
-        *[F.sum(c).alias(c) for c in classes],
-        *[F.sum(F.when(keep, F.greatest(F.col(c) - d, F.lit(0.0))).otherwise(0.0)).alias(f"k{c}") for c, d in zip(classes, discount, strict=True)])
-    follows, opens = follows.toPandas(), opens.toPandas()
-
-    def column(frame, name):
-        values = np.zeros(n)
-        values[frame["id"].to_numpy(np.int64)] = frame[name].to_numpy(float)
-        return values
-
-    # Continuation counts of both classes, each word at least once so that nothing has probability zero.
-    base = (column(follows, "both") + 1) / (column(follows, "both") + 1).sum()
-    lower, weight, seen = [], [], []
-    for c, d in zip(classes, discount, strict=True):
-        own, history = column(follows, c), column(opens, c)
-        lower.append((np.maximum(own - d, 0) + d * (own > 0).sum() * base) / own.sum())
-        weight.append(np.where(history > 0, 1 - column(opens, f"k{c}") / np.maximum(history, 1), 1.0).clip(1e-6, 1))
-        seen.append(history)
-    model.alone, model.before = np.log(lower[1] / lower[0]), np.log(weight[1] / weight[0])
-    frequent = table.where(keep).toPandas().sort_values("key")
-    model.pairs = frequent["key"].to_numpy(np.int64)
-    left, right, logs = model.pairs >> 32, model.pairs & ((1 << 32) - 1), []
-    for c, d, low, w, history in zip(classes, discount, lower, weight, seen, strict=True):
-        own = np.maximum(frequent[c].to_numpy(float) - d, 0) / np.maximum(history[left], 1)
-        logs.append(np.log(own + w[left] * low[right]))
-    model.ratios = logs[1] - logs[0]
-    return model
+    asked = map_batches(own.select(F.col(f"{mark}d").alias("d"), F.col(column).alias("t")), run, "d binary, keys array<long>").select("d", F.explode("keys").alias("key"))
+    met = asked.join(cold, "key").groupBy("d", "key").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    found = write_table(met.groupBy("d").agg(F.collect_list(F.struct("key", "a", "b")).alias("e")), "fetched")
+    needs = maybe_listed(F.col(f"{mark}d"), blocked_bloom(found, "d", BLOCKS), BLOCKS)
+    found = found.select(F.col("d").alias(f"{mark}d"), F.col("e").alias(f"{mark}e"))
+    none = own.where(~needs).withColumn(f"{mark}e", F.lit(None).cast(found.schema[f"{mark}e"].dataType))
+    return own.where(needs).join(found, f"{mark}d", "left").unionByName(none).drop(f"{mark}d")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,48 +278,67 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float =
 
 
 class Scorer:
-    """Model with the calibration that turns its ratios into a probability."""
+    """Broadcast model, its other entries, and the calibration that turns ratios into a probability."""
 
-    def __init__(self, model: Model, weights, mean, scale):
-        self.model, self.weights, self.mean, self.scale = model, weights, mean, scale
+    def __init__(self, model, cold: DataFrame, weights, mean, scale):
+        self.model, self.cold, self.calibration = model, cold, (weights, mean, scale)
 
-    def scores(self, raws: list[bytes | None]) -> np.ndarray:
-        state = _hashes()
-        x = np.array([self.model.features(r, state) for r in raws]).reshape(-1, 2)
-        z = ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    def scored(self, rows: DataFrame, mark: str) -> tuple[DataFrame, Callable]:
+        """`rows` with the entries their texts need, and the function that gives a batch's scores."""
+        model, (weights, mean, scale) = self.model, self.calibration
+
+        def scores(batch) -> np.ndarray:
+            state = _hashes()
+            texts = zip(raw_texts(batch.column("text")), batch.column(f"{mark}e").to_pylist(), strict=True)
+            x = np.array([model.value.features(r, state, e) for r, e in texts]).reshape(-1, 2)
+            z = ((x - mean) / scale) @ weights[:-1] + weights[-1]
+            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+        return with_entries(rows, "text", model, self.cold, mark), scores
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> Scorer:
-    """Count both models on folds 1 to 3 and calibrate on a bounded sample of fold 4.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_rows: int = CALIBRATION_ROWS,
+        word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Scorer:
+    """Calibrate models of folds 1 to 3 on a bounded sample of fold 4; the models that score are counted on folds 1 to 4.
 
     Without rows of both classes the score is the share of ones, or 0.
     """
     rows = write_table(training_rows(docs, labels, label), "training")
-    model = train(rows.where("fold <> 4"))
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batch):
-        state = _hashes()
-        x = np.array([shared.value.features(zlib.decompress(r), state) for r in batch.column("packed").to_pylist()]).reshape(-1, 2)
-        return {"mean": x[:, 0], "peak": x[:, 1], "label": [int(v == 1) for v in batch.column("label").to_pylist()]}
+    pairs = write_table(count_bigrams(rows), "pairs")
+    context = rows.sparkSession.sparkContext
+    model, cold = stored_model(pairs, ("n0 + m0", "n1 + m1"), word_share, pair_share)
+    final = context.broadcast(model)
 
     # A share of each class by the hash of its texts: about `calibration_rows` rows, and no task gathers them.
     one, place = F.col("label") == 1, F.pmod(F.xxhash64("packed"), F.lit(1 << 30))
     fourth = rows.where("fold = 4")
     counts = fourth.agg(F.count_if(~one), F.count_if(one)).first()
     shares = [int((1 << 30) * min(1.0, calibration_rows / max(1, n))) for n in counts]
-    sample = fourth.where(place < F.when(one, shares[1]).otherwise(shares[0]))
-    held = map_batches(sample.select("packed", "label"), run, "mean double, peak double, label int").toPandas()
-    x, y = held[["mean", "peak"]].to_numpy(float).reshape(-1, 2), held["label"].to_numpy(float)
+    sample = fourth.where(place < F.when(one, shares[1]).otherwise(shares[0])).select("packed", "label")
+    trained = train(pairs, ("n0", "n1"))
+    if trained is None:
+        x, y = np.zeros((0, 2)), np.zeros(0)
+    else:
+        # The sample is bounded, so these models need no copy on the tasks.
+        shared = context.broadcast(Model(trained[1]))
+
+        def run(batch):
+            state = _hashes()
+            texts = zip(batch.column("packed").to_pylist(), batch.column("_e").to_pylist(), strict=True)
+            x = np.array([shared.value.features(zlib.decompress(r), state, e) for r, e in texts]).reshape(-1, 2)
+            return {"mean": x[:, 0], "peak": x[:, 1], "label": [int(v == 1) for v in batch.column("label").to_pylist()]}
+
+        met = with_entries(sample, "packed", shared, trained[0].select("key", "a", "b"), "_", zlib.decompress)
+        held = map_batches(met, run, "mean double, peak double, label int").toPandas()
+        x, y = held[["mean", "peak"]].to_numpy(float).reshape(-1, 2), held["label"].to_numpy(float)
     if len(set(y.tolist())) < 2:
         share = rows.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0] or 0.0
         share = min(1 - 1e-6, max(1e-6, share))
-        return Scorer(model, np.array([0.0, 0.0, np.log(share / (1 - share))]), np.zeros(2), np.ones(2))
-    return Scorer(model, *fit_logistic(x, y))
+        return Scorer(final, cold, np.array([0.0, 0.0, np.log(share / (1 - share))]), np.zeros(2), np.ones(2))
+    return Scorer(final, cold, *fit_logistic(x, y))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5, **shares: float) -> DataFrame:
     """doc_id, held_out, score and predicted for every row.
 
     Only labels of rows that are not held out are learned; label, language,
@@ -237,22 +346,23 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", th
     score of a ratio of one. Labels with nulls are ignored; repeated rows and
     null ids (never held out) are scored like any other.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label))
+    rows, scores_of = fit(docs, labels, label, **shares).scored(docs.select("doc_id", held_out().alias("held_out"), "text"), "_")
 
     def run(batch):
-        scores = shared.value.scores(raw_texts(batch.column("text")))
+        scores = scores_of(batch)
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": scores, "predicted": (scores >= threshold).astype(np.int32)}
 
-    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return map_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows of `docs` below the threshold, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    names, wanted = same_columns(docs)
+    rows, scores_of = fit(docs, labels).scored(docs, free_prefix(names))
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.scores(raw_texts(batch.column("text"))) < threshold))
+            kept = batch.filter(pa.array(scores_of(batch) < threshold))
+            yield pa.RecordBatch.from_arrays([kept.column(n).cast(wanted.field(n).type) for n in names], schema=wanted)
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
