@@ -303,3 +303,30 @@ def test_revealing_terms_are_added_and_masked(spark, odd_documents, no_documents
     assert odd.columns == odd_documents.columns and odd.count() == odd_documents.count()
     assert pii.personal_data(odd_documents).count() == odd_documents.count()
     assert pii.personal_data(no_documents).count() == pii.sanitise(no_documents).count() == 0
+
+
+def _term_words(spans, text):
+    return [text[int(a):int(b)] for kind, a, b in (s.split(":") for s in spans.split(",") if s) if kind == "term"]
+
+
+def test_copies_do_not_hide_a_revealing_term(spark):
+    """30 copies of one text and two other contexts reveal as much as three texts without copies."""
+    base = [f"{'abc'[i]}lpha filler{'xyz'[i]} Zorbanic ann@example.com said {'pqr'[i]}eta" for i in range(3)]
+    texts = base[:1] * 30 + base[1:] + [f"ordinary words {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}x said to us {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert all("Zorbanic" in _term_words(got[i], texts[i]) for i in range(32))
+
+
+def test_terms_far_from_the_entity_are_revealing_everywhere(spark):
+    """A name opens a text whose e-mail address ends it; it is marked again in a text without the address."""
+    def middle(i):
+        return " ".join(f"word{'abcdefghij'[i]}{'abcdefghij'[j % 10]}{'abcdefghij'[j // 10]}" for j in range(60))
+
+    texts = [f"Zorbanic {middle(i)} ann@example.com" for i in range(8)] + [f"nobody but Zorbanic, {middle(9)} zorbanic"]
+    texts += [f"ordinary text number {i}" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert _term_words(got[0], texts[0]) == ["Zorbanic"] and _term_words(got[8], texts[8]) == ["Zorbanic", "zorbanic"]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert not [t for t in clean.values() if "zorbanic" in t.lower()] and clean[20] == texts[20]
