@@ -120,3 +120,15 @@ def test_rare_words_and_fold_four_are_learned(spark, labelled):
     all_held = toxicity.score_documents(docs, labels).orderBy("doc_id").toPandas()
     none_held = toxicity.score_documents(docs, labels, word_share=1.0, pair_share=1.0).orderBy("doc_id").toPandas()
     assert np.allclose(all_held["score"], none_held["score"], atol=1e-5)
+
+
+def test_quality_sees_wording_alone(spark):
+    """Classes of lower-case words of one shape and one frequency that differ in vocabulary only."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = sorted({"".join(rng.choice(letters, 7)) for _ in range(240)})[:200]
+    docs = [(i, " ".join(rng.choice(vocabulary[i % 2::2], 50))) for i in range(800)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+    rows = quality.score_quality(spark.createDataFrame(docs, "doc_id long, text string"), labels).toPandas()
+    held = rows[rows["held_out"]]
+    assert auc(held["score"].to_numpy(), held["doc_id"].to_numpy() % 2) > 0.95
