@@ -97,6 +97,19 @@ def test_equal_blocks_are_guaranteed():
                 assert len(np.intersect1d(base, other)) * 100 < percent * len(np.union1d(base, other)) or both >= max(common, 1 if cut else 0)
 
 
+def test_sets_of_further_layouts_count_on_no_common_lists(monkeypatch):
+    """What a set counts on must hold for a partner that stops at the first layout."""
+    rng, further = np.random.default_rng(6), 0
+    for _ in range(4000):
+        base = np.unique(rng.integers(0, 1 << 63, int(rng.integers(20, 150))).astype(np.uint64))
+        with monkeypatch.context() as first:
+            first.setattr(similarity, "LAYOUTS", 1)
+            stops = similarity.block_keys(base, 90)[1]
+        assert similarity.block_keys(base, 90)[1] == stops
+        further += stops == 0
+    assert further
+
+
 def least_capacity(sizes, shards):
     def fits(c):
         used, total = 1, 0

@@ -110,7 +110,8 @@ def block_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     Blocks with fewer than `few` tokens are left out as long as fewer of them
     exist than two linked sets have equal blocks, so one equal block that
     counts remains. A set with too many takes further independent layouts, and
-    after the last one its poor blocks as well: no link is lost.
+    after the last one its poor blocks as well: no link is lost. Such a set is
+    not counted on to have several lists in common with any other.
     """
     keys, common = [], len(tokens)
     for level, h, p, few in _levels(len(tokens), percent):
@@ -125,7 +126,8 @@ def block_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
             if not layout:
                 rest = own[poor]
             if poor.sum() < p - h:
-                common = min(common, p - h - int(poor.sum()))
+                # A partner that stops at an earlier layout has no keys of this one.
+                common = 0 if layout else min(common, p - h - int(poor.sum()))
                 break
         else:
             keys.append(rest)
