@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zoneflow.llm.decontaminate import contamination
+from zoneflow.llm.divergence import source_divergence
+from zoneflow.llm.fill_in_middle import fill_in_middle, store_frames, with_digests
 from zoneflow.llm.fingerprint import fingerprints
 from zoneflow.llm.packing import pack_documents
 from zoneflow.llm.pii import personal_data
@@ -15,6 +17,7 @@ from zoneflow.llm.sharding import shard_documents
 from zoneflow.llm.similarity import jaccard_components
 from zoneflow.llm.text import table
 from zoneflow.llm.token_count import token_counts
+from zoneflow.llm.top_k import exact_top_k
 from zoneflow.llm.toxicity import score_documents
 from zoneflow.llm.url_filter import judge_urls, repeated_addresses
 
@@ -157,3 +160,75 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@query("op11_source_divergence", r"""
+with d as (
+  select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) term from d),
+g as (select distinct lang, source from d),
+kept as (select lang, term, count(*) c from w group by 1, 2 having count(distinct r) >= 10),
+own as (select lang, source, term, count(*) c from w semi join kept using (lang, term) group by 1, 2, 3),
+langs as (select lang, count(*) v, sum(c) n from kept group by 1),
+sizes as (select lang, source, sum(c) n from own group by 1, 2),
+p as (
+  select g.lang, g.source, k.term, coalesce(o.c, 0) c,
+    1 + (1000000000::hugeint * (coalesce(o.c, 0) + 2)) // (coalesce(s.n, 0) + 2 * l.v) p,
+    1 + (1000000000::hugeint * (k.c + 2)) // (l.n + 2 * l.v) q
+  from g join kept k on k.lang = g.lang join langs l on l.lang = g.lang
+    left join sizes s on s.lang = g.lang and s.source = g.source
+    left join own o on o.lang = g.lang and o.source = g.source and o.term = k.term),
+sums as (
+  select a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+pairs as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(s.value, 0) value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (
+  select lang, source, 'term' part, term item, ((p - q) * (p - q)) // (p + q) value from p where c > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value::bigint value, rank::int rank from ranked where part = 'pair' or rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms that stand out in it."""
+    return source_divergence(table(spark, sf_dir, "documents"), least_documents=10, ranks=10)
+
+
+@query("op12_exact_top_k", """
+with v as (
+  select row_number() over () r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) q from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.r, a.vec_id query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint score
+  from v a join v b on a.vec_id % 20 = 0 and a.r <> b.r),
+k as (select *, row_number() over (partition by r order by score desc, vec_id) rank from s)
+select query_id, rank::int rank, vec_id, score from k where rank <= 20
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best by inner product of every twentieth vector, among all others."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
+@query("op13_fill_in_middle", """
+with d as (
+  select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n, sha256('1:' || coalesce(doc_id::varchar, '')) h from documents),
+k as (
+  select *, ('0x' || substr(h, 1, 8))::bigint % (n + 1) c1, ('0x' || substr(h, 9, 8))::bigint % (n + 1) c2,
+    ('0x' || substr(h, 17, 8))::bigint h3, ('0x' || substr(h, 25, 8))::bigint h4 from d),
+f as (
+  select *, least(c1, c2) a, greatest(c1, c2) b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end form from k),
+o as (select *, substr(t, 1, a) prefix, substr(t, a + 1, b - a) middle, substr(t, b + 1) suffix from f)
+select doc_id, n::bigint n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) output_sha256, sha256(t) restored_sha256
+from o
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged, with the digests of its output and of the text rebuilt from it."""
+    return with_digests(fill_in_middle(store_frames(table(spark, sf_dir, "documents"))))
