@@ -85,7 +85,9 @@ def frame_text(raw: bytes, packer: zstandard.ZstdCompressor, size: int = FRAME_B
     out, at = Frames(), 0
     while at < len(raw):
         to = min(len(raw), at + max(4, size))
-        while to < len(raw) and at < to - 4 and raw[to] & 0xC0 == 0x80:
+        # A code point has at most three bytes after its first.
+        least = max(at + 1, to - 3)
+        while least < to < len(raw) and raw[to] & 0xC0 == 0x80:
             to -= 1
         piece = raw[at:to]
         out.add_frame(len(piece) if piece.isascii() else len(_decode(piece)), packer.compress(piece), packer)
