@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[Span]:
     spans = _emails(text) if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in m[0].split(".")):
                 spans.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
