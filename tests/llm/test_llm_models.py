@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, the pipeline stage by stage, and the registered queries against SQL."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,20 +107,90 @@ def test_pipeline_takes_odd_rows(spark, sf_dir, odd_documents, no_documents):
         assert corpus_pipeline.packing(spark, docs, sf_dir).count() >= docs.count()
 
 
-def test_rare_words_and_fold_four_are_learned(spark, labelled):
-    """The share above which an entry travels to the tasks changes no score, and no training row is left out."""
+def plain_kneser_ney(rows):
+    """Log-likelihood ratios of the words and bigrams of any text, from dictionaries of the counts of (words, label) rows."""
+    n = [Counter(), Counter()]
+    for own, label in rows:
+        n[label].update(zip([None, *own], own, strict=False))
+    both = n[0] + n[1]
+    levels = [*n, both]
+    types = [len(x) for x in levels]
+    once, twice = ([sum(v == k for v in x.values()) for x in levels] for k in (1, 2))
+    d = [min(0.95, max(0.1, a / max(1, a + 2 * b))) for a, b in zip(once, twice, strict=True)]
+    follows = [Counter(w for _, w in x) for x in levels]
+    opens, heads = [Counter(v for v, _ in x) for x in levels], [Counter() for _ in levels]
+    for head, x in zip(heads, levels, strict=True):
+        for (v, _), k in x.items():
+            head[v] += k
+
+    def alone(c, w):
+        shared = (follows[2][w] + 1) / (types[2] + len(follows[2]) + 1)
+        return (max(follows[c][w] - d[c], 0) + d[c] * len(follows[c]) * shared) / types[c]
+
+    def pool(c, v, w):
+        return (max(both[v, w] - d[2], 0) + d[2] * opens[2][v] * alone(c, w)) / heads[2][v] if heads[2][v] else alone(c, w)
+
+    def pair(c, v, w):
+        return (max(n[c][v, w] - d[c], 0) + d[c] * opens[c][v] * pool(c, v, w)) / heads[c][v] if heads[c][v] else pool(c, v, w)
+
+    def ratios(own):
+        return (np.array([np.log(alone(1, w) / alone(0, w)) for w in own]),
+                np.array([np.log(pair(1, v, w) / pair(0, v, w)) for v, w in zip([None, *own], own, strict=False)]))
+
+    return ratios
+
+
+def plain_features(ratios, own):
+    if not own:
+        return np.zeros(1 + 2 * len(toxicity.WINDOWS))
+    alone, pair = ratios(own)
+    best = [max(x[i:i + k].mean() for i in range(max(1, len(x) - k + 1))) for x in (alone, pair) for k in toxicity.WINDOWS]
+    return np.array([pair.mean(), *best])
+
+
+@pytest.mark.parametrize(("run_words", "part_words"), [(1 << 21, 1 << 19), (40, 60)])
+def test_models_equal_plain_kneser_ney(spark, monkeypatch, run_words, part_words):
+    """Counts, back-off and windows of 50 labelled texts, in one run and partition and in many; fold 4 counts in the final models alone."""
+    monkeypatch.setattr(toxicity, "RUN_WORDS", run_words)
+    monkeypatch.setattr(toxicity, "PART_WORDS", part_words)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.5, rng.integers(0, 25)) % 60) + (" vile brute" if i % 3 == 0 else "") for i in range(50)]
+    texts[7], texts[8] = "", None
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(50)], "doc_id long, toxic int")
+    own = [decontaminate.words((t or "").encode()) for t in texts]
+    folds = [zlib.crc32(str(i).encode()) % 5 for i in range(50)]
+    runs = toxicity.tokenised(docs)
+    training, total = toxicity.training_runs(runs, labels, "toxic")
+    assert total == sum(len(w) for w, f in zip(own, folds, strict=True) if f)
+    model = toxicity.train(training, total)
+    for variant, seen in (("a", (1, 2, 3)), ("b", (1, 2, 3, 4))):
+        ratios = plain_kneser_ney([(w, int(i % 3 == 0)) for i, (w, f) in enumerate(zip(own, folds, strict=True)) if f in seen])
+        got = {}
+        for r in toxicity.run_features(runs, model, variant).collect():
+            got |= dict(zip(r["ids"], np.frombuffer(r["features"]).reshape(len(r["ids"]), -1), strict=True))
+        assert sorted(got) == list(range(50))
+        for i, words in enumerate(own):
+            assert np.allclose(got[i], plain_features(ratios, words), atol=1e-9), i
+
+
+def test_layout_changes_no_score(spark, labelled, monkeypatch):
     docs, labels = labelled
-    rows = [r for r in docs.join(labels, "doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
-    pairs = toxicity.count_bigrams(toxicity.training_rows(docs, labels, "toxic"))
-    total = pairs.agg(F.sum(F.col("n0") + F.col("n1") + F.col("m0") + F.col("m1"))).first()[0]
-    assert total == sum(len(decontaminate.words(r["text"].encode())) for r in rows)
-    # One word of one training document of fold 4 is an entry even where no entry is frequent enough to travel.
-    model, cold = toxicity.stored_model(pairs, ("n0 + m0", "n1 + m1"), 1.0, 1.0)
-    key = int(np.array([toxicity._hashes()[decontaminate.words(next(r["text"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 4).encode())[7]]], np.uint64).view(np.int64)[0])
-    assert len(model.hot[0]) == 1 and cold.where(F.col("key") == key).count() == 1
-    all_held = toxicity.score_documents(docs, labels).orderBy("doc_id").toPandas()
-    none_held = toxicity.score_documents(docs, labels, word_share=1.0, pair_share=1.0).orderBy("doc_id").toPandas()
-    assert np.allclose(all_held["score"], none_held["score"], atol=1e-5)
+    one = toxicity.score_documents(docs, labels).orderBy("doc_id").toPandas()
+    monkeypatch.setattr(toxicity, "RUN_WORDS", 2000)
+    monkeypatch.setattr(toxicity, "PART_WORDS", 3000)
+    many = toxicity.score_documents(docs.repartition(6), labels).orderBy("doc_id").toPandas()
+    assert np.allclose(one["score"], many["score"], atol=1e-7)
+
+
+def test_toxic_words_of_the_tables_are_caught(spark):
+    """Held-out labels of the driver's own documents."""
+    sf_dir = "/root/testdata/sf0.1"
+    rows = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).where("held_out").join(
+        table(spark, sf_dir, "labels"), "doc_id").toPandas()
+    hit, said = rows["toxic"] == 1, rows["predicted"] == 1
+    assert auc(rows["score"].to_numpy(), rows["toxic"].to_numpy()) >= 0.95
+    assert (hit & said).sum() >= 0.7 * hit.sum() and (hit & said).sum() >= 0.9 * said.sum()
 
 
 def test_quality_sees_wording_alone(spark):

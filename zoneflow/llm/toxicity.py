@@ -1,266 +1,470 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models.
 
-Both models are counted over every labelled training row. A class's bigram
-probability backs off to the class's continuation counts and these to the
-continuation counts of both classes together, so a rare expression is smoothed
-by what the classes share. Every counted word and bigram stays in the models,
-which are stored tables that grow with the corpus. Entries above a share of all
-occurrences also travel to the tasks, which bounds that copy at any corpus
-size; all other entries reach a document by a join on their key. A document's
-score compares its two log-likelihoods, each divided by its length, over the
-whole text and over its strongest window.
+Both models are counted over every labelled training row, and every count is
+kept. A class's bigram probability backs off to the bigram counts of both
+classes together, these to the class's continuation counts, and those to the
+continuation counts of both classes, so a rare expression is smoothed by what
+the classes share. A document's score compares its two log-likelihoods, each
+divided by the number of words, over the whole text and over its strongest
+windows of several widths.
+
+Texts become runs: a task numbers the words of some hundred thousand
+consecutive tokens once, and from there on a document is a list of small
+numbers. The counts are hash-partitioned tables that grow with the corpus. A
+run asks each partition once for all the distinct words and bigrams it holds,
+in one packed block, and gets their counts back in one; nothing is sent per
+word or per document, and no task holds the model.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.llm.decontaminate import words
-from zoneflow.llm.text import Memo, free_prefix, held_out, map_batches, raw_texts, same_columns, signed, to_arrow
+from zoneflow.llm.text import Memo, free_prefix, held_out, mix64, raw_texts, to_arrow
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import write_table
 
-# Least share of a class's words, or bigrams, of an entry that every task holds: at most 2 / share such entries exist.
-WORD_SHARE = 1e-5
-PAIR_SHARE = 4e-6
-WINDOW = 8
-# Blocks of the filter that spares rows without a label the shuffle.
-BLOCKS = 1 << 14
+# Words and documents of a run, at most; a longer document is a run of its own.
+RUN_WORDS = 1 << 21
+RUN_DOCS = 1 << 17
+# Training words whose bigrams one partition of the counts holds, about.
+PART_WORDS = 1 << 19
+# Bits that tell bigrams of a partition apart: an unknown bigram is taken for a known one once in two million times.
+PRINT_BITS = 40
+WINDOWS = (1, 2, 4, 8)
 # Labelled rows per class that the score is calibrated on, in expectation.
 CALIBRATION_ROWS = 5000
-# Bigrams that a task counts before it hands them to the shuffle.
-COUNTED = 2_000_000
-# Word that stands before the first one.
-START = 0x1E3779B97F4A7C15
-# A filter of this many words of 64 bits keeps most keys that no other entry has out of the shuffle.
-FILTER_BITS = 20
-FILTER_PART = 1 << 13
+# Blocks of the filter that keeps most kept rows out of the last shuffle.
+BLOCKS = 1 << 14
+# Stands before the first word of a text.
+START = 0x1E3779B9
 _U = np.uint64
+_RUN = "run long, ids array<long>, digests binary, sizes binary, words binary, places binary"
+_RUN_KIND = pa.schema([("run", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int64()))), *((c, pa.binary()) for c in ("digests", "sizes", "words", "places"))])
+# Of a word: contexts it follows (class 0, 1, both), its occurrences as a context by class, words that follow it (0, 1, both).
+STATS = ("f0", "f1", "fb", "h0", "h1", "t0", "t1", "tb")
+# Different bigrams of class 0, 1 and both; those that occur once and twice.
+MARKS = ("types0", "types1", "typesb", "once0", "once1", "onceb", "twice0", "twice1", "twiceb")
 
 
-def _hashes():
-    import xxhash
+def _hashes() -> Memo:
+    """Number of 32 bits for each word; words that share one count as one."""
+    return Memo(lambda word: xxhash.xxh3_64_intdigest(word) >> 32)
 
-    return Memo(xxhash.xxh3_64_intdigest)
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte plane by byte plane."""
+    own = np.ascontiguousarray(values)
+    return zstandard.compress(np.ascontiguousarray(own.reshape(-1).view(np.uint8).reshape(-1, own.itemsize).T).tobytes(), 3)
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(packed text, label, fold) of every labelled row that is not held out.
 
-    Texts are shuffled compressed, and a Bloom filter of the labelled ids keeps
-    most rows without a label out of the shuffle.
-    """
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).alias("label")).distinct()
-    likely = maybe_listed(F.col("doc_id"), blocked_bloom(known, "doc_id", BLOCKS), BLOCKS)
+def unpack(raw: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
-    def run(batch):
-        return {"doc_id": batch.column("doc_id"), "packed": [zlib.compress(t or b"", 1) for t in raw_texts(batch.column("text"))]}
 
-    packed = map_batches(docs.where(likely).select("doc_id", "text"), run, "doc_id long, packed binary")
-    fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).cast("int").alias("fold")
-    return packed.join(known, "doc_id").select("packed", "label", fold)
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values.astype(_U), prepend=_U(0)))
 
 
-def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Key of each bigram: the first word's hash turned by 23 bits, xor the second's; a word's key is its hash."""
-    turned = before.view(np.uint64)
-    return signed((turned << _U(23) | turned >> _U(41)) ^ own.view(np.uint64))
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw, _U), dtype=_U)
 
 
-def _pair_key() -> Column:
-    return F.shiftleft("prev", 23).bitwiseOR(F.shiftrightunsigned("prev", 41)).bitwiseXOR(F.col("word"))
+@dataclass
+class Run:
+    """Consecutive documents: ids, words of each, the different words, and each token's place among them."""
 
+    ids: list
+    sizes: np.ndarray
+    words: np.ndarray
+    places: np.ndarray
+    digests: bytes = b""
 
-def _bigrams(raw: bytes | None, state) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the word before each word, and of the word."""
-    own = words(raw)
-    h = signed(np.fromiter(map(state.__getitem__, own), np.uint64, len(own)))
-    return np.concatenate([np.full(1, START), h[:-1]])[:len(h)], h
+    @classmethod
+    def of(cls, ids: list, texts: list[np.ndarray], digests: bytes = b"") -> Run:
+        tokens = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        own, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers, which compress well.
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(own), np.uint32)
+        rank[order] = np.arange(len(own), dtype=np.uint32)
+        return cls(ids, np.array([len(t) for t in texts], np.int64), own[order], rank[inverse.reshape(-1)], digests)
 
+    @classmethod
+    def read(cls, batch) -> Iterator[tuple[int, Run]]:
+        for run, ids, digests, sizes, own, places in zip(*(batch.column(c).to_pylist() for c in ("run", "ids", "digests", "sizes", "words", "places")), strict=True):
+            yield run, cls(ids, unpack(sizes, np.int64), np.frombuffer(own, np.uint32), unpack(places, np.uint32), digests)
 
-_COUNTS = "prev long, word long, n0 long, n1 long, m0 long, m1 long"
+    def row(self, run: int) -> pa.RecordBatch:
+        columns = [[run], [self.ids], [self.digests], [pack(self.sizes)], [self.words.tobytes()], [pack(self.places)]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN_KIND, strict=True)], schema=_RUN_KIND)
 
+    def only(self, rows: np.ndarray, ids: list) -> Run:
+        """Some of the documents, under new ids."""
+        ends = np.cumsum(self.sizes)
+        return Run.of(ids, [self.words[self.places[ends[i] - self.sizes[i]:ends[i]]] for i in rows])
 
-def count_bigrams(rows: DataFrame) -> DataFrame:
-    """Occurrences of every bigram by class, in folds 1 to 3 (n0, n1) and in fold 4 (m0, m1); a task counts before the shuffle."""
-    wanted = to_arrow(_COUNTS)
+    def bigrams(self) -> np.ndarray:
+        """Of every token the number of the word before it and its own, in one."""
+        tokens = self.words[self.places].astype(_U)
+        before = np.concatenate([np.zeros(1, _U), tokens[:-1]])[:len(tokens)]
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = START
+        return before << _U(32) | tokens
 
-    def flush(parts):
-        before, own, kinds = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        _, first, group = np.unique(pair_keys(before, own), return_index=True, return_inverse=True)
-        counts = np.bincount(4 * group + kinds, minlength=4 * len(first)).reshape(-1, 4)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (before[first], own[first], *counts.T)], schema=wanted)
 
+def tokenised(docs: DataFrame, digests: bool = False) -> DataFrame:
+    """Stored runs of (doc_id, text) rows in input order; `digests` keeps the MD5 of each text beside its id."""
     def run(batches):
-        state, parts, held = _hashes(), [], 0
+        from pyspark import TaskContext
+
+        number, state = TaskContext.get().partitionId() << 32, _hashes()
+        ids, texts, marks, held = [], [], [], 0
         for batch in batches:
-            for raw, label, fold in zip(*(batch.column(c).to_pylist() for c in ("packed", "label", "fold")), strict=True):
-                before, own = _bigrams(zlib.decompress(raw), state)
-                parts.append((before, own, np.full(len(own), int(label == 1) + 2 * (fold == 4))))
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("text")), strict=True):
+                own = words(raw)
+                ids.append(doc_id)
+                texts.append(np.fromiter(map(state.__getitem__, own), np.uint32, len(own)))
+                if digests:
+                    marks.append(hashlib.md5(raw or b"", usedforsecurity=False).digest())
                 held += len(own)
-                if held > COUNTED:
-                    yield flush(parts)
-                    parts, held = [], 0
-        if parts:
-            yield flush(parts)
+                if held >= RUN_WORDS or len(ids) >= RUN_DOCS:
+                    yield Run.of(ids, texts, b"".join(marks)).row(number)
+                    number, ids, texts, marks, held = number + 1, [], [], [], 0
+        if ids:
+            yield Run.of(ids, texts, b"".join(marks)).row(number)
 
-    counted = rows.select("packed", "label", "fold").mapInArrow(run, _COUNTS)
-    return counted.groupBy("prev", "word").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "m0", "m1")])
+    return write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _RUN), "runs")
 
 
-def train(pairs: DataFrame, counts: tuple[str, str], word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> tuple[DataFrame, float] | None:
-    """(key, a, b, hot) of every word and bigram, and the value a of a word never counted; None without words of both classes.
+def training_runs(runs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Runs with the places, labels and folds of their training documents, stored, and the number of training words.
 
-    A word has the logarithms of the ratios of its probability alone (a) and of
-    the back-off after it (b), a bigram of its probability (a). `hot` are the
-    entries above their share.
+    Ids meet their labels without their texts.
     """
-    classes = ("n0", "n1")
-    own = pairs.select("prev", "word", *[F.expr(e).alias(c) for e, c in zip(counts, classes, strict=True)]).where("n0 + n1 > 0")
-    marks = own.agg(F.count("*").alias("both"), *[F.sum(c).alias(c) for c in classes], *[F.count_if(F.col(c) > 0).alias(f"f{c}") for c in classes],
-                    *[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in classes for k in (1, 2)]).first()
-    if not all(marks[c] for c in classes):
-        return None
-    discount = [min(0.95, max(0.1, marks[f"{c}_1"] / max(1, marks[f"{c}_1"] + 2 * marks[f"{c}_2"]))) for c in classes]
-    follows = own.groupBy("word").agg(
-        F.count("*").alias("both"), *[F.count_if(F.col(c) > 0).alias(f"f{c}") for c in classes], *[F.sum(c).alias(c) for c in classes])
-    opens = own.groupBy(F.col("prev").alias("word")).agg(
-        *[F.sum(c).alias(f"h{c}") for c in classes],
-        *[F.sum(F.greatest(F.col(c) - d, F.lit(0.0))).alias(f"k{c}") for c, d in zip(classes, discount, strict=True)])
-    table = write_table(follows.join(opens, "word", "full").na.fill(0), "words")
-    sizes = table.agg(F.count_if(F.col("both") > 0).alias("words"), *[F.count_if(F.col(f"f{c}") > 0).alias(c) for c in classes]).first()
-
-    # Continuation counts of both classes, each word and the unknown one at least once so that nothing has probability zero.
-    least = 1 / (marks["both"] + sizes["words"] + 1)
-    lower = [(F.greatest(F.col(f"f{c}") - d, F.lit(0.0)) + d * sizes[c] * least * (F.col("both") + 1)) / marks[f"f{c}"]
-             for c, d in zip(classes, discount, strict=True)]
-    weight = [F.when(F.col(f"h{c}") > 0, F.greatest(F.lit(1e-6), 1 - F.col(f"k{c}") / F.col(f"h{c}"))).otherwise(1.0) for c in classes]
-    unknown = [d * sizes[c] / marks[f"f{c}"] for c, d in zip(classes, discount, strict=True)]
-
-    def hot(share):
-        return F.greatest(*[F.col(c) / max(1.0, share * marks[c]) for c in classes]) >= 1
-
-    rated = table.select("word", hot(word_share).alias("hot"), *[x.alias(f"l{c}") for x, c in zip(lower, classes, strict=True)],
-                         *[x.alias(f"w{c}") for x, c in zip(weight, classes, strict=True)], *[f"h{c}" for c in classes])
-    before = rated.select(F.col("word").alias("prev"), *[f"{k}{c}" for c in classes for k in "wh"])
-    after = rated.select("word", *[f"l{c}" for c in classes])
-    logs = [F.log(F.greatest(F.col(c) - d, F.lit(0.0)) / F.greatest(F.col(f"h{c}"), F.lit(1)) + F.col(f"w{c}") * F.col(f"l{c}"))
-            for c, d in zip(classes, discount, strict=True)]
-    entries = rated.select(
-        F.col("word").alias("key"), F.log(F.col("ln1") / F.col("ln0")).cast("float").alias("a"), F.log(F.col("wn1") / F.col("wn0")).cast("float").alias("b"),
-        (F.col("hot") | (F.col("word") == START)).alias("hot"),
-    ).unionByName(own.join(before, "prev").join(after, "word").select(
-        _pair_key().alias("key"), (logs[1] - logs[0]).cast("float").alias("a"), F.lit(0.0).cast("float").alias("b"), hot(pair_share).alias("hot")))
-    return entries, float(np.log(unknown[1] / unknown[0]))
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col(label) == 1).cast("int").alias("label")).distinct()
+    schema = "run long, place int, doc_id long, fold int, n long, chance long"
+    wanted = to_arrow(schema)
+
+    def run(batches):
+        for batch in batches:
+            for number, own in Run.read(batch):
+                rows = [(number, at, i, zlib.crc32(str(i).encode()) % 5, int(n), xxhash.xxh3_64_intdigest(str(i)) >> 34)
+                        for at, (i, n) in enumerate(zip(own.ids, own.sizes, strict=True)) if i is not None]
+                columns = zip(*rows, strict=True) if rows else [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, wanted, strict=True)], schema=wanted)
 
+    met = runs.mapInArrow(run, schema).where("fold > 0").join(known, "doc_id")
+    by_run = write_table(met.groupBy("run").agg(F.collect_list(F.struct("place", "label", "fold", "chance")).alias("trained"), F.sum("n").alias("n")), "labelled")
+    total = by_run.agg(F.sum("n")).first()[0] or 0
+    return write_table(runs.join(by_run.select("run", "trained"), "run"), "training"), total
 
-class Model:
-    """The entries that every task holds as sorted arrays, and a filter of the keys of all others (None lets all pass)."""
-
-    def __init__(self, unknown: float | None, hot=None, filter_: np.ndarray | None = None):
-        self.unknown, self.filter = unknown, filter_
-        self.hot = (np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32)) if hot is None else hot
-
-    def absent(self, keys: np.ndarray) -> np.ndarray:
-        """Whether each key is certainly no entry outside the held ones."""
-        bits = keys.view(np.uint64)
-        out = np.zeros(len(keys), bool) if self.filter is None else (
-            (cell := self.filter[(bits >> _U(64 - FILTER_BITS)).astype(np.int64)]) >> (bits & _U(63)) & cell >> (bits >> _U(6) & _U(63)) & _U(1)) == 0
-        return out | (_find(self.hot, keys)[2])
-
-    def asked(self, raw: bytes | None, state) -> np.ndarray:
-        """Keys whose values the text needs from the stored entries."""
-        before, own = _bigrams(raw, state)
-        if self.unknown is None or not len(own):
-            return np.zeros(0, np.int64)
-        keys = pair_keys(before, own)
-        open_ = ~_find(self.hot, keys)[2]
-        keys = np.unique(np.concatenate([keys[open_], before[open_], own[open_]]))
-        return keys[~self.absent(keys)]
-
-    def features(self, raw: bytes | None, state, fetched: list[dict] | None = None) -> tuple[float, float]:
-        """Length-normalised log-likelihood ratio of the text, and of its strongest window."""
-        before, own = _bigrams(raw, state)
-        if self.unknown is None or not len(own):
-            return 0.0, 0.0
-        more = sorted((f["key"], f["a"], f["b"]) for f in fetched or [])
-        extra = tuple(np.array(c, t) for c, t in zip(zip(*more), (np.int64, np.float32, np.float32), strict=True)) if more else None
-
-        def look(keys):
-            a, b, known = _find(self.hot, keys)
-            if extra:
-                a2, b2, found = _find(extra, keys)
-                a, b, known = np.where(found, a2, a), np.where(found, b2, b), known | found
-            return a, b, known
-
-        pair, _, known = look(pair_keys(before, own))
-        alone, _, met = look(own)
-        ratio = np.where(known, pair, look(before)[1] + np.where(met, alone, self.unknown)).astype(np.float64)
-        sums = np.concatenate([np.zeros(1), np.cumsum(ratio)])
-        span = min(WINDOW, len(own))
-        return float(sums[-1] / len(own)), float((sums[span:] - sums[:-span]).max() / span)
-
-
-def _find(entries, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values a and b of each key, 0 for one that is not among the sorted entries, and whether it is."""
-    if not len(entries[0]):
-        return np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(entries[0], keys), len(entries[0]) - 1)
-    known = entries[0][at] == keys
-    return np.where(known, entries[1][at], 0.0), np.where(known, entries[2][at], 0.0), known
-
-
-def stored_model(pairs: DataFrame, counts: tuple[str, str], word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> tuple[Model, DataFrame]:
-    """Model whose entries above the shares travel to the tasks, and the stored table of all others."""
-    trained = train(pairs, counts, word_share, pair_share)
-    if trained is None:
-        return Model(None), pairs.sparkSession.createDataFrame([], "key long, a float, b float")
-    entries = write_table(trained[0], "entries")
-    hot = entries.where("hot").select("key", "a", "b").toPandas().sort_values("key")
-    cold = entries.where("not hot").select("key", "a", "b")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(63).cast("int")).bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("key", 6).bitwiseAND(63).cast("int")))
-    cells = cold.groupBy(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("cell")).agg(F.bit_or(bit).alias("bits"))
-
-    def pack(rows: pa.Table) -> pa.Table:
-        # Packed on the executors, as the driver would need several times the filter's size for its rows.
-        at, own = rows.column("cell").to_numpy(), np.zeros(FILTER_PART, np.int64)
-        own[at % FILTER_PART] = rows.column("bits").to_numpy()
-        return pa.table({"part": pa.array([int(at[0]) // FILTER_PART], pa.int64()), "bits": pa.array([own.tobytes()], pa.binary())})
-
-    filter_ = np.zeros(1 << FILTER_BITS, np.int64)
-    for row in cells.groupBy(F.expr(f"cell div {FILTER_PART}")).applyInArrow(pack, "part long, bits binary").toLocalIterator():
-        filter_[row.part * FILTER_PART:(row.part + 1) * FILTER_PART] = np.frombuffer(row.bits, np.int64)
-    return Model(trained[1], (hot["key"].to_numpy(np.int64), hot["a"].to_numpy(np.float32), hot["b"].to_numpy(np.float32)), filter_.view(np.uint64)), cold
-
-
-def with_entries(rows: DataFrame, column: str, model, cold: DataFrame, mark: str, unpack: Callable = lambda raw: raw) -> DataFrame:
-    """`rows` with the column `{mark}e`: the entries outside the broadcast model that each text needs, null without any.
-
-    Entries meet the distinct keys of the texts by their key; texts meet their
-    entries by a digest. A filter keeps most texts that need none out of the
-    second shuffle.
+
+def _parts(keys: np.ndarray, bits: int) -> np.ndarray:
+    mixed = mix64(keys.astype(_U))
+    return (mixed >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
+def _prints(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Partition and fingerprint of each bigram in one number."""
+    return mix64(keys) >> _U(64 - PRINT_BITS - bits)
+
+
+def _slices(parts: np.ndarray, count: int) -> Iterator[tuple[int, slice]]:
+    """The stretch of each number in sorted `parts`."""
+    edges = np.searchsorted(parts, np.arange(count + 1))
+    for p in np.unique(parts).tolist():
+        yield p, slice(edges[p], edges[p + 1])
+
+
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, ascending, with the sums of their rows of counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.nonzero(np.r_[True, keys[1:] != keys[:-1]])[0]
+    return keys[first], np.add.reduceat(counts, first, axis=0)
+
+
+_PAIRS = "part int, keys binary, counts binary, " + ", ".join(f"{m}_{v} long" for v in "ab" for m in MARKS)
+
+
+def count_bigrams(training: DataFrame, bits: int) -> DataFrame:
+    """One stored row a partition: its bigrams with their occurrences in folds 1 to 3 by class, then in fold 4, and its marks.
+
+    Marks of variant a count folds 1 to 3, those of b all four.
     """
-    digest = F.unhex(F.md5(F.coalesce(F.col(column).cast("binary"), F.lit(b""))))
-    own = rows.withColumn(f"{mark}d", digest)
+    schema = "part int, keys binary, counts binary"
+    partial_kind = to_arrow(schema)
+
+    def count(batches):
+        for batch in batches:
+            for (_, own), trained in zip(Run.read(batch), batch.column("trained").to_pylist(), strict=True):
+                keys, ends = own.bigrams(), np.cumsum(own.sizes)
+                spans = [(ends[t["place"]] - own.sizes[t["place"]], ends[t["place"]], t["label"] + 2 * (t["fold"] == 4)) for t in trained]
+                taken = np.concatenate([keys[a:b] for a, b, _ in spans])
+                kinds = np.repeat([k for *_, k in spans], [b - a for a, b, _ in spans])
+                keys, group = np.unique(taken, return_inverse=True)
+                counts = np.bincount(4 * group.reshape(-1) + kinds, minlength=4 * len(keys)).reshape(-1, 4).astype(_U)
+                order = np.argsort(parts := _parts(keys, bits), kind="stable")
+                keys, counts, parts = keys[order], counts[order], parts[order]
+                rows = [(p, pack_sorted(keys[s]), pack(counts[s])) for p, s in _slices(parts, 1 << bits)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 3, partial_kind, strict=True)], schema=partial_kind)
+
+    wanted = to_arrow(_PAIRS)
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys, counts = _merged(np.concatenate([unpack_sorted(k) for k in table.column("keys").to_pylist()]),
+                               np.concatenate([unpack(c, _U).reshape(-1, 4) for c in table.column("counts").to_pylist()]))
+        marks = []
+        for n in (counts[:, :2], counts[:, :2] + counts[:, 2:]):
+            kinds = (n[:, 0], n[:, 1], n.sum(1))
+            marks += [int(hit.sum()) for test in (lambda x: x > 0, lambda x: x == 1, lambda x: x == 2) for hit in map(test, kinds)]
+        row = [table.column("part")[0].as_py(), pack_sorted(keys), pack(counts), *marks]
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
+
+    return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs")
+
+
+def count_words(pairs: DataFrame, bits: int) -> DataFrame:
+    """One stored row a partition: its words with STATS of variant a, then of b, and how many words follow anything in each class."""
+    names = [f"{s}_{v}" for v in "ab" for s in STATS]
+    schema = "part int, word long, " + ", ".join(f"{n} long" for n in names)
+    row_kind = to_arrow(schema)
+
+    def split(batches):
+        for batch in batches:
+            for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                keys, counts = unpack_sorted(keys), unpack(counts, _U).reshape(-1, 4).astype(np.int64)
+                stats = []
+                for n in (counts[:, :2], counts[:, :2] + counts[:, 2:]):
+                    stats.append((np.c_[n > 0, n.sum(1) > 0].astype(np.int64), n))
+                zero, none = np.zeros((len(keys), 3), np.int64), np.zeros((len(keys), 2), np.int64)
+                after = np.concatenate([x for types, _ in stats for x in (types, none, zero)], axis=1)
+                before = np.concatenate([x for types, n in stats for x in (zero, n, types)], axis=1)
+                own, sums = _merged(np.concatenate([keys & _U(0xFFFFFFFF), keys >> _U(32)]), np.concatenate([after, before]))
+                columns = [_parts(own, bits), own.astype(np.int64), *sums.T]
+                yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, row_kind, strict=True)], schema=row_kind)
+
+    packed = "part int, words binary, stats binary, " + ", ".join(f"{m}_{v} long" for v in "ab" for m in ("v0", "v1", "vb"))
+    wanted = to_arrow(packed)
+
+    def gather(table: pa.Table) -> pa.Table:
+        own = table.column("word").to_numpy()
+        order = np.argsort(own)
+        stats = np.stack([table.column(n).to_numpy() for n in names], axis=1)[order]
+        known = [int((stats[:, names.index(f"{f}_{v}")] > 0).sum()) for v in "ab" for f in ("f0", "f1", "fb")]
+        row = [table.column("part")[0].as_py(), pack_sorted(own[order]), pack(stats), *known]
+        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, wanted, strict=True)], schema=wanted)
+
+    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One shuffle serves the sums by word and the packing by partition.
+    rows = pairs.select("keys", "counts").mapInArrow(split, schema).repartition(spread, "part")
+    return write_table(rows.groupBy("part", "word").agg(*[F.sum(n).alias(n) for n in names]).groupBy("part").applyInArrow(gather, packed), "words")
+
+
+@dataclass
+class Totals:
+    """What one variant of the model knows about all its bigrams."""
+
+    types: list[int]
+    discounts: list[float]
+    known: list[int]
+
+
+@dataclass
+class Model:
+    """Stored counts in 2^bits partitions, and the totals of variants a (folds 1 to 3) and b (all)."""
+
+    pairs: DataFrame
+    words: DataFrame
+    bits: int
+    totals: dict[str, Totals] = field(default_factory=dict)
+
+    def usable(self, variant: str) -> bool:
+        return all(self.totals[variant].types[:2])
+
 
-    def run(batch):
-        state = _hashes()
-        return {"d": batch.column("d"), "keys": [model.value.asked(unpack(r), state) for r in raw_texts(batch.column("t"))]}
+def train(training: DataFrame, total: int) -> Model:
+    """Counts of all training documents; the number of partitions follows the number of their words."""
+    bits = max(0, int(np.ceil(np.log2(max(1, total / PART_WORDS)))))
+    pairs = count_bigrams(training, bits)
+    own = count_words(pairs, bits)
+    model = Model(pairs, own, bits)
+    marks = pairs.agg(*[F.coalesce(F.sum(f"{m}_{v}"), F.lit(0)).alias(f"{m}_{v}") for v in "ab" for m in MARKS]).first()
+    known = own.agg(*[F.coalesce(F.sum(f"{m}_{v}"), F.lit(0)).alias(f"{m}_{v}") for v in "ab" for m in ("v0", "v1", "vb")]).first()
+    for v in "ab":
+        once, twice = ([marks[f"{k}{c}_{v}"] for c in "01b"] for k in ("once", "twice"))
+        model.totals[v] = Totals(
+            [marks[f"types{c}_{v}"] for c in "01b"],
+            [min(0.95, max(0.1, a / max(1, a + 2 * b))) for a, b in zip(once, twice, strict=True)],
+            [known[f"v{c}_{v}"] for c in "01b"])
+    return model
 
-    asked = map_batches(own.select(F.col(f"{mark}d").alias("d"), F.col(column).alias("t")), run, "d binary, keys array<long>").select("d", F.explode("keys").alias("key"))
-    met = asked.join(cold, "key").groupBy("d", "key").agg(F.max("a").alias("a"), F.max("b").alias("b"))
-    found = write_table(met.groupBy("d").agg(F.collect_list(F.struct("key", "a", "b")).alias("e")), "fetched")
-    needs = maybe_listed(F.col(f"{mark}d"), blocked_bloom(found, "d", BLOCKS), BLOCKS)
-    found = found.select(F.col("d").alias(f"{mark}d"), F.col("e").alias(f"{mark}e"))
-    none = own.where(~needs).withColumn(f"{mark}e", F.lit(None).cast(found.schema[f"{mark}e"].dataType))
-    return own.where(needs).join(found, f"{mark}d", "left").unionByName(none).drop(f"{mark}d")
+
+def _asked(own: Run, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different bigrams of a run as sorted prints, and the order and partitions in which its words are asked for."""
+    parts = _parts(own.words, bits)
+    order = np.lexsort((own.words, parts))
+    return np.unique(_prints(own.bigrams(), bits)), order, parts[order]
+
+
+def _started(own: Run) -> Run:
+    """The run with the start among its words."""
+    if START in own.words:
+        return own
+    return Run(own.ids, own.sizes, np.append(own.words, np.uint32(START)), own.places, own.digests)
+
+
+_ASKED = "part int, run long, words binary, prints binary"
+
+
+def requests(runs: DataFrame, bits: int) -> DataFrame:
+    """What each run asks of each partition: its words and bigrams there, one packed row."""
+    wanted, low = to_arrow(_ASKED), _U((1 << PRINT_BITS) - 1)
+
+    def run(batches):
+        for batch in batches:
+            for number, own in Run.read(batch):
+                # The start of a text is a context like a word; every run asks for it.
+                own = _started(own)
+                prints, order, parts = _asked(own, bits)
+                of_words = dict(_slices(parts, 1 << bits))
+                of_prints = dict(_slices((prints >> _U(PRINT_BITS)).astype(np.int64), 1 << bits))
+                none = slice(0, 0)
+                rows = [(p, number, pack_sorted(own.words[order[of_words.get(p, none)]]), pack_sorted(prints[of_prints.get(p, none)] & low))
+                        for p in sorted(of_words.keys() | of_prints.keys())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, wanted, strict=True)], schema=wanted)
+
+    return runs.mapInArrow(run, _ASKED)
+
+
+def _looked_up(own: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Rows of `values` of the keys among the sorted `own`, zeros for all others."""
+    if not len(own):
+        return np.zeros((len(keys), values.shape[1]), np.int64)
+    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    return np.where((own[at] == keys)[:, None], values[at], 0)
+
+
+_ANSWER = "run long, part int, stats binary, counts binary"
+
+
+def answers(asked: DataFrame, model: Model, variant: str) -> DataFrame:
+    """Counts of every word and bigram that was asked for, in the order asked."""
+    wanted, bits, low = to_arrow(_ANSWER), model.bits, _U((1 << PRINT_BITS) - 1)
+    first = 0 if variant == "a" else len(STATS)
+    stored = model.pairs.select("part", F.lit(0).alias("kind"), "keys", F.col("counts").alias("values")).unionByName(
+        model.words.select("part", F.lit(1).alias("kind"), F.col("words").alias("keys"), F.col("stats").alias("values")))
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return wanted.empty_table()
+        prints, counts = np.zeros(0, _U), np.zeros((0, 2), np.int64)
+        own, stats = np.zeros(0, _U), np.zeros((0, len(STATS)), np.int64)
+        for kind, keys, values in zip(*(right.column(c).to_pylist() for c in ("kind", "keys", "values")), strict=True):
+            if kind:
+                own, stats = unpack_sorted(keys), unpack(values, np.int64).reshape(-1, 2 * len(STATS))[:, first:first + len(STATS)]
+            else:
+                n = unpack(values, _U).reshape(-1, 4).astype(np.int64)
+                n = n[:, :2] if variant == "a" else n[:, :2] + n[:, 2:]
+                prints, counts = _merged(_prints(unpack_sorted(keys), bits) & low, n)
+        rows = [(run, part, pack(_looked_up(own, stats, unpack_sorted(w))), pack(_looked_up(prints, counts, unpack_sorted(p))))
+                for part, run, w, p in zip(*(left.column(c).to_pylist() for c in ("part", "run", "words", "prints")), strict=True)]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), wanted, strict=True)], schema=wanted)
+
+    return asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(answer, _ANSWER)
+
+
+def ratios(totals: Totals, stats: np.ndarray, before: np.ndarray, after: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood ratio of class 1 to 0 of every word alone, and of every bigram.
+
+    `stats` are rows of words, `before` and `after` the rows of each bigram's
+    two words (-1 for the start's own row, the last), `counts` its occurrences by class.
+    """
+    s = {n: stats[:, i].astype(np.float64) for i, n in enumerate(STATS)}
+    d, both = totals.discounts, counts.sum(1)
+    shared = (s["fb"] + 1) / (totals.types[2] + totals.known[2] + 1)
+    alone, pair = [], []
+    for c in (0, 1):
+        one = (np.maximum(s[f"f{c}"] - d[c], 0) + d[c] * totals.known[c] * shared) / totals.types[c]
+        alone.append(one)
+        h, t = s[f"h{c}"][before], s[f"t{c}"][before]
+        hb, tb = (s["h0"] + s["h1"])[before], s["tb"][before]
+        pool = np.where(hb > 0, (np.maximum(both - d[2], 0) + d[2] * tb * one[after]) / np.maximum(hb, 1), one[after])
+        pair.append(np.where(h > 0, (np.maximum(counts[:, c] - d[c], 0) + d[c] * t * pool) / np.maximum(h, 1), pool))
+    return np.log(alone[1] / alone[0]), np.log(pair[1] / pair[0])
+
+
+def features(own: Run, alone: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Of every document the mean ratio of its bigrams, and the strongest window of each width of its words and of its bigrams."""
+    out = np.zeros((len(own.sizes), 1 + 2 * len(WINDOWS)))
+    full = np.nonzero(own.sizes)[0]
+    if not len(full):
+        return out
+    ends = np.cumsum(own.sizes)
+    starts, last = (ends - own.sizes)[full], np.repeat(ends[full], own.sizes[full])
+    at, column = np.arange(len(own.places)), 1
+    for x in (alone, pair):
+        sums = np.concatenate([np.zeros(1), np.cumsum(x)])
+        mean = (sums[ends[full]] - sums[starts]) / own.sizes[full]
+        out[full, 0] = mean
+        for k in WINDOWS:
+            window = np.where(at + k <= last, (sums[np.minimum(at + k, len(x))] - sums[:-1]) / k, -np.inf)
+            most = np.maximum.reduceat(window, starts)
+            out[full, column] = np.where(own.sizes[full] < k, mean, most)
+            column += 1
+    return out
+
+
+_FEATURES = "ids array<long>, digests binary, features binary"
+
+
+def run_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
+    """ids, digests and features of the documents of every run."""
+    bits, totals, wanted = model.bits, model.totals[variant], to_arrow(_FEATURES)
+    found = answers(requests(runs, bits), model, variant)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return wanted.empty_table()
+        _, own = next(Run.read(left))
+        size, asked = len(own.sizes), _started(own)
+        prints, order, parts = _asked(asked, bits)
+        stats, counts = np.zeros((len(asked.words), len(STATS)), np.int64), np.zeros((len(prints), 2), np.int64)
+        of_words = dict(_slices(parts, 1 << bits))
+        of_prints = dict(_slices((prints >> _U(PRINT_BITS)).astype(np.int64), 1 << bits))
+        for part, s, c in zip(*(right.column(n).to_pylist() for n in ("part", "stats", "counts")), strict=True):
+            if part in of_words:
+                stats[order[of_words[part]]] = unpack(s, np.int64).reshape(-1, len(STATS))
+            if part in of_prints:
+                counts[of_prints[part]] = unpack(c, np.int64).reshape(-1, 2)
+        # Each different bigram once; its words are found by their numbers.
+        bigrams, inverse = np.unique(own.bigrams(), return_inverse=True)
+        by_word = np.argsort(asked.words)
+        place = lambda w: by_word[np.searchsorted(asked.words[by_word], w.astype(np.uint32))]
+        before, after = place(bigrams >> _U(32)), place(bigrams & _U(0xFFFFFFFF))
+        hits = counts[np.searchsorted(prints, _prints(bigrams, bits))] if len(bigrams) else np.zeros((0, 2))
+        alone, pair = ratios(totals, stats, before, after, hits)
+        at = place(own.words)
+        x = features(own, alone[at][own.places], pair[inverse.reshape(-1)])
+        row = [own.ids, own.digests, x.reshape(size, -1).tobytes()]
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
+
+    return runs.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(score, _FEATURES)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,92 +481,92 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float =
     return w, mean, scale
 
 
-class Scorer:
-    """Broadcast model, its other entries, and the calibration that turns ratios into a probability."""
-
-    def __init__(self, model, cold: DataFrame, weights, mean, scale):
-        self.model, self.cold, self.calibration = model, cold, (weights, mean, scale)
-
-    def scored(self, rows: DataFrame, mark: str) -> tuple[DataFrame, Callable]:
-        """`rows` with the entries their texts need, and the function that gives a batch's scores."""
-        model, (weights, mean, scale) = self.model, self.calibration
-
-        def scores(batch) -> np.ndarray:
-            state = _hashes()
-            texts = zip(raw_texts(batch.column("text")), batch.column(f"{mark}e").to_pylist(), strict=True)
-            x = np.array([model.value.features(r, state, e) for r, e in texts]).reshape(-1, 2)
-            z = ((x - mean) / scale) @ weights[:-1] + weights[-1]
-            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+def calibrate(training: DataFrame, model: Model, calibration_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Weights of the features, from a bounded sample of fold 4 scored by the models of folds 1 to 3; None without both classes."""
+    if not model.usable("a"):
+        return None
+    rows = training.select(F.explode("trained").alias("t")).where("t.fold = 4")
+    counts = rows.agg(F.count_if(F.col("t.label") == 0), F.count_if(F.col("t.label") == 1)).first()
+    # A share of each class by the hash of its ids: about `calibration_rows` rows, and no task gathers them.
+    shares = [int((1 << 30) * min(1.0, calibration_rows / max(1, n))) for n in counts]
 
-        return with_entries(rows, "text", model, self.cold, mark), scores
+    def sample(batches):
+        for batch in batches:
+            for (number, own), trained in zip(Run.read(batch), batch.column("trained").to_pylist(), strict=True):
+                mine = [t for t in trained if t["fold"] == 4 and t["chance"] < shares[t["label"]]]
+                if mine:
+                    yield own.only(np.array([t["place"] for t in mine]), [t["label"] for t in mine]).row(number)
+
+    sampled = write_table(training.mapInArrow(sample, _RUN), "calibration")
+    held = run_features(sampled, model, "a").select("ids", "features").collect()
+    y = np.array([i for r in held for i in r["ids"]], float)
+    if len(set(y.tolist())) < 2:
+        return None
+    return fit_logistic(np.concatenate([np.frombuffer(r["features"]).reshape(len(r["ids"]), -1) for r in held]), y)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_rows: int = CALIBRATION_ROWS,
-        word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Scorer:
-    """Calibrate models of folds 1 to 3 on a bounded sample of fold 4; the models that score are counted on folds 1 to 4.
+def score_runs(runs: DataFrame, labels: DataFrame, label: str, schema: str, out: Callable, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+    """Rows that `out(ids, digests, scores)` gives for each run's documents, as lists by column of `schema`.
 
-    Without rows of both classes the score is the share of ones, or 0.
+    Weights come from models of folds 1 to 3; the models that score are counted
+    on folds 1 to 4. Without rows of both classes the score is the share of
+    ones, or 0.
     """
-    rows = write_table(training_rows(docs, labels, label), "training")
-    pairs = write_table(count_bigrams(rows), "pairs")
-    context = rows.sparkSession.sparkContext
-    model, cold = stored_model(pairs, ("n0 + m0", "n1 + m1"), word_share, pair_share)
-    final = context.broadcast(model)
-
-    # A share of each class by the hash of its texts: about `calibration_rows` rows, and no task gathers them.
-    one, place = F.col("label") == 1, F.pmod(F.xxhash64("packed"), F.lit(1 << 30))
-    fourth = rows.where("fold = 4")
-    counts = fourth.agg(F.count_if(~one), F.count_if(one)).first()
-    shares = [int((1 << 30) * min(1.0, calibration_rows / max(1, n))) for n in counts]
-    sample = fourth.where(place < F.when(one, shares[1]).otherwise(shares[0])).select("packed", "label")
-    trained = train(pairs, ("n0", "n1"))
-    if trained is None:
-        x, y = np.zeros((0, 2)), np.zeros(0)
+    training, total = training_runs(runs, labels, label)
+    model = train(training, total)
+    fitted = calibrate(training, model, calibration_rows)
+    share = 0.0
+    if fitted is None:
+        share = training.select(F.explode("trained").alias("t")).agg(F.avg(F.col("t.label").cast("double"))).first()[0] or 0.0
+    wanted = to_arrow(schema)
+
+    def rows(batches):
+        for batch in batches:
+            for ids, digests, raw in zip(*(batch.column(c).to_pylist() for c in ("ids", "digests", "features")), strict=True):
+                scores = np.full(len(ids), share)
+                if fitted is not None:
+                    weights, mean, scale = fitted
+                    z = ((np.frombuffer(raw).reshape(len(ids), -1) - mean) / scale) @ weights[:-1] + weights[-1]
+                    scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                columns = out(ids, digests, scores)
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in wanted], schema=wanted)
+
+    if fitted is None or not model.usable("b"):
+        fitted = None
+        found = runs.select("ids", "digests", F.lit(b"").alias("features"))
     else:
-        # The sample is bounded, so these models need no copy on the tasks.
-        shared = context.broadcast(Model(trained[1]))
-
-        def run(batch):
-            state = _hashes()
-            texts = zip(batch.column("packed").to_pylist(), batch.column("_e").to_pylist(), strict=True)
-            x = np.array([shared.value.features(zlib.decompress(r), state, e) for r, e in texts]).reshape(-1, 2)
-            return {"mean": x[:, 0], "peak": x[:, 1], "label": [int(v == 1) for v in batch.column("label").to_pylist()]}
-
-        met = with_entries(sample, "packed", shared, trained[0].select("key", "a", "b"), "_", zlib.decompress)
-        held = map_batches(met, run, "mean double, peak double, label int").toPandas()
-        x, y = held[["mean", "peak"]].to_numpy(float).reshape(-1, 2), held["label"].to_numpy(float)
-    if len(set(y.tolist())) < 2:
-        share = rows.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0] or 0.0
-        share = min(1 - 1e-6, max(1e-6, share))
-        return Scorer(final, cold, np.array([0.0, 0.0, np.log(share / (1 - share))]), np.zeros(2), np.ones(2))
-    return Scorer(final, cold, *fit_logistic(x, y))
+        found = run_features(runs, model, "b")
+    return found.mapInArrow(rows, schema)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5, **shares: float) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted for every row.
 
     Only labels of rows that are not held out are learned; label, language,
     source and id are never inputs of a score. Null and empty texts get the
-    score of a ratio of one. Labels with nulls are ignored; repeated rows and
-    null ids (never held out) are scored like any other.
+    score of ratios of one. Labels with nulls are ignored; repeated rows and
+    null ids (never held out) are scored like any other; other columns are not
+    read.
     """
-    rows, scores_of = fit(docs, labels, label, **shares).scored(docs.select("doc_id", held_out().alias("held_out"), "text"), "_")
-
-    def run(batch):
-        scores = scores_of(batch)
-        return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": scores, "predicted": (scores >= threshold).astype(np.int32)}
+    def out(ids, digests, scores):
+        return {"doc_id": ids, "score": scores}
 
-    return map_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
+    scored = score_runs(tokenised(docs), labels, label, "doc_id long, score double", out, calibration_rows)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Rows of `docs` below the threshold, with all their columns."""
-    names, wanted = same_columns(docs)
-    rows, scores_of = fit(docs, labels).scored(docs, free_prefix(names))
-
-    def run(batches):
-        for batch in batches:
-            kept = batch.filter(pa.array(scores_of(batch) < threshold))
-            yield pa.RecordBatch.from_arrays([kept.column(n).cast(wanted.field(n).type) for n in names], schema=wanted)
+    """Rows of `docs` below the threshold, with all their columns.
 
-    return rows.mapInArrow(run, docs.schema)
+    The score depends on the text alone, so rejected texts are told by their
+    digest. A filter of these keeps most other rows out of the join.
+    """
+    def out(ids, digests, scores):
+        return {"digest": [digests[16 * i:16 * i + 16] for i in np.nonzero(scores >= threshold)[0]]}
+
+    rejected = write_table(score_runs(tokenised(docs, digests=True), labels, "toxic", "digest binary", out).distinct(), "rejected")
+    mark = free_prefix(docs.columns)
+    own = docs.withColumn(mark, F.unhex(F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))))
+    likely = maybe_listed(F.col(mark), blocked_bloom(rejected, "digest", BLOCKS), BLOCKS)
+    met = own.where(likely).join(rejected.withColumnRenamed("digest", f"{mark}r"), F.col(mark) == F.col(f"{mark}r"), "left_anti")
+    return own.where(~likely).unionByName(met).select(*docs.columns)
