@@ -158,6 +158,33 @@ def _(spark, d):
     return bloom.bloom_contains(ev.select("event_id"), "event_id", built, _BLOOM_M, _BLOOM_K)
 
 
+# A filter small enough that it also takes new ids for copies.
+_SMALL_M, _SMALL_K = 120_000, 5
+_SETTERS_SQL = f"""
+spots as (
+  select arrival, event_id, unnest([{", ".join(_position_sql('event_id', i, _SMALL_M) for i in range(_SMALL_K))}]) p
+  from arrivals),
+judged as (
+  select a.arrival, a.event_id, not bool_and(exists_before) accepted from (
+    select s.arrival, s.event_id, s.arrival > min(s.arrival) over (partition by s.p) exists_before from spots s) a
+  group by 1, 2)
+"""
+
+
+@query("a16_add_if_new", sql("select arrival, event_id, accepted from judged", _SETTERS_SQL))
+def _(spark, d):
+    """Which arrivals a filter of new ids adds, in the order of delivery: replays and false positives are refused."""
+    arrived = sample.arrivals(spark, d).select("arrival", "event_id")
+    return bloom.bloom_add_if_new(arrived, "event_id", "arrival", _SMALL_M, _SMALL_K)
+
+
+@query("a16_items_added", sql("select count_if(accepted) items_added, count_if(not accepted) refused from judged", _SETTERS_SQL))
+def _(spark, d):
+    arrived = sample.arrivals(spark, d).select("arrival", "event_id")
+    added = bloom.bloom_add_if_new(arrived, "event_id", "arrival", _SMALL_M, _SMALL_K)
+    return added.agg(F.count_if("accepted").alias("items_added"), F.count_if(~F.col("accepted")).alias("refused"))
+
+
 @query("a16_bloom_stats", sql("""
     select n accepted, floor(1048576 * (1 - exp(-7 * n / 1048576::double)))::bigint bits_set,
            round(floor(1048576 * (1 - exp(-7 * n / 1048576::double))) / 1048576 * 100, 2) saturation_pct,
