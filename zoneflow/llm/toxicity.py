@@ -40,6 +40,8 @@ RUN_WORDS = 1 << 21
 RUN_DOCS = 1 << 17
 # Training words whose bigrams one partition of the counts holds, about.
 PART_WORDS = 1 << 19
+# Words of bigram partitions that a task holds before it hands on their counts.
+HELD_WORDS = 1 << 20
 # Bits that tell bigrams of a partition apart: an unknown bigram is taken for a known one once in two million times.
 PRINT_BITS = 40
 WINDOWS = (1, 2, 4, 8)
@@ -51,6 +53,7 @@ BLOCKS = 1 << 14
 START = 0x1E3779B9
 _U = np.uint64
 _RUN = "run long, ids array<long>, digests binary, sizes binary, words binary, places binary"
+_TRAINING = f"{_RUN}, folds array<int>, chances array<long>"
 _RUN_KIND = pa.schema([("run", pa.int64()), ("ids", pa.list_(pa.field("element", pa.int64()))), *((c, pa.binary()) for c in ("digests", "sizes", "words", "places"))])
 # Of a word: contexts it follows (class 0, 1, both), its occurrences as a context by class, words that follow it (0, 1, both).
 STATS = ("f0", "f1", "fb", "h0", "h1", "t0", "t1", "tb")
@@ -74,6 +77,15 @@ def unpack(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def pack_rows(values: np.ndarray) -> bytes:
+    """Rows of whole numbers, column by column."""
+    return pack(values.T)
+
+
+def unpack_rows(raw: bytes, kind, width: int) -> np.ndarray:
+    return unpack(raw, kind).reshape(width, -1).T
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     return pack(np.diff(values.astype(_U), prepend=_U(0)))
 
@@ -111,7 +123,7 @@ class Run:
         columns = [[run], [self.ids], [self.digests], [pack(self.sizes)], [self.words.tobytes()], [pack(self.places)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN_KIND, strict=True)], schema=_RUN_KIND)
 
-    def only(self, rows: np.ndarray, ids: list) -> Run:
+    def only(self, rows: list[int], ids: list) -> Run:
         """Some of the documents, under new ids."""
         ends = np.cumsum(self.sizes)
         return Run.of(ids, [self.words[self.places[ends[i] - self.sizes[i]:ends[i]]] for i in rows])
@@ -149,7 +161,7 @@ def tokenised(docs: DataFrame, digests: bool = False) -> DataFrame:
 
 
 def training_runs(runs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Runs with the places, labels and folds of their training documents, stored, and the number of training words.
+    """Stored runs of the training documents alone, with labels as ids, folds and a number drawn from each id; and the number of their words.
 
     Ids meet their labels without their texts.
     """
@@ -169,7 +181,16 @@ def training_runs(runs: DataFrame, labels: DataFrame, label: str) -> tuple[DataF
     met = runs.mapInArrow(run, schema).where("fold > 0").join(known, "doc_id")
     by_run = write_table(met.groupBy("run").agg(F.collect_list(F.struct("place", "label", "fold", "chance")).alias("trained"), F.sum("n").alias("n")), "labelled")
     total = by_run.agg(F.sum("n")).first()[0] or 0
-    return write_table(runs.join(by_run.select("run", "trained"), "run"), "training"), total
+    out_kind = to_arrow(_TRAINING)
+
+    def keep(batches):
+        for batch in batches:
+            for (number, own), trained in zip(Run.read(batch), batch.column("trained").to_pylist(), strict=True):
+                mine = own.only([t["place"] for t in trained], [t["label"] for t in trained]).row(number)
+                more = [pa.array([[t[c] for t in trained]], out_kind.field(f).type) for f, c in (("folds", "fold"), ("chances", "chance"))]
+                yield pa.RecordBatch.from_arrays([*mine.columns, *more], schema=out_kind)
+
+    return write_table(runs.join(by_run.select("run", "trained"), "run").mapInArrow(keep, _TRAINING), "training"), total
 
 
 def _parts(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -212,68 +233,79 @@ def count_bigrams(training: DataFrame, bits: int) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            for (_, own), trained in zip(Run.read(batch), batch.column("trained").to_pylist(), strict=True):
-                keys, ends = own.bigrams(), np.cumsum(own.sizes)
-                spans = [(ends[t["place"]] - own.sizes[t["place"]], ends[t["place"]], t["label"] + 2 * (t["fold"] == 4)) for t in trained]
-                taken = np.concatenate([keys[a:b] for a, b, _ in spans])
-                kinds = np.repeat([k for *_, k in spans], [b - a for a, b, _ in spans])
-                keys, group = np.unique(taken, return_inverse=True)
-                counts = np.bincount(4 * group.reshape(-1) + kinds, minlength=4 * len(keys)).reshape(-1, 4).astype(_U)
+            for (_, own), folds in zip(Run.read(batch), batch.column("folds").to_pylist(), strict=True):
+                kinds = np.repeat(np.array(own.ids, np.int64) + 2 * (np.array(folds) == 4), own.sizes)
+                keys, group = np.unique(own.bigrams(), return_inverse=True)
+                counts = np.bincount(4 * group.reshape(-1) + kinds, minlength=4 * len(keys)).reshape(-1, 4).astype(np.uint32)
                 order = np.argsort(parts := _parts(keys, bits), kind="stable")
                 keys, counts, parts = keys[order], counts[order], parts[order]
-                rows = [(p, pack_sorted(keys[s]), pack(counts[s])) for p, s in _slices(parts, 1 << bits)]
+                rows = [(p, pack_sorted(keys[s]), pack_rows(counts[s])) for p, s in _slices(parts, 1 << bits)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 3, partial_kind, strict=True)], schema=partial_kind)
 
     wanted = to_arrow(_PAIRS)
 
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = _merged(np.concatenate([unpack_sorted(k) for k in table.column("keys").to_pylist()]),
-                               np.concatenate([unpack(c, _U).reshape(-1, 4) for c in table.column("counts").to_pylist()]))
+                               np.concatenate([unpack_rows(c, np.uint32, 4) for c in table.column("counts").to_pylist()]).astype(np.int64))
         marks = []
         for n in (counts[:, :2], counts[:, :2] + counts[:, 2:]):
             kinds = (n[:, 0], n[:, 1], n.sum(1))
             marks += [int(hit.sum()) for test in (lambda x: x > 0, lambda x: x == 1, lambda x: x == 2) for hit in map(test, kinds)]
-        row = [table.column("part")[0].as_py(), pack_sorted(keys), pack(counts), *marks]
+        row = [table.column("part")[0].as_py(), pack_sorted(keys), pack_rows(counts), *marks]
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
 
     return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs")
 
 
+def _word_stats(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different words of some bigrams with what these add to the STATS of variants a and b."""
+    variants = (counts[:, :2], counts[:, :2] + counts[:, 2:])
+    types = [np.c_[n > 0, n.sum(1) > 0].astype(np.uint32) for n in variants]
+    after, follows = _merged(keys & _U(0xFFFFFFFF), np.concatenate(types, axis=1))
+    before, opens = _merged(keys >> _U(32), np.concatenate([x for n, t in zip(variants, types, strict=True) for x in (n.astype(np.uint32), t)], axis=1))
+    own = np.union1d(after, before)
+    out, width, half = np.zeros((len(own), 2 * len(STATS)), np.uint32), len(STATS), len(MARKS) // 3
+    a, b = np.searchsorted(own, after), np.searchsorted(own, before)
+    for v in (0, 1):
+        out[a, v * width:v * width + half] = follows[:, v * half:(v + 1) * half]
+        out[b, v * width + half:(v + 1) * width] = opens[:, v * (width - half):(v + 1) * (width - half)]
+    return own, out
+
+
 def count_words(pairs: DataFrame, bits: int) -> DataFrame:
     """One stored row a partition: its words with STATS of variant a, then of b, and how many words follow anything in each class."""
-    names = [f"{s}_{v}" for v in "ab" for s in STATS]
-    schema = "part int, word long, " + ", ".join(f"{n} long" for n in names)
-    row_kind = to_arrow(schema)
+    schema = "part int, words binary, stats binary"
+    row_kind, width = to_arrow(schema), 2 * len(STATS)
+
+    def emit(held):
+        own, stats = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        order = np.argsort(parts := _parts(own, bits), kind="stable")
+        own, stats, parts = own[order], stats[order].astype(np.uint32), parts[order]
+        rows = [(p, pack_sorted(own[s]), pack_rows(stats[s])) for p, s in _slices(parts, 1 << bits)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 3, row_kind, strict=True)], schema=row_kind)
 
     def split(batches):
+        held = []
         for batch in batches:
             for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                keys, counts = unpack_sorted(keys), unpack(counts, _U).reshape(-1, 4).astype(np.int64)
-                stats = []
-                for n in (counts[:, :2], counts[:, :2] + counts[:, 2:]):
-                    stats.append((np.c_[n > 0, n.sum(1) > 0].astype(np.int64), n))
-                zero, none = np.zeros((len(keys), 3), np.int64), np.zeros((len(keys), 2), np.int64)
-                after = np.concatenate([x for types, _ in stats for x in (types, none, zero)], axis=1)
-                before = np.concatenate([x for types, n in stats for x in (zero, n, types)], axis=1)
-                own, sums = _merged(np.concatenate([keys & _U(0xFFFFFFFF), keys >> _U(32)]), np.concatenate([after, before]))
-                columns = [_parts(own, bits), own.astype(np.int64), *sums.T]
-                yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, row_kind, strict=True)], schema=row_kind)
-
-    packed = "part int, words binary, stats binary, " + ", ".join(f"{m}_{v} long" for v in "ab" for m in ("v0", "v1", "vb"))
+                held.append(_word_stats(unpack_sorted(keys), unpack_rows(counts, np.int64, 4)))
+                if sum(len(w) for w, _ in held) > HELD_WORDS:
+                    yield emit(held)
+                    held = []
+        if held:
+            yield emit(held)
+
+    packed = schema + ", " + ", ".join(f"{m}_{v} long" for v in "ab" for m in ("v0", "v1", "vb"))
     wanted = to_arrow(packed)
 
     def gather(table: pa.Table) -> pa.Table:
-        own = table.column("word").to_numpy()
-        order = np.argsort(own)
-        stats = np.stack([table.column(n).to_numpy() for n in names], axis=1)[order]
-        known = [int((stats[:, names.index(f"{f}_{v}")] > 0).sum()) for v in "ab" for f in ("f0", "f1", "fb")]
-        row = [table.column("part")[0].as_py(), pack_sorted(own[order]), pack(stats), *known]
+        own, stats = _merged(np.concatenate([unpack_sorted(w) for w in table.column("words").to_pylist()]),
+                             np.concatenate([unpack_rows(s, np.uint32, width) for s in table.column("stats").to_pylist()]).astype(np.int64))
+        known = [int((stats[:, v * len(STATS) + f] > 0).sum()) for v in (0, 1) for f in range(3)]
+        row = [table.column("part")[0].as_py(), pack_sorted(own), pack_rows(stats), *known]
         return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, wanted, strict=True)], schema=wanted)
 
-    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # One shuffle serves the sums by word and the packing by partition.
-    rows = pairs.select("keys", "counts").mapInArrow(split, schema).repartition(spread, "part")
-    return write_table(rows.groupBy("part", "word").agg(*[F.sum(n).alias(n) for n in names]).groupBy("part").applyInArrow(gather, packed), "words")
+    return write_table(pairs.select("keys", "counts").mapInArrow(split, schema).groupBy("part").applyInArrow(gather, packed), "words")
 
 
 @dataclass
@@ -377,12 +409,12 @@ def answers(asked: DataFrame, model: Model, variant: str) -> DataFrame:
         own, stats = np.zeros(0, _U), np.zeros((0, len(STATS)), np.int64)
         for kind, keys, values in zip(*(right.column(c).to_pylist() for c in ("kind", "keys", "values")), strict=True):
             if kind:
-                own, stats = unpack_sorted(keys), unpack(values, np.int64).reshape(-1, 2 * len(STATS))[:, first:first + len(STATS)]
+                own, stats = unpack_sorted(keys), unpack_rows(values, np.int64, 2 * len(STATS))[:, first:first + len(STATS)]
             else:
-                n = unpack(values, _U).reshape(-1, 4).astype(np.int64)
+                n = unpack_rows(values, np.int64, 4)
                 n = n[:, :2] if variant == "a" else n[:, :2] + n[:, 2:]
                 prints, counts = _merged(_prints(unpack_sorted(keys), bits) & low, n)
-        rows = [(run, part, pack(_looked_up(own, stats, unpack_sorted(w))), pack(_looked_up(prints, counts, unpack_sorted(p))))
+        rows = [(run, part, pack_rows(_looked_up(own, stats, unpack_sorted(w))), pack_rows(_looked_up(prints, counts, unpack_sorted(p))))
                 for part, run, w, p in zip(*(left.column(c).to_pylist() for c in ("part", "run", "words", "prints")), strict=True)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), wanted, strict=True)], schema=wanted)
 
@@ -449,9 +481,9 @@ def run_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
         of_prints = dict(_slices((prints >> _U(PRINT_BITS)).astype(np.int64), 1 << bits))
         for part, s, c in zip(*(right.column(n).to_pylist() for n in ("part", "stats", "counts")), strict=True):
             if part in of_words:
-                stats[order[of_words[part]]] = unpack(s, np.int64).reshape(-1, len(STATS))
+                stats[order[of_words[part]]] = unpack_rows(s, np.int64, len(STATS))
             if part in of_prints:
-                counts[of_prints[part]] = unpack(c, np.int64).reshape(-1, 2)
+                counts[of_prints[part]] = unpack_rows(c, np.int64, 2)
         # Each different bigram once; its words are found by their numbers.
         bigrams, inverse = np.unique(own.bigrams(), return_inverse=True)
         by_word = np.argsort(asked.words)
@@ -485,17 +517,17 @@ def calibrate(training: DataFrame, model: Model, calibration_rows: int) -> tuple
     """Weights of the features, from a bounded sample of fold 4 scored by the models of folds 1 to 3; None without both classes."""
     if not model.usable("a"):
         return None
-    rows = training.select(F.explode("trained").alias("t")).where("t.fold = 4")
-    counts = rows.agg(F.count_if(F.col("t.label") == 0), F.count_if(F.col("t.label") == 1)).first()
+    rows = training.select(F.explode(F.arrays_zip("ids", "folds")).alias("t")).where("t.folds = 4")
+    counts = rows.agg(F.count_if(F.col("t.ids") == 0), F.count_if(F.col("t.ids") == 1)).first()
     # A share of each class by the hash of its ids: about `calibration_rows` rows, and no task gathers them.
     shares = [int((1 << 30) * min(1.0, calibration_rows / max(1, n))) for n in counts]
 
     def sample(batches):
         for batch in batches:
-            for (number, own), trained in zip(Run.read(batch), batch.column("trained").to_pylist(), strict=True):
-                mine = [t for t in trained if t["fold"] == 4 and t["chance"] < shares[t["label"]]]
+            for (number, own), folds, chances in zip(Run.read(batch), batch.column("folds").to_pylist(), batch.column("chances").to_pylist(), strict=True):
+                mine = [i for i, (label, fold, chance) in enumerate(zip(own.ids, folds, chances, strict=True)) if fold == 4 and chance < shares[label]]
                 if mine:
-                    yield own.only(np.array([t["place"] for t in mine]), [t["label"] for t in mine]).row(number)
+                    yield own.only(mine, [own.ids[i] for i in mine]).row(number)
 
     sampled = write_table(training.mapInArrow(sample, _RUN), "calibration")
     held = run_features(sampled, model, "a").select("ids", "features").collect()
@@ -517,7 +549,7 @@ def score_runs(runs: DataFrame, labels: DataFrame, label: str, schema: str, out:
     fitted = calibrate(training, model, calibration_rows)
     share = 0.0
     if fitted is None:
-        share = training.select(F.explode("trained").alias("t")).agg(F.avg(F.col("t.label").cast("double"))).first()[0] or 0.0
+        share = training.select(F.explode("ids").alias("label")).agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
     wanted = to_arrow(schema)
 
     def rows(batches):
