@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,13 +77,40 @@ def save_table(df: DataFrame, name: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` once to the shared folder and return the stored table.
 
     The result survives lost executors and is the same on every read, which
     partition numbers and sampled range bounds are not before they are stored.
+    With `keep` the table outlives the `scratch` block it is written in.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(save_table(df, name))
+    path, open_ = save_table(df, name), _SCRATCH.get()
+    if keep and len(open_) > 1:
+        open_[-2].append(path)
+    elif open_ and not keep:
+        open_[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Paths of the tables stored in each `scratch` block that is open, the innermost last.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that `write_table` stores inside the block at its end, but for those it keeps.
+
+    What leaves the block must be read from kept tables alone. Of nested blocks
+    a table kept by an inner one goes with the outer one.
+    """
+    own: list[str] = []
+    token = _SCRATCH.set((*_SCRATCH.get(), own))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in own:
+            _delete(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -106,5 +135,9 @@ def release(spark: SparkSession) -> None:
     """Remove the tables this application wrote to the shared folder, once nothing reads them, and forget their paths."""
     for key in [k for k in _ONCE if k[0] == spark.sparkContext.applicationId]:
         del _ONCE[key]
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
