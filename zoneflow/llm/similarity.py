@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from zoneflow.llm.components import components
 from zoneflow.llm.text import lists, map_batches, mix64, raw_texts, signed, to_arrow, word_hashes
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
-from zoneflow.session import write_table
+from zoneflow.session import scratch, write_table
 
 # Sets that one task compares with one copy of their leader.
 CHUNK = 256
@@ -300,12 +300,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     row with a null id keeps a null component. Other columns are ignored.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    index = write_table(_index_rows(texts, width, percent), "index")
-    full = index.where("n > 0 and doc_id is not null")
+    used = "n > 0 and doc_id is not null"
+    with scratch(docs.sparkSession):
+        # The keys of all sets are by far the largest table; it goes once the leaders are known.
+        keyed = write_table(_index_rows(texts, width, percent), "index")
+        index = write_table(keyed.drop("keys"), "sets", keep=True)
+        leaders = write_table(_leaders(keyed.where(used)), "leaders", keep=True)
+    full = index.where(used)
     classes = full.groupBy("one", "two", "n").agg(F.min("doc_id").alias("node"))
     firsts = full.select("one", "two", "n", "doc_id").join(classes, ["one", "two", "n"])
     copies = firsts.where("doc_id <> node").select(F.col("doc_id").alias("id")).distinct()
-    pairs = write_table(_leaders(full).join(copies, "id", "left_anti"), "pairs")
+    pairs = leaders.join(copies, "id", "left_anti")
     chosen = write_table(_worth_comparing(pairs, full).select("lead", "id"), "chosen")
     compared = write_table(_compare(_with_texts(chosen, texts.where("doc_id is not null")), width), "compared")
     linked = compared.where(
@@ -326,6 +331,7 @@ def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     Empty and null texts and null ids stay. Rows that repeat an id are one
     document and stay or go together.
     """
-    found = jaccard_components(docs, width, percent)
-    extra = write_table(found.where("doc_id <> component_id").select("doc_id").distinct(), "extra")
+    with scratch(docs.sparkSession):
+        found = jaccard_components(docs, width, percent)
+        extra = write_table(found.where("doc_id <> component_id").select("doc_id").distinct(), "extra", keep=True)
     return docs.join(extra, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

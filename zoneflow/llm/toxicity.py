@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from zoneflow.llm.decontaminate import words
 from zoneflow.llm.text import Memo, free_prefix, held_out, mix64, raw_texts, to_arrow
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
-from zoneflow.session import write_table
+from zoneflow.session import scratch, write_table
 
 # Words and documents of a run, at most; a longer document is a run of its own.
 RUN_WORDS = 1 << 21
@@ -254,7 +254,7 @@ def count_bigrams(training: DataFrame, bits: int) -> DataFrame:
         row = [table.column("part")[0].as_py(), pack_sorted(keys), pack_rows(counts), *marks]
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
 
-    return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs")
+    return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs", keep=True)
 
 
 def _word_stats(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,7 +305,7 @@ def count_words(pairs: DataFrame, bits: int) -> DataFrame:
         row = [table.column("part")[0].as_py(), pack_sorted(own), pack_rows(stats), *known]
         return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip(row, wanted, strict=True)], schema=wanted)
 
-    return write_table(pairs.select("keys", "counts").mapInArrow(split, schema).groupBy("part").applyInArrow(gather, packed), "words")
+    return write_table(pairs.select("keys", "counts").mapInArrow(split, schema).groupBy("part").applyInArrow(gather, packed), "words", keep=True)
 
 
 @dataclass
@@ -544,12 +544,13 @@ def score_runs(runs: DataFrame, labels: DataFrame, label: str, schema: str, out:
     on folds 1 to 4. Without rows of both classes the score is the share of
     ones, or 0.
     """
-    training, total = training_runs(runs, labels, label)
-    model = train(training, total)
-    fitted = calibrate(training, model, calibration_rows)
-    share = 0.0
-    if fitted is None:
-        share = training.select(F.explode("ids").alias("label")).agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
+    with scratch(runs.sparkSession):
+        training, total = training_runs(runs, labels, label)
+        model = train(training, total)
+        fitted = calibrate(training, model, calibration_rows)
+        share = 0.0
+        if fitted is None:
+            share = training.select(F.explode("ids").alias("label")).agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
     wanted = to_arrow(schema)
 
     def rows(batches):
@@ -596,7 +597,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     def out(ids, digests, scores):
         return {"digest": [digests[16 * i:16 * i + 16] for i in np.nonzero(scores >= threshold)[0]]}
 
-    rejected = write_table(score_runs(tokenised(docs, digests=True), labels, "toxic", "digest binary", out).distinct(), "rejected")
+    with scratch(docs.sparkSession):
+        rejected = write_table(score_runs(tokenised(docs, digests=True), labels, "toxic", "digest binary", out).distinct(), "rejected", keep=True)
     mark = free_prefix(docs.columns)
     own = docs.withColumn(mark, F.unhex(F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))))
     likely = maybe_listed(F.col(mark), blocked_bloom(rejected, "digest", BLOCKS), BLOCKS)
