@@ -148,7 +148,7 @@ def plain_features(ratios, own):
     return np.array([pair.mean(), *best])
 
 
-@pytest.mark.parametrize(("run_words", "part_words"), [(1 << 21, 1 << 19), (40, 60)])
+@pytest.mark.parametrize(("run_words", "part_words"), [(1 << 20, 1 << 19), (40, 60)])
 def test_models_equal_plain_kneser_ney(spark, monkeypatch, run_words, part_words):
     """Counts, back-off and windows of 50 labelled texts, in one run and partition and in many; fold 4 counts in the final models alone."""
     monkeypatch.setattr(toxicity, "RUN_WORDS", run_words)

@@ -22,6 +22,7 @@ import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,19 @@ from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import scratch, write_table
 
 # Words and documents of a run, at most; a longer document is a run of its own.
-RUN_WORDS = 1 << 21
+RUN_WORDS = 1 << 20
 RUN_DOCS = 1 << 17
 # Training words whose bigrams one partition of the counts holds, about.
 PART_WORDS = 1 << 19
 # Words of bigram partitions that a task holds before it hands on their counts.
 HELD_WORDS = 1 << 20
-# Bits that tell bigrams of a partition apart: an unknown bigram is taken for a known one once in two million times.
-PRINT_BITS = 40
+# Bits that tell bigrams of a partition apart: an unknown bigram is taken for a known one once in 130,000 times.
+PRINT_BITS = 36
+# Parts of the runs that are scored one after the other, each with its own shuffle; bounds the disk, not the work.
+SLICES = 4
 WINDOWS = (1, 2, 4, 8)
+# Most frequent words of a run that each class of frequency ends with.
+CLASSES = (1 << 8, 1 << 12, 1 << 16)
 # Labelled rows per class that the score is calibrated on, in expectation.
 CALIBRATION_ROWS = 5000
 # Blocks of the filter that keeps most kept rows out of the last shuffle.
@@ -108,8 +113,10 @@ class Run:
     def of(cls, ids: list, texts: list[np.ndarray], digests: bytes = b"") -> Run:
         tokens = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
         own, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-        # Frequent words get small numbers, which compress well.
-        order = np.argsort(-counts, kind="stable")
+        # Frequent words get small numbers, which compress well; words of one class of frequency are sorted, as their differences do.
+        rank = np.empty(len(own), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(own))
+        order = np.lexsort((own, np.searchsorted(CLASSES, rank, "right")))
         rank = np.empty(len(own), np.uint32)
         rank[order] = np.arange(len(own), dtype=np.uint32)
         return cls(ids, np.array([len(t) for t in texts], np.int64), own[order], rank[inverse.reshape(-1)], digests)
@@ -117,10 +124,10 @@ class Run:
     @classmethod
     def read(cls, batch) -> Iterator[tuple[int, Run]]:
         for run, ids, digests, sizes, own, places in zip(*(batch.column(c).to_pylist() for c in ("run", "ids", "digests", "sizes", "words", "places")), strict=True):
-            yield run, cls(ids, unpack(sizes, np.int64), np.frombuffer(own, np.uint32), unpack(places, np.uint32), digests)
+            yield run, cls(ids, unpack(sizes, np.int64), np.cumsum(unpack(own, np.uint32), dtype=np.uint32), unpack(places, np.uint32), digests)
 
     def row(self, run: int) -> pa.RecordBatch:
-        columns = [[run], [self.ids], [self.digests], [pack(self.sizes)], [self.words.tobytes()], [pack(self.places)]]
+        columns = [[run], [self.ids], [self.digests], [pack(self.sizes)], [pack(np.diff(self.words, prepend=np.uint32(0)))], [pack(self.places)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RUN_KIND, strict=True)], schema=_RUN_KIND)
 
     def only(self, rows: list[int], ids: list) -> Run:
@@ -466,7 +473,16 @@ _FEATURES = "ids array<long>, digests binary, features binary"
 
 
 def run_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
-    """ids, digests and features of the documents of every run."""
+    """ids, digests and features of the documents of every run, stored.
+
+    A part of the runs is scored at a time, so that what they ask and get never lies on disk as a whole.
+    """
+    part = F.pmod(F.xxhash64("run"), F.lit(SLICES))
+    done = [write_table(_slice_features(runs.where(part == i), model, variant), "features") for i in range(SLICES)]
+    return reduce(DataFrame.unionByName, done)
+
+
+def _slice_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
     bits, totals, wanted = model.bits, model.totals[variant], to_arrow(_FEATURES)
     found = answers(requests(runs, bits), model, variant)
 
