@@ -7,112 +7,45 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
-from zoneflow.operators.aggregates import flat_window, zone_window_metrics
+from zoneflow.operators.aggregates import zone_window_metrics
 from zoneflow.operators.cleaning import valid_events
 from zoneflow.sources.stream import parse_events, read_event_stream
+from zoneflow.streaming.bronze import FILES_PER_DAY, bronze_writer, compact_bronze  # noqa: F401
 from zoneflow.streaming.dedup import dedup_stream
+from zoneflow.streaming.silver import compact_silver, read_silver, silver_writer  # noqa: F401
 
 TRIGGER = "5 seconds"
 WATERMARK = "5 minutes"
 WIDTH = "5 minutes"
-# Files that one micro-batch, or a compaction, writes per day of events.
-FILES_PER_DAY = 4
 
 
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def _by_day(events: DataFrame, files_per_day: int) -> DataFrame:
-    """Rows of a day in at most `files_per_day` tasks, sorted by zone so that a reader skips row groups."""
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_day))
-    return events.withColumn("_salt", salt).repartition("event_date", "_salt").sortWithinPartitions("event_date", "zone_id", "timestamp").drop("_salt")
-
-
-def _stored(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-def bronze_writer(path: str, files_per_day: int = FILES_PER_DAY):
-    """Sink that appends the events of a micro-batch which Bronze does not hold yet, however late they are.
-
-    A copy bears its event's time, so only the days of the batch are looked
-    up. A batch overwrites its own directories and does not look itself up, so
-    a batch run again after a failure leaves one copy.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.dropDuplicates(["event_id"]).withColumn("event_date", F.to_date("timestamp")).persist()
-        try:
-            days = [r["event_date"] for r in dated.select("event_date").distinct().collect()]
-            if not days:
-                return
-            fresh = dated
-            if _stored(spark, path):
-                held = spark.read.schema("event_id string, event_date date, batch_id bigint").parquet(path)
-                held = held.where(F.col("event_date").isin(days) & (F.col("batch_id") != batch_id))
-                fresh = dated.join(held.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti").select(dated.columns)
-            rows = _by_day(fresh, files_per_day).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            rows.write.partitionBy("event_date", "batch_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-        finally:
-            dated.unpersist()
-
-    return write
-
-
 def write_bronze(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, files_per_day: int = FILES_PER_DAY,
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, files_per_day: int = FILES_PER_DAY, compact_every: int = 0,
 ) -> StreamingQuery:
     """Append valid events, partitioned by day; give it the stream before any watermark, so that late rows stay.
 
     `every=None` takes what is there and ends.
     """
-    writer = stream.writeStream.foreachBatch(bronze_writer(path, files_per_day)).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(bronze_writer(path, files_per_day, compact_every)).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
-def compact_bronze(spark: SparkSession, path: str, target: str, files_per_day: int = FILES_PER_DAY) -> None:
-    """Copy Bronze to `target` with the batches of a day in a few files; readers of `path` are not disturbed."""
-    rows = spark.read.parquet(path).withColumn("batch_id", F.max("batch_id").over(Window.partitionBy("event_date")))
-    _by_day(rows, files_per_day).write.partitionBy("event_date", "batch_id").mode("overwrite").parquet(target)
-
-
-def silver_writer(path: str):
-    """Sink for one micro-batch of window updates.
-
-    A batch overwrites its own directory, so a batch run again after a failure
-    leaves one copy; each directory holds the batch's versions of its windows.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = flat_window(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        kept = rows.persist()
-        try:
-            if not kept.isEmpty():
-                kept.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
-
-    return write
-
-
 def write_silver(
-    metrics: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, mode: str = "update",
+    metrics: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER, mode: str = "update", compact_every: int = 0,
 ) -> StreamingQuery:
     """Publish windows as they change, or once they close (`mode="append"`); read them through `silver_latest`."""
     writer = (
-        metrics.writeStream.outputMode(mode).foreachBatch(silver_writer(path))
+        metrics.writeStream.outputMode(mode).foreachBatch(silver_writer(path, compact_every))
         .option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, every).start()
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
-
-
 def stream_metrics(events: DataFrame, watermark: str = WATERMARK, width: str = WIDTH) -> DataFrame:
     """The batch window metrics with a watermark, which bounds the open state."""
     return zone_window_metrics(events, width, watermark)
@@ -137,6 +70,8 @@ class StreamConfig:
     dedup: str = "exact"
     # Offsets of a topic, or files, that one micro-batch takes at most.
     max_per_trigger: int | None = None
+    # Micro-batches after which each sink merges its days; 0 leaves that to `compact_bronze` and `compact_silver`.
+    compact_every: int = 0
 
 
 def source_options(cfg: StreamConfig) -> dict[str, str]:
@@ -161,9 +96,10 @@ def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQue
     # Spark takes custom state before an aggregation in append mode only.
     mode = "append" if cfg.dedup == "bloom" else "update"
     queries = {
-        "bronze": write_bronze(events, cfg.bronze, f"{cfg.checkpoints}/bronze", cfg.every),
+        "bronze": write_bronze(events, cfg.bronze, f"{cfg.checkpoints}/bronze", cfg.every, compact_every=cfg.compact_every),
         "silver": write_silver(
-            zone_window_metrics(dedup_stream(events, WATERMARK, cfg.dedup), WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every, mode
+            zone_window_metrics(dedup_stream(events, WATERMARK, cfg.dedup), WIDTH), cfg.silver, f"{cfg.checkpoints}/silver", cfg.every, mode,
+            cfg.compact_every,
         ),
     }
     try:
