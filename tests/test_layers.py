@@ -195,3 +195,31 @@ def test_a_whole_stream_compacts_itself(spark, tmp_path):
     assert ids(read_bronze(spark, cfg.bronze)) == all_ids(32)
     assert silver_latest(silver.read_silver(spark, cfg.silver)).agg(F.sum("event_count")).first()[0] == 32
     assert live.version(spark, cfg.bronze) == 3
+
+
+def test_run_metrics_tell_late_copied_and_unreadable_rows(spark, tmp_path):
+    import json
+
+    from zoneflow.streaming.metrics import run_report
+
+    (tmp_path / "in").mkdir()
+    cfg = StreamConfig(bronze=str(tmp_path / "b"), silver=str(tmp_path / "s"), checkpoints=str(tmp_path / "c"), source_format="json",
+                       source_path=str(tmp_path / "in"), every=None, metrics=str(tmp_path / "m"))
+
+    def drop(name, frame, *broken):
+        lines = [json.dumps({"value": json.dumps(r.asDict(), default=str)}) for r in frame.collect()] + [json.dumps({"value": b}) for b in broken]
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(lines))
+
+    # Ten events, two of them again, one message that is none; then one far too late, one copy, and one in time.
+    drop("a", rows(spark, [(i, 60 + i) for i in range(10)] + [(1, 61), (2, 62)]), "{broken")
+    run_stream(spark, cfg)
+    drop("b", rows(spark, [(50, 0), (9, 69), (51, 70)]))
+    run_stream(spark, cfg)
+    metrics = spark.read.parquet(cfg.metrics)
+    seen = metrics.where("input_rows > 0").groupBy("query").agg(*[F.sum(c).alias(c) for c in ("input_rows", "parsed_rows", "unreadable_rows", "late_rows", "copies")]).collect()
+    assert len(seen) == 2
+    assert {(r["input_rows"], r["parsed_rows"], r["unreadable_rows"]) for r in seen} == {(16, 16, 1)}
+    # Bronze keeps no state; the windows drop the late event and three copies.
+    assert sorted((r["late_rows"], r["copies"]) for r in seen) == [(0, 0), (1, 3)]
+    report = run_report(metrics.union(metrics)).collect()
+    assert {r["input_rows"] for r in report} == {16} and all(r["seconds"] > 0 and r["batches"] >= 2 for r in report)

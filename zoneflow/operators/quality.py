@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.sources.files import output_files
+
 # Fields every event record must carry.
 REQUIRED_FIELDS = ("event_id", "timestamp", "vehicle_id", "zone_id", "event_type", "occupancy", "capacity")
 
@@ -104,6 +106,13 @@ def schema_report(df: DataFrame) -> DataFrame:
     )
 
 
+def stored_files(df: DataFrame) -> DataFrame:
+    """Name, size and time of the files that `df` is read from, from their listing; no row is read for it."""
+    paths = sorted(set(df.inputFiles()))
+    spark = df.sparkSession
+    return output_files(spark, *paths) if paths else spark.createDataFrame([], "file_path string, file_size long, file_modification_time timestamp")
+
+
 def catalog(layers: dict[str, DataFrame], with_bytes: bool = False) -> DataFrame:
     """Rows and columns per layer, with file bytes for layers read from files."""
     def entry(name: str, df: DataFrame) -> DataFrame:
@@ -112,8 +121,7 @@ def catalog(layers: dict[str, DataFrame], with_bytes: bool = False) -> DataFrame
         )
         if not with_bytes:
             return out
-        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-        size = files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+        size = stored_files(df).agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
         return out.withColumn("bytes", size.scalar())
 
     return reduce(DataFrame.unionByName, [entry(name, df) for name, df in layers.items()])
@@ -121,7 +129,8 @@ def catalog(layers: dict[str, DataFrame], with_bytes: bool = False) -> DataFrame
 
 def newest_files(df: DataFrame, n: int = 6) -> DataFrame:
     """The `n` most recently written files of a file-backed table."""
-    files = df.select("_metadata.file_name", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    name = F.element_at(F.split("file_path", "/"), -1).alias("file_name")
+    files = stored_files(df).select(name, "file_size", "file_modification_time")
     return files.orderBy(F.desc("file_modification_time"), "file_name").limit(n)
 
 

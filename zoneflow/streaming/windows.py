@@ -13,6 +13,7 @@ from zoneflow.operators.cleaning import valid_events
 from zoneflow.sources.stream import parse_events, read_event_stream
 from zoneflow.streaming.bronze import FILES_PER_DAY, bronze_writer, compact_bronze  # noqa: F401
 from zoneflow.streaming.dedup import dedup_stream
+from zoneflow.streaming.metrics import observed, start_metrics, stop_metrics
 from zoneflow.streaming.silver import compact_silver, read_silver, silver_writer  # noqa: F401
 
 TRIGGER = "5 seconds"
@@ -72,6 +73,8 @@ class StreamConfig:
     max_per_trigger: int | None = None
     # Micro-batches after which each sink merges its days; 0 leaves that to `compact_bronze` and `compact_silver`.
     compact_every: int = 0
+    # Table that gets one row for each micro-batch of both queries.
+    metrics: str | None = None
 
 
 def source_options(cfg: StreamConfig) -> dict[str, str]:
@@ -81,7 +84,7 @@ def source_options(cfg: StreamConfig) -> dict[str, str]:
 
 def valid_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     """Valid events, copies and late rows among them."""
-    return valid_events(parse_events(read_event_stream(spark, cfg.source_format, cfg.source_path, **source_options(cfg))))
+    return valid_events(observed(parse_events(read_event_stream(spark, cfg.source_format, cfg.source_path, **source_options(cfg)))))
 
 
 def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQuery]:
@@ -93,6 +96,7 @@ def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQue
     if cfg.run_seconds < 0:
         raise ValueError("run_seconds must be zero or greater")
     events = valid_stream(spark, cfg)
+    listener = start_metrics(spark, cfg.metrics) if cfg.metrics else None
     # Spark takes custom state before an aggregation in append mode only.
     mode = "append" if cfg.dedup == "bloom" else "update"
     queries = {
@@ -114,4 +118,6 @@ def run_stream(spark: SparkSession, cfg: StreamConfig) -> dict[str, StreamingQue
         for q in queries.values():
             if q.isActive:
                 q.stop()
+        if listener is not None:
+            stop_metrics(spark, listener)
     return queries
