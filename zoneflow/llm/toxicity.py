@@ -238,16 +238,26 @@ def count_bigrams(training: DataFrame, bits: int) -> DataFrame:
     schema = "part int, keys binary, counts binary"
     partial_kind = to_arrow(schema)
 
+    def emit(held):
+        keys, kinds = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, group = np.unique(keys, return_inverse=True)
+        counts = np.bincount(4 * group.reshape(-1) + kinds, minlength=4 * len(keys)).reshape(-1, 4).astype(np.uint32)
+        order = np.argsort(parts := _parts(keys, bits), kind="stable")
+        keys, counts, parts = keys[order], counts[order], parts[order]
+        rows = [(p, pack_sorted(keys[s]), pack_rows(counts[s])) for p, s in _slices(parts, 1 << bits)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 3, partial_kind, strict=True)], schema=partial_kind)
+
     def count(batches):
+        held = []
         for batch in batches:
             for (_, own), folds in zip(Run.read(batch), batch.column("folds").to_pylist(), strict=True):
-                kinds = np.repeat(np.array(own.ids, np.int64) + 2 * (np.array(folds) == 4), own.sizes)
-                keys, group = np.unique(own.bigrams(), return_inverse=True)
-                counts = np.bincount(4 * group.reshape(-1) + kinds, minlength=4 * len(keys)).reshape(-1, 4).astype(np.uint32)
-                order = np.argsort(parts := _parts(keys, bits), kind="stable")
-                keys, counts, parts = keys[order], counts[order], parts[order]
-                rows = [(p, pack_sorted(keys[s]), pack_rows(counts[s])) for p, s in _slices(parts, 1 << bits)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 3, partial_kind, strict=True)], schema=partial_kind)
+                held.append((own.bigrams(), np.repeat(np.array(own.ids, np.int64) + 2 * (np.array(folds) == 4), own.sizes)))
+                # A run has few training documents: several are counted at once.
+                if sum(len(k) for k, _ in held) >= RUN_WORDS:
+                    yield emit(held)
+                    held = []
+        if held:
+            yield emit(held)
 
     wanted = to_arrow(_PAIRS)
 
@@ -354,11 +364,11 @@ def train(training: DataFrame, total: int) -> Model:
     return model
 
 
-def _asked(own: Run, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different bigrams of a run as sorted prints, and the order and partitions in which its words are asked for."""
+def _word_order(own: Run, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which a run asks for its words, and their partitions in it."""
     parts = _parts(own.words, bits)
     order = np.lexsort((own.words, parts))
-    return np.unique(_prints(own.bigrams(), bits)), order, parts[order]
+    return order, parts[order]
 
 
 def _started(own: Run) -> Run:
@@ -380,7 +390,8 @@ def requests(runs: DataFrame, bits: int) -> DataFrame:
             for number, own in Run.read(batch):
                 # The start of a text is a context like a word; every run asks for it.
                 own = _started(own)
-                prints, order, parts = _asked(own, bits)
+                prints = np.unique(_prints(own.bigrams(), bits))
+                order, parts = _word_order(own, bits)
                 of_words = dict(_slices(parts, 1 << bits))
                 of_prints = dict(_slices((prints >> _U(PRINT_BITS)).astype(np.int64), 1 << bits))
                 none = slice(0, 0)
@@ -432,19 +443,24 @@ def ratios(totals: Totals, stats: np.ndarray, before: np.ndarray, after: np.ndar
     """Log-likelihood ratio of class 1 to 0 of every word alone, and of every bigram.
 
     `stats` are rows of words, `before` and `after` the rows of each bigram's
-    two words (-1 for the start's own row, the last), `counts` its occurrences by class.
+    two words, `counts` its occurrences by class.
     """
     s = {n: stats[:, i].astype(np.float64) for i, n in enumerate(STATS)}
-    d, both = totals.discounts, counts.sum(1)
+    d, both, hb = totals.discounts, counts.sum(1), s["h0"] + s["h1"]
     shared = (s["fb"] + 1) / (totals.types[2] + totals.known[2] + 1)
+
+    def backed(n, discount, head, types, low):
+        """Discounted counts on top of the lower level; nothing but that level where a context was never seen."""
+        known = head > 0
+        weight = np.where(known, discount * types / np.maximum(head, 1), 1.0)[before]
+        return np.maximum(n - discount, 0) / np.maximum(head, 1)[before] + weight * low
+
     alone, pair = [], []
     for c in (0, 1):
         one = (np.maximum(s[f"f{c}"] - d[c], 0) + d[c] * totals.known[c] * shared) / totals.types[c]
         alone.append(one)
-        h, t = s[f"h{c}"][before], s[f"t{c}"][before]
-        hb, tb = (s["h0"] + s["h1"])[before], s["tb"][before]
-        pool = np.where(hb > 0, (np.maximum(both - d[2], 0) + d[2] * tb * one[after]) / np.maximum(hb, 1), one[after])
-        pair.append(np.where(h > 0, (np.maximum(counts[:, c] - d[c], 0) + d[c] * t * pool) / np.maximum(h, 1), pool))
+        pool = backed(both, d[2], hb, s["tb"], one[after])
+        pair.append(backed(counts[:, c], d[c], s[f"h{c}"], s[f"t{c}"], pool))
     return np.log(alone[1] / alone[0]), np.log(pair[1] / pair[0])
 
 
@@ -490,8 +506,10 @@ def _slice_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
         if not left.num_rows:
             return wanted.empty_table()
         _, own = next(Run.read(left))
-        size, asked = len(own.sizes), _started(own)
-        prints, order, parts = _asked(asked, bits)
+        asked = _started(own)
+        # The prints of all tokens are sorted once; `inverse` leads back to the tokens.
+        prints, inverse = np.unique(_prints(own.bigrams(), bits), return_inverse=True)
+        order, parts = _word_order(asked, bits)
         stats, counts = np.zeros((len(asked.words), len(STATS)), np.int64), np.zeros((len(prints), 2), np.int64)
         of_words = dict(_slices(parts, 1 << bits))
         of_prints = dict(_slices((prints >> _U(PRINT_BITS)).astype(np.int64), 1 << bits))
@@ -500,16 +518,12 @@ def _slice_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
                 stats[order[of_words[part]]] = unpack_rows(s, np.int64, len(STATS))
             if part in of_prints:
                 counts[of_prints[part]] = unpack_rows(c, np.int64, 2)
-        # Each different bigram once; its words are found by their numbers.
-        bigrams, inverse = np.unique(own.bigrams(), return_inverse=True)
-        by_word = np.argsort(asked.words)
-        place = lambda w: by_word[np.searchsorted(asked.words[by_word], w.astype(np.uint32))]
-        before, after = place(bigrams >> _U(32)), place(bigrams & _U(0xFFFFFFFF))
-        hits = counts[np.searchsorted(prints, _prints(bigrams, bits))] if len(bigrams) else np.zeros((0, 2))
-        alone, pair = ratios(totals, stats, before, after, hits)
-        at = place(own.words)
-        x = features(own, alone[at][own.places], pair[inverse.reshape(-1)])
-        row = [own.ids, own.digests, x.reshape(size, -1).tobytes()]
+        after = own.places.astype(np.int64)
+        before = np.concatenate([np.zeros(1, np.int64), after[:-1]])[:len(after)]
+        before[(np.cumsum(own.sizes) - own.sizes)[own.sizes > 0]] = int(np.nonzero(asked.words == START)[0][0])
+        alone, pair = ratios(totals, stats, before, after, counts[inverse.reshape(-1)])
+        x = features(own, alone[after], pair)
+        row = [own.ids, own.digests, x.tobytes()]
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
 
     return runs.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(score, _FEATURES)
