@@ -155,6 +155,31 @@ def test_shards_of_odd_rows_and_hot_groups(spark, odd_documents, no_documents):
     assert len({r["shard"] for r in placed if r["doc_id"] % 3 < 2}) == 1
 
 
+def test_a_heavy_group_leaves_no_shard_empty(spark):
+    """One text that is most of the bytes, or a third of them: the largest shard is the least possible, the others are near each other."""
+    for copies, others in ((60, 140), (100, 200)):
+        docs = spark.createDataFrame([(i, "same " * 200 if i < copies else f"text {i} " + "x" * 20) for i in range(copies + others)], "doc_id long, text string")
+        totals = Counter()
+        for r in sharding.shard_documents(docs, 8).collect():
+            totals[r["shard"]] += r["size"]
+        rest = sorted(totals.values())[:-1]
+        assert len(totals) == 8 and max(totals.values()) >= copies * 1001
+        assert rest[-1] <= 1.5 * sum(rest) / 7 and rest[0] >= 0.5 * sum(rest) / 7
+
+
+def test_even_cuts_never_exceed_the_least_capacity(spark):
+    rng = np.random.default_rng(9)
+    for shards in (1, 2, 3, 8):
+        sizes = [int(x) for x in np.r_[rng.integers(1, 9, 12), rng.integers(1, 120, 3)][rng.permutation(15)]]
+        rows = [(f"{i:04d}", s, 1, sum(sizes[:i + 1]), i + 1) for i, s in enumerate(sizes)]
+        groups = spark.createDataFrame(rows, "digest string, bytes long, n long, end long, end_rows long").cache()
+        capacity, _ = sharding.smallest_capacity(groups, shards)
+        ends = sharding.even_cuts(groups, shards, capacity)
+        assert capacity == least_capacity(sizes, shards) and len(ends) == shards + 1
+        assert max(b - a for a, b in zip(ends, ends[1:], strict=False)) == capacity
+        assert set(ends) <= {0, *(r[3] for r in rows)} and ends == sorted(ends) and ends[-1] == sum(sizes)
+
+
 def check_packing(docs, rows, tokenizer):
     ids = defaultdict(list)
     for r in docs.select("doc_id", "text").collect():

@@ -4,6 +4,7 @@ Groups are ordered by the SHA-256 of their text, an order that no source, id or
 size can bend. Their running sizes are stored once; whether a capacity suffices
 is decided greedily by looking up, shard by shard, the last group that still
 fits. Each round of the search tries several capacities in the same lookups.
+The cuts for the capacity found keep the other shards near each other.
 Everything is DataFrame operations; the driver sees a handful of sums.
 """
 
@@ -72,6 +73,44 @@ def smallest_capacity(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     return high, best
 
 
+def _level(rest: int, shards: int, heavy: list[int]) -> float:
+    """What a shard would hold if the heavy groups had shards of their own and all others were equal."""
+    alone = sorted(heavy, reverse=True)
+    left, k = rest, shards
+    for size in alone:
+        if k <= 1 or size <= left / k:
+            break
+        left, k = left - size, k - 1
+    return left / k
+
+
+def even_cuts(groups: DataFrame, shards: int, capacity: int) -> list[int]:
+    """Where the shards end, from 0 on, so that none exceeds `capacity` and their sizes are near each other.
+
+    With a capacity that one large group forces, the greedy cut fills as few
+    shards as it can. Here each shard takes what comes nearest to an equal part
+    of the rest, large groups set apart, of all ends that leave a rest which
+    the other shards can hold; the largest shard stays the smallest possible.
+    """
+    total = groups.agg(F.max("end")).first()[0] or 0
+    # The first `shards` largest groups: only they can be larger than an equal part.
+    large = [(r["end"], r["bytes"]) for r in groups.orderBy(F.desc("bytes"), "end").select("end", "bytes").limit(shards).collect()]
+    latest = [total]
+    for _ in range(shards - 1):
+        goal = latest[-1] - capacity
+        found = 0 if goal <= 0 else groups.where(F.col("end") >= goal).agg(F.min("end")).first()[0]
+        latest.append(min(latest[-1], found))
+    ends = [0]
+    for k in range(shards, 1, -1):
+        at = ends[-1]
+        goal = at + _level(total - at, k, [size for end, size in large if end > at])
+        low, high, far = groups.where(F.col("end").between(at, at + capacity)).agg(
+            F.max(F.when(F.col("end") <= goal, F.col("end"))), F.min(F.when(F.col("end") > goal, F.col("end"))), F.max("end")).first()
+        fit = [e for e in (low, high, far) if e is not None and e > at and e >= latest[k - 1]]
+        ends.append(min(fit, key=lambda e: (abs(e - goal), e), default=at))
+    return [*ends, total]
+
+
 def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row.
 
@@ -85,7 +124,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("digest"))
     stored = write_table(rows, "rows")
     groups = write_table(running_groups(stored), "groups")
-    _, ends = smallest_capacity(groups, shards)
+    capacity, _ = smallest_capacity(groups, shards)
+    ends = even_cuts(groups, shards, capacity)
     inner = sorted({e for e in ends if e})
     starts = {r.end: r.end_rows for r in groups.where(F.col("end").isin(inner)).select("end", "end_rows").collect()} if inner else {}
     bounds = [(end, starts[end]) for end in inner[:-1]]
