@@ -2,20 +2,63 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from zoneflow.operators.cleaning import union_events
 from zoneflow.operators.ordered import dense_index
+from zoneflow.session import write_table
 
 # Up to here a page is a top-k; beyond it a single task would hold too much. Both ways give the same rows in the same order.
 TOP_K_ROWS = 100_000
-
-
-def recent_events(stored: DataFrame, manual: DataFrame | None = None, n: int = 2000) -> DataFrame:
-    """Newest `n` events over stored and operator rows, an operator row winning its id."""
-    rows = union_events(manual, stored) if manual is not None else stored
-    return rows.orderBy(F.desc("timestamp"), F.desc("event_id")).limit(n)
+# Rows from which on the newest events are looked up by time first. Both ways give the same rows in the same order.
+INDEX_FROM = 1_000_000
+
+
+def newest_since(rows: DataFrame, ts: str, wanted: int) -> datetime | None:
+    """The latest second since which there are at least `wanted` rows; None if there are fewer with a time at all.
+
+    Rows are counted by hour, then by second inside the hour in question: two
+    small aggregates, whatever the length of the log.
+    """
+    def since(part: DataFrame, unit: str, need: int) -> tuple[datetime | None, int]:
+        counts = part.where(F.col(ts).isNotNull()).groupBy(F.date_trunc(unit, ts).alias("t")).agg(F.count("*").alias("n"))
+        newest = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
+        # At most an hour's seconds, or the log's hours.
+        found = counts.withColumn("upto", F.sum("n").over(newest)).where(F.col("upto") >= need).orderBy("upto").select("t", (F.col("upto") - F.col("n")).alias("later")).first()
+        return (found["t"], found["later"]) if found else (None, 0)
+
+    hour, later = since(rows, "hour", wanted)
+    if hour is None:
+        return None
+    inside = rows.where((F.col(ts) >= F.lit(hour)) & (F.col(ts) < F.lit(hour) + F.expr("INTERVAL 1 HOUR")))
+    return since(inside, "second", wanted - later)[0]
+
+
+def recent_events(stored: DataFrame, manual: DataFrame | None = None, n: int = 2000, index_from: int = INDEX_FROM) -> DataFrame:
+    """Newest `n` events over stored and operator rows, an operator row winning its id.
+
+    Which copy of an id stays must be known before the newest can be told. A
+    log of `index_from` rows or more is not shuffled for it: only ids with a
+    row in the shortest end of the log that may suffice are, with all their
+    copies, and the end is made longer as long as fewer than `n` of them stay.
+    """
+    order = (F.desc("timestamp"), F.desc("event_id"))
+    if manual is None:
+        return stored.orderBy(*order).limit(n)
+    both = manual.select("event_id", "timestamp").unionByName(stored.select("event_id", "timestamp"))
+    total, wanted = (both.count() if index_from else index_from), 2 * n
+    while total >= index_from and n > 0 and (start := newest_since(both, "timestamp", wanted)) is not None:
+        ids = write_table(both.where(F.col("timestamp") >= F.lit(start)).select(F.col("event_id").alias("_id")).distinct(), "newest")
+        own = [df.join(ids, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi") for df in (manual, stored)]
+        kept = write_table(union_events(*own).where(F.col("timestamp") >= F.lit(start)), "recent")
+        if kept.count() >= n:
+            return kept.orderBy(*order).limit(n)
+        wanted *= 4
+    return union_events(manual, stored).orderBy(*order).limit(n)
 
 
 def page_info(df: DataFrame, page: int, limit: int, clamp: bool = True) -> DataFrame:
