@@ -70,6 +70,7 @@ def test_families_of_edits_lose_no_link(spark):
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
     for width, percent in ((3, 90), (5, 80)):
         assert found(similarity.jaccard_components(docs, width, percent)) == components(texts, width, percent)
+    assert found(similarity.jaccard_components(docs, 5, 80, slices=3)) == components(texts, 5, 80)
 
 
 def test_links_of_odd_rows(odd_documents, no_documents):

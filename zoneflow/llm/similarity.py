@@ -19,7 +19,7 @@ into all pairs.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -289,7 +289,22 @@ def _derived_links(compared: DataFrame, labels: DataFrame, percent: int) -> Data
     return sure.union(found.select("a", "b"))
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _as_edges(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+
+
+def _edges(chosen: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Components of the links between leaders and their sets, and the links among the sets of a leader that join more of them."""
+    compared = write_table(_compare(_with_texts(chosen, texts), width), "compared")
+    linked = compared.where(
+        f"{100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)").select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    labels = components(linked)
+    return labels, write_table(_derived_links(compared, labels, percent), "derived")
+
+
+def jaccard_components(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slices: int = 1,
+) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
     Words are runs between ASCII white space, A-Z lower-cased; a set has the
@@ -298,6 +313,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     component_id is the smallest id that links reach. An empty or null text has
     no shingles and no links. Rows that repeat an id count as one document; a
     row with a null id keeps a null component. Other columns are ignored.
+    `slices` bounds the disk: so many parts of the compared sets are stored one
+    after the other.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     used = "n > 0 and doc_id is not null"
@@ -312,26 +329,32 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     copies = firsts.where("doc_id <> node").select(F.col("doc_id").alias("id")).distinct()
     pairs = leaders.join(copies, "id", "left_anti")
     chosen = write_table(_worth_comparing(pairs, full).select("lead", "id"), "chosen")
-    compared = write_table(_compare(_with_texts(chosen, texts.where("doc_id is not null")), width), "compared")
-    linked = compared.where(
-        f"{100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    labels = components(linked)
-    derived = write_table(_derived_links(compared, labels, percent), "derived")
-    if not derived.isEmpty():
-        labels = components(labels.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(derived))
+    linkable = texts.where("doc_id is not null")
+    if slices == 1:
+        labels, derived = _edges(chosen, linkable, width, percent)
+        if not derived.isEmpty():
+            labels = components(_as_edges(labels).union(derived))
+    else:
+        # A leader's sets are compared and answered together; a slice of the leaders at a time lies on disk.
+        own, parts = F.pmod(F.xxhash64("lead"), F.lit(slices)), []
+        for i in range(slices):
+            with scratch(docs.sparkSession):
+                labels, derived = _edges(chosen.where(own == i), linkable, width, percent)
+                parts.append(write_table(_as_edges(labels).union(derived), "edges", keep=True))
+        labels = components(reduce(DataFrame.union, parts))
     groups = classes.join(labels, "node", "left").select("one", "two", "n", F.coalesce("comp", "node").alias("component_id"))
     rows = index.select("doc_id", "n", "one", "two").join(groups, ["one", "two", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80, slices: int = 4) -> DataFrame:
     """Rows of `docs` without those that a smaller id of their group stands for; all columns are kept.
 
     Empty and null texts and null ids stay. Rows that repeat an id are one
     document and stay or go together.
     """
     with scratch(docs.sparkSession):
-        found = jaccard_components(docs, width, percent)
+        found = jaccard_components(docs, width, percent, slices=slices)
         extra = write_table(found.where("doc_id <> component_id").select("doc_id").distinct(), "extra", keep=True)
     return docs.join(extra, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
