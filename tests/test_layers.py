@@ -223,3 +223,39 @@ def test_run_metrics_tell_late_copied_and_unreadable_rows(spark, tmp_path):
     assert sorted((r["late_rows"], r["copies"]) for r in seen) == [(0, 0), (1, 3)]
     report = run_report(metrics.union(metrics)).collect()
     assert {r["input_rows"] for r in report} == {16} and all(r["seconds"] > 0 and r["batches"] >= 2 for r in report)
+
+
+def test_the_state_of_a_command_stream_is_a_table(spark, tmp_path):
+    """Zone state takes it for operator observations, and another stream goes on from it."""
+    from zoneflow.operators.commands import apply_observations
+    from zoneflow.operators.occupancy import zone_state
+    from zoneflow.schema import COMMAND
+    from zoneflow.streaming.commands import apply_observations_stream, command_state
+
+    zones = spark.createDataFrame([("Z1", 50, 0), ("Z2", 3, 1), ("Z3", 9, 4)], "zone_id string, capacity int, occupancy int")
+
+    def command(i, zone, action, amount=1, target=None):
+        return (f"C{i:03d}", zone, action, amount, target, None, None, None, DAY + dt.timedelta(minutes=i))
+
+    first = [command(i, ["Z1", "Z2"][i % 2], ["ENTRY", "ENTRY", "EXIT"][i % 3], 1 + i % 4) for i in range(60)]
+    second = [command(100 + i, ["Z1", "Z2", "Z3"][i % 3], ["ENTRY", "EXIT", "SET"][i % 3], 1 + i % 2, 5) for i in range(30)]
+
+    def run(name, rows_, start=None):
+        spark.createDataFrame(rows_, COMMAND).coalesce(1).write.parquet(str(tmp_path / f"in{name}" / "a"))
+        source = spark.readStream.schema(COMMAND).option("recursiveFileLookup", True).parquet(str(tmp_path / f"in{name}"))
+        apply_observations_stream(source, zones, start).writeStream.format("parquet").option("path", str(tmp_path / f"out{name}")).option(
+            "checkpointLocation", str(tmp_path / f"c{name}")).trigger(availableNow=True).start().awaitTermination()
+        return {r["command_id"]: (r["status"], r["occupancy"]) for r in spark.read.parquet(str(tmp_path / f"out{name}")).collect()}
+
+    done = run(1, first)
+    state = command_state(spark, str(tmp_path / "c1"))
+    held = {r["zone_id"]: (r["occupancy"], r["capacity"], r["timestamp"]) for r in state.collect()}
+    assert held == {"Z1": (done["C058"][1], 50, DAY + dt.timedelta(minutes=58)), "Z2": (done["C059"][1], 3, DAY + dt.timedelta(minutes=59))}
+
+    snapshot = zones.select("zone_id", "capacity", "occupancy")
+    now = {r["zone_id"]: (r["occupancy"], r["source"]) for r in zone_state(zones.drop("occupancy"), snapshot, manual=state).collect()}
+    assert now == {"Z1": (held["Z1"][0], "MANUAL_GATE"), "Z2": (held["Z2"][0], "MANUAL_GATE"), "Z3": (4, "STORED_SNAPSHOT")}
+
+    more = run(2, second, state.withColumnRenamed("timestamp", "observed_at"))
+    batch = {r["command_id"]: (r["status"], r["occupancy"]) for r in apply_observations(spark.createDataFrame(first + second, COMMAND), zones).collect()}
+    assert done | more == batch
