@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zoneflow.operators import aggregates, cleaning, history, occupancy, paging
+from zoneflow.operators import aggregates, cleaning, history, occupancy, paging, sketches
 from zoneflow.operators.grid import future_target, resample_asof, day_bounds, time_grid
 from zoneflow.plans import frames
 from zoneflow.plans.frames import FEATURES_SQL, PRED_SQL, STATE_SQL, rounded
@@ -46,6 +46,28 @@ def _(spark, d):
     return aggregates.distinct_counts(sample.events(spark, d))
 
 
+_WEEK = """"timestamp" >= timestamp '2024-01-08' and "timestamp" < timestamp '2024-01-15'"""
+
+
+@query("a5_sketched_week", sql(f"""
+    select zone_id, count(*) events, count(distinct vehicle_id) vehicles, true vehicles_close, true dwell_close
+    from ev where {_WEEK} and parking_duration is not null group by 1"""))
+def _(spark, d):
+    """A week of every zone from its days' sketches; both estimates are held against the events of that week."""
+    ev = sample.events(spark, d).where("parking_duration IS NOT NULL")
+    days = sketches.day_sketches(ev, "vehicle_id", "parking_duration")
+    week = sketches.merge_sketches(days.where("day >= '2024-01-08' AND day < '2024-01-15'"), "zone_id")
+    told = sketches.read_sketches(week, {"dwell": 0.5}, "about")
+    rows = ev.where("timestamp >= '2024-01-08' AND timestamp < '2024-01-15'").join(told.select("zone_id", "dwell"), "zone_id")
+    exact = rows.groupBy("zone_id").agg(
+        F.count_distinct("vehicle_id").alias("vehicles"), F.avg((F.col("parking_duration") < F.col("dwell")).cast("double")).alias("below"),
+        F.avg((F.col("parking_duration") <= F.col("dwell")).cast("double")).alias("upto"))
+    return told.join(exact, "zone_id").select(
+        "zone_id", "events", "vehicles",
+        (F.abs(F.col("about") - F.col("vehicles")) <= sketches.DISTINCT_ERROR * F.col("vehicles")).alias("vehicles_close"),
+        ((F.col("below") <= 0.5 + sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - sketches.RANK_ERROR)).alias("dwell_close"))
+
+
 @query("a6_event_type_counts", sql('select event_type, count(*) "count" from ev group by 1'))
 def _(spark, d):
     return aggregates.event_type_counts(sample.events(spark, d))
