@@ -271,7 +271,22 @@ def count_bigrams(training: DataFrame, bits: int) -> DataFrame:
         row = [table.column("part")[0].as_py(), pack_sorted(keys), pack_rows(counts), *marks]
         return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, wanted, strict=True)], schema=wanted)
 
-    return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs", keep=True)
+    return write_table(training.mapInArrow(count, schema).groupBy("part").applyInArrow(merge, _PAIRS), "pairs")
+
+
+def printed(pairs: DataFrame, bits: int) -> DataFrame:
+    """The stored bigrams by their prints, which take less than half the room of their words."""
+    schema, low = "part int, prints binary, counts binary", _U((1 << PRINT_BITS) - 1)
+    wanted = to_arrow(schema)
+
+    def run(batches):
+        for batch in batches:
+            for part, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+                prints, counts = _merged(_prints(unpack_sorted(keys), bits) & low, unpack_rows(counts, np.int64, 4))
+                columns = ([part], [pack_sorted(prints)], [pack_rows(counts)])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, wanted, strict=True)], schema=wanted)
+
+    return write_table(pairs.select("part", "keys", "counts").mapInArrow(run, schema), "prints", keep=True)
 
 
 def _word_stats(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -338,7 +353,7 @@ class Totals:
 class Model:
     """Stored counts in 2^bits partitions, and the totals of variants a (folds 1 to 3) and b (all)."""
 
-    pairs: DataFrame
+    prints: DataFrame
     words: DataFrame
     bits: int
     totals: dict[str, Totals] = field(default_factory=dict)
@@ -352,7 +367,7 @@ def train(training: DataFrame, total: int) -> Model:
     bits = max(0, int(np.ceil(np.log2(max(1, total / PART_WORDS)))))
     pairs = count_bigrams(training, bits)
     own = count_words(pairs, bits)
-    model = Model(pairs, own, bits)
+    model = Model(printed(pairs, bits), own, bits)
     marks = pairs.agg(*[F.coalesce(F.sum(f"{m}_{v}"), F.lit(0)).alias(f"{m}_{v}") for v in "ab" for m in MARKS]).first()
     known = own.agg(*[F.coalesce(F.sum(f"{m}_{v}"), F.lit(0)).alias(f"{m}_{v}") for v in "ab" for m in ("v0", "v1", "vb")]).first()
     for v in "ab":
@@ -415,9 +430,9 @@ _ANSWER = "run long, part int, stats binary, counts binary"
 
 def answers(asked: DataFrame, model: Model, variant: str) -> DataFrame:
     """Counts of every word and bigram that was asked for, in the order asked."""
-    wanted, bits, low = to_arrow(_ANSWER), model.bits, _U((1 << PRINT_BITS) - 1)
+    wanted = to_arrow(_ANSWER)
     first = 0 if variant == "a" else len(STATS)
-    stored = model.pairs.select("part", F.lit(0).alias("kind"), "keys", F.col("counts").alias("values")).unionByName(
+    stored = model.prints.select("part", F.lit(0).alias("kind"), F.col("prints").alias("keys"), F.col("counts").alias("values")).unionByName(
         model.words.select("part", F.lit(1).alias("kind"), F.col("words").alias("keys"), F.col("stats").alias("values")))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -430,8 +445,7 @@ def answers(asked: DataFrame, model: Model, variant: str) -> DataFrame:
                 own, stats = unpack_sorted(keys), unpack_rows(values, np.int64, 2 * len(STATS))[:, first:first + len(STATS)]
             else:
                 n = unpack_rows(values, np.int64, 4)
-                n = n[:, :2] if variant == "a" else n[:, :2] + n[:, 2:]
-                prints, counts = _merged(_prints(unpack_sorted(keys), bits) & low, n)
+                prints, counts = unpack_sorted(keys), n[:, :2] if variant == "a" else n[:, :2] + n[:, 2:]
         rows = [(run, part, pack_rows(_looked_up(own, stats, unpack_sorted(w))), pack_rows(_looked_up(prints, counts, unpack_sorted(p))))
                 for part, run, w, p in zip(*(left.column(c).to_pylist() for c in ("part", "run", "words", "prints")), strict=True)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), wanted, strict=True)], schema=wanted)
@@ -488,13 +502,13 @@ def features(own: Run, alone: np.ndarray, pair: np.ndarray) -> np.ndarray:
 _FEATURES = "ids array<long>, digests binary, features binary"
 
 
-def run_features(runs: DataFrame, model: Model, variant: str) -> DataFrame:
+def run_features(runs: DataFrame, model: Model, variant: str, slices: int = SLICES) -> DataFrame:
     """ids, digests and features of the documents of every run, stored.
 
     A part of the runs is scored at a time, so that what they ask and get never lies on disk as a whole.
     """
-    part = F.pmod(F.xxhash64("run"), F.lit(SLICES))
-    done = [write_table(_slice_features(runs.where(part == i), model, variant), "features") for i in range(SLICES)]
+    part = F.pmod(F.xxhash64("run"), F.lit(slices))
+    done = [write_table(_slice_features(runs.where(part == i), model, variant), "features") for i in range(slices)]
     return reduce(DataFrame.unionByName, done)
 
 
@@ -560,7 +574,8 @@ def calibrate(training: DataFrame, model: Model, calibration_rows: int) -> tuple
                     yield own.only(mine, [own.ids[i] for i in mine]).row(number)
 
     sampled = write_table(training.mapInArrow(sample, _RUN), "calibration")
-    held = run_features(sampled, model, "a").select("ids", "features").collect()
+    # The sample is bounded and needs no slices.
+    held = run_features(sampled, model, "a", 1).select("ids", "features").collect()
     y = np.array([i for r in held for i in r["ids"]], float)
     if len(set(y.tolist())) < 2:
         return None
