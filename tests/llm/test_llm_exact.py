@@ -328,6 +328,79 @@ def test_base_spans_equal_the_plain_patterns():
     assert pii.base_spans("4041894974608796") == []
 
 
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def passes_luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed([int(c) for c in digits])):
+        total += d if i % 2 == 0 else 2 * d - 9 * (2 * d > 9)
+    return total % 10 == 0
+
+
+def test_cards_and_phones_equal_the_plain_patterns():
+    rng = np.random.default_rng(12)
+    seen = Counter()
+    for _ in range(4000):
+        text = "".join(rng.choice(list("0123456789" * 3 + "+ -().a"), rng.integers(1, 80)))
+        if rng.random() < 0.3:
+            # A number that passes the check, with separators.
+            body = rng.integers(0, 10, rng.integers(14, 20)).tolist()
+            last = next(d for d in range(10) if passes_luhn("".join(map(str, [*body, d]))))
+            text += " x" + "".join(f"{d}{rng.choice(['', '', ' ', '-'])}" for d in body) + f"{last}y"
+        spans = pii.base_spans(text)
+        cards = [m.span() for m in CARD.finditer(text) if 16 <= len(d := re.sub("[^0-9]", "", m[0])) <= 19 and passes_luhn(d)]
+        phones = [m.span() for m in PHONE.finditer(text) if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+        assert [(s, e) for k, s, e in spans if k == "card"] == cards and [(s, e) for k, s, e in spans if k == "phone"] == phones
+        seen += Counter(k for k, *_ in spans)
+    assert seen["card"] > 500 and seen["phone"] > 50
+
+
+@pytest.mark.parametrize("text", ["0" * 5000 + "1.1.1.1", "9" * 6000 + ".1.1.1", "1.2.3." + "0" * 7000, "+" + "1" * 9000, "4" * 9000, "a@" + "b." * 4000 + "c"])
+def test_very_long_numbers_and_names_are_read(text):
+    spans = pii.base_spans(text)
+    assert all(0 <= s < e <= len(text) for _, s, e in spans)
+    assert [k for k, *_ in spans] == {"0": ["ip"], "1": ["ip"], "a": ["email"]}.get(text[0], [])
+
+
+def test_disclosure_equals_a_plain_count(spark):
+    """Texts with one of three entities or none, terms bound to an entity loosely or tightly, copies, and repeated contexts."""
+    rng = np.random.default_rng(8)
+    entities, texts = ["ann@example.com", "bob@example.org", "10.1.2.3"], []
+    for i in range(240):
+        words = [f"word{'abcdefghij'[x // 10]}{'abcdefghij'[x % 10]}" for x in rng.integers(0, 60, 25)]
+        e = i % 8
+        if e < 3:
+            words[10] = ["annie", "bobby", "router"][e] if rng.random() < 0.9 else "other"
+            words.insert(5, entities[e])
+        if rng.random() < 0.15:
+            words[12] = ["annie", "bobby", "router"][int(rng.integers(0, 3))]
+        texts.append(" ".join(words))
+    texts += texts[:40] * 3 + [None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    different = {t or "" for t in texts}
+    held, with_term, both, contexts = Counter(), Counter(), Counter(), defaultdict(set)
+    for t in different:
+        spans = pii.base_spans(t)
+        own = {f"{k}:{t[a:b]}" for k, a, b in spans}
+        line = [m[0].lower() for m in re.finditer(r"[a-zA-Z\x80-\U0010ffff]{3,}", t) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+        held.update(own)
+        with_term.update(set(line))
+        for entity in own:
+            for term in set(line):
+                at = line.index(term)
+                both[entity, term] += 1
+                contexts[entity, term].add(tuple(line[max(0, at - 5):at + 6]))
+    want, n = set(), len(different)
+    for (entity, term), k in both.items():
+        info = np.log2(n / held[entity])
+        if held[entity] >= 3 and len(contexts[entity, term]) >= 3 and info > 0 and np.log2(k * n / (with_term[term] * held[entity])) >= 0.8 * info:
+            want.add((entity, term))
+    got = {tuple(r) for r in pii.revealing_terms(pii.find_entities(docs), docs).collect()}
+    assert got == want and want
+
+
 def test_revealing_terms_are_added_and_masked(spark, odd_documents, no_documents):
     rows = [(i, f"{'abcdefg'[i % 7]}lpha filler{'xyzuvw'[i % 6]} Zorbanic ann@example.com said number {i} to all") for i in range(6)]
     rows += [(100 + i, f"ordinary words number {i} said to all of us") for i in range(200)]
