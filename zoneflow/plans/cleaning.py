@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from zoneflow.functions.scalar import available_bays, risk_level, utilization
-from zoneflow.operators import aggregates, cleaning, quality
+from zoneflow.operators import aggregates, cleaning, quality, search
 from zoneflow.operators.occupancy import with_lookup
 from zoneflow.plans import frames
 from zoneflow.plans.frames import FEATURES_SQL, STATE_SQL, rounded
@@ -222,6 +222,15 @@ def _(spark, d):
     return cleaning.search_rows(sample.events(spark, d), "v0001[0-4]|z003|00:1[0-9]:00$")
 
 
+@query("p9_search_indexed", sql("""
+    select * from ev where regexp_matches(event_id, 'v0001[0-4].?$', 'i') or regexp_matches("timestamp"::varchar, 'v0001[0-4].?$', 'i')
+       or regexp_matches(vehicle_id, 'v0001[0-4].?$', 'i') or regexp_matches(zone_id, 'v0001[0-4].?$', 'i')"""))
+def _(spark, d):
+    """The same search where an index of trigrams tells which rows can match."""
+    ev = sample.events(spark, d)
+    return search.search_indexed(ev, search.search_index(ev, "event_id"), "event_id", "v0001[0-4].?$")
+
+
 @query("p10_last_days", sql("""
     select * from ev where "timestamp" >= (select max("timestamp") - interval 7 day from ev)"""))
 def _(spark, d):
