@@ -51,7 +51,7 @@ def test_links_equal_brute_force(spark, sf_dir, width, percent):
     assert found(similarity.jaccard_components(docs, width, percent)) == components(texts, width, percent)
 
 
-def test_families_of_edits_lose_no_link(spark):
+def test_families_of_edits_lose_no_link(spark, monkeypatch):
     """Chains of edits whose ends are not similar, subfamilies, and a line that all share."""
     rng = np.random.default_rng(3)
     line = " ".join(f"common{i}" for i in range(40))
@@ -70,6 +70,7 @@ def test_families_of_edits_lose_no_link(spark):
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
     for width, percent in ((3, 90), (5, 80)):
         assert found(similarity.jaccard_components(docs, width, percent)) == components(texts, width, percent)
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
     assert found(similarity.jaccard_components(docs, 5, 80, slices=3)) == components(texts, 5, 80)
 
 

@@ -31,6 +31,9 @@ from zoneflow.llm.text import lists, map_batches, mix64, raw_texts, signed, to_a
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import scratch, write_table
 
+# Parts of the leaders whose sets are compared one after the other, which bounds the disk, and pairs below which one part does.
+SLICES = 16
+FEW_PAIRS = 20_000
 # Sets that one task compares with one copy of their leader.
 CHUNK = 256
 # Blocks of the filter of ids whose texts are compared.
@@ -330,7 +333,7 @@ def jaccard_components(
     pairs = leaders.join(copies, "id", "left_anti")
     chosen = write_table(_worth_comparing(pairs, full).select("lead", "id"), "chosen")
     linkable = texts.where("doc_id is not null")
-    if slices == 1:
+    if slices == 1 or chosen.count() < FEW_PAIRS:
         labels, derived = _edges(chosen, linkable, width, percent)
         if not derived.isEmpty():
             labels = components(_as_edges(labels).union(derived))
@@ -348,7 +351,7 @@ def jaccard_components(
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80, slices: int = 4) -> DataFrame:
+def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80, slices: int = SLICES) -> DataFrame:
     """Rows of `docs` without those that a smaller id of their group stands for; all columns are kept.
 
     Empty and null texts and null ids stay. Rows that repeat an id are one
