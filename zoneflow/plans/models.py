@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from zoneflow.ml import forecast, models
+from zoneflow.ml.boosting import fit_boosted_l2
 from zoneflow.operators.grid import FEATURES, TARGET
 from zoneflow.plans import frames
 from zoneflow.plans.frames import FEATURES_SQL
@@ -26,10 +27,10 @@ def _split(spark, d):
     return forecast.split(write_table(frames.features(spark, d), "features"))
 
 
-def _held_out(model, held):
+def _held_out(model, held, prediction=None):
     """Held-out rows, and whether the model errs less than the mean of the held-out rows would."""
     scored = model.transform(models.complete(held))
-    error = F.col(TARGET) - F.col(model.stages[-1].getPredictionCol())
+    error = F.col(TARGET) - F.col(prediction or model.stages[-1].getPredictionCol())
     return scored.agg(
         F.count("*").alias("n"), (F.sum(error * error) < F.var_pop(TARGET) * F.count("*")).alias("beats_mean"))
 
@@ -53,6 +54,44 @@ def _(spark, d):
     return _held_out(models.fit_boosted(train, **SMALL_BOOSTED), held)
 
 
+@query("ml4_boosted_l2", _HELD_OUT_SQL)
+def _(spark, d):
+    """Second-order boosting with an L2 term, columns drawn per tree."""
+    train, held = _split(spark, d)
+    model = fit_boosted_l2(train, FEATURES, TARGET, rounds=SMALL_BOOSTED["maxIter"], depth=SMALL_BOOSTED["maxDepth"],
+                           step=SMALL_BOOSTED["stepSize"])
+    return _held_out(model, held, "xgboost_prediction")
+
+
+# Features with few values, whose bounds are all of them.
+_DOMAINS = {"hour": 24, "day_of_week": 7, "current_occupancy": 6, "capacity": 6}
+
+
+@query("ml4_first_split", sql("""
+    select feature, x as bound, round(gain, 3) gain, round(-lg / (ln + 1), 6) left_value, round(-(ag - lg) / (an - ln + 1), 6) right_value
+    from (select *, (lg * lg / (ln + 1) + (ag - lg) * (ag - lg) / (an - ln + 1) - ag * ag / (an + 1)) / 2 gain from sides)
+    where ln < an order by gain desc, place, x limit 1""", FEATURES_SQL, _SPLIT_SQL, f"""
+long as (
+  select unnest(range({len(_DOMAINS)})) place, unnest([{", ".join(f"'{c}'" for c in _DOMAINS)}]) feature,
+         unnest([{", ".join(f'"{c}"::double' for c in _DOMAINS)}]) x, avg(future_occupancy) over () - future_occupancy g
+  from marked where not held),
+cells as (select place, feature, x, sum(g) g, count(*) n from long group by all),
+sides as (
+  select *, sum(g) over w lg, sum(n) over w ln, sum(g) over (partition by place) ag, sum(n) over (partition by place) an
+  from cells window w as (partition by place order by x))
+"""))
+def _(spark, d):
+    """The best split of all rows by gain with L2 term 1, and the values of its two leaves."""
+    train, _held = _split(spark, d)
+    model = fit_boosted_l2(train, list(_DOMAINS), TARGET, rounds=1, depth=1, step=1.0, row_share=1.0, column_share=1.0,
+                           edges=[list(range(n)) for n in _DOMAINS.values()])
+    rows = [(model.features[t.feature[0]], float(model.edges[t.feature[0]][t.cut[0]]), *map(float, (t.gain[0], *t.value[1:])))
+            for t in model.trees if t.feature[0] >= 0]
+    found = spark.createDataFrame(rows, "feature string, bound double, gain double, left_value double, right_value double")
+    return found.select("feature", "bound", F.round("gain", 3).alias("gain"), F.round("left_value", 6).alias("left_value"),
+                        F.round("right_value", 6).alias("right_value"))
+
+
 @query("ml5_linear", "select unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) feature, 0.0::double gradient")
 def _(spark, d):
     """Least squares leave no feature correlated with the residual: X'r / n is zero to six places."""
