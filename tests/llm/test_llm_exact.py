@@ -265,6 +265,39 @@ def test_windows_in_blocks_and_their_removal(spark, sf_dir, odd_documents, no_do
     assert decontaminate.contamination(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_pieces_of_items_and_removal_in_blocks(spark, sf_dir):
+    """Items that span pieces, windows on their borders, copies, and clashing names, against a plain scan."""
+    long_item = " ".join(f"w{i}" for i in range(300))
+    items = [("a", long_item), ("a", long_item), ("b", "w298 W299 x"), ("c", "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 y"), ("d", "x" * 500)]
+    texts = [" ".join(f"w{i}" for i in range(k, k + 14)) + " plain words after" * 9 for k in range(0, 286, 7)]
+    texts += [long_item, None, "", "clean", "q w298 w299 x q q q", "v " * 40 + "w3 w4 w5 w6 w7 w298 w299 x w8 w9 w10 w11 w12 y", texts[0], "X" * 500 + " z z"]
+    docs = spark.createDataFrame([(i, t, i, i) for i, t in enumerate(texts)], "doc_id long, text string, row long, ranges long")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    for block_words in (200, decontaminate.BLOCK_WORDS):
+        known = decontaminate._stored(benchmark, 10, "item_id", "text", block_words)
+        assert (len(known.blocks) == 1) == (block_words == decontaminate.BLOCK_WORDS)
+        got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.contamination(docs, benchmark, block_words=block_words).collect()}
+        for i, text in enumerate(texts):
+            own, hit, met = (text or "").lower().split(), set(), set()
+            for item, words in {(k, tuple(v.lower().split())) for k, v in items}:
+                size = min(10, len(words))
+                windows = {words[j:j + size] for j in range(len(words) - size + 1)}
+                for j in range(len(own) - size + 1):
+                    if tuple(own[j:j + size]) in windows:
+                        hit |= set(range(j, j + size))
+                        met.add(item)
+            assert got[i] == (len(hit), len(met)), (block_words, i)
+        cleaned = decontaminate.decontaminate(docs, benchmark, block_words=block_words)
+        rows = sorted(cleaned.collect())
+        whole = sorted(decontaminate.decontaminate(docs, benchmark).collect())
+        assert rows == whole and cleaned.columns == docs.columns
+        kept = {r.doc_id: r.text for r in rows}
+        assert len(texts) - 8 not in kept and kept[len(texts) - 7] is None and kept[len(texts) - 5] == "clean"
+        # The first cut joins the words of item c, whose second window ends in y; the second takes them out.
+        assert set(kept[len(texts) - 3].split()) == {"v"}
+        assert decontaminate.contamination(cleaned, benchmark, block_words=block_words).where("contaminated").count() == 0
+
+
 def test_addresses(spark):
     urls = [(1, "HTTP://WWW.Example.COM/en/x?utm_source=a#t"), (2, None), (3, "no scheme"), (4, "https://a.example.com/en/"),
             (5, "https://b.net/es/1"), (6, "https://b.org/x/?ref=1"), (6, "http://b.org/x"), (7, "https://example.com"), (8, "x://notexample.com/en/")]
