@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zoneflow.operators.aggregates import silver_latest, zone_window_metrics
 from zoneflow.schema import EVENT
 from zoneflow.sources import live
-from zoneflow.sources.files import output_files, read_bronze
+from zoneflow.sources.files import footer_bounds, output_files, read_bronze
 from zoneflow.streaming import bronze, silver
 from zoneflow.streaming.windows import StreamConfig, run_stream
 
@@ -259,3 +259,23 @@ def test_the_state_of_a_command_stream_is_a_table(spark, tmp_path):
     more = run(2, second, state.withColumnRenamed("timestamp", "observed_at"))
     batch = {r["command_id"]: (r["status"], r["occupancy"]) for r in apply_observations(spark.createDataFrame(first + second, COMMAND), zones).collect()}
     assert done | more == batch
+
+
+def test_bounds_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    schema = "id long, `a.b` double, day date, word string, none int"
+    numbers = [(i, i / 2 if i % 3 else None, dt.date(2024, 1, 1 + i % 9), f"w{i:03d}", None) for i in range(100)]
+    spark.createDataFrame(numbers, schema).repartition(4).write.parquet(path)
+    found = footer_bounds(spark, path, ["id", "a.b", "day", "none"])
+    assert tuple(found.first()) == (100, 0, 99, 0.5, 49.0, dt.date(2024, 1, 1), dt.date(2024, 1, 9), None, None)
+    # Answered before it is asked: the plan holds the one row, and no scan of the files.
+    pushed = footer_bounds(spark, path, ["id", "day"])
+    assert tuple(pushed.first()) == (100, 0, 99, dt.date(2024, 1, 1), dt.date(2024, 1, 9))
+    assert "FileScan" not in pushed._jdf.queryExecution().executedPlan().toString()
+    odd = f"{path}-nan"
+    spark.createDataFrame([(1.0,), (float("nan"),)], "x double").write.parquet(odd)
+    assert str(footer_bounds(spark, odd, ["x"]).first().max_x) == "nan"
+    assert tuple(footer_bounds(spark, path, ["word"]).first()) == (100, "w000", "w099")
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    spark.createDataFrame([], schema).write.parquet(f"{path}-empty")
+    assert tuple(footer_bounds(spark, f"{path}-empty", ["id"]).first()) == (0, None, None)

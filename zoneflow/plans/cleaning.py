@@ -71,6 +71,14 @@ def _(spark, d):
     return aggregates.count_rows(sample.events(spark, d))
 
 
+@query("s6_footer_bounds", """
+    select count(*) n, min(event_id) min_event_id, max(event_id) max_event_id, min(user_id) min_user_id, max(user_id) max_user_id
+    from events""")
+def _(spark, d):
+    """Rows and bounds of the stored events without reading them."""
+    return files.footer_bounds(spark, f"{d}/events.parquet", ["event_id", "user_id"])
+
+
 @query("s7_flatten_poi", """
     select case when c_mktsegment = 'BUILDING' then 'way/' else 'node/' end || c_custkey poi_id,
            case when c_mktsegment = 'MACHINERY' then 'Operator ' || c_nationkey
