@@ -203,3 +203,47 @@ def test_quality_sees_wording_alone(spark):
     rows = quality.score_quality(spark.createDataFrame(docs, "doc_id long, text string"), labels).toPandas()
     held = rows[rows["held_out"]]
     assert auc(held["score"].to_numpy(), held["doc_id"].to_numpy() % 2) > 0.95
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """Most rows, those with the smallest hashes of their ids, are blanks; the classes differ in the others alone, in several runs."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = sorted({"".join(rng.choice(letters, 7)) for _ in range(240)})[:200]
+    ids = spark.range(23_000).select(F.col("id").alias("doc_id"), F.col("id").alias("n"))
+    order = [r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id")).collect()]
+    first = {i for i in order if zlib.crc32(str(i).encode()) % 5}
+    first = set([i for i in order if i in first][:16_384])
+    docs = [(i, "" if i in first else " ".join(rng.choice(vocabulary[i % 2::2], 30))) for i in sorted(order)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+    rows = quality.score_quality(spark.createDataFrame(docs, "doc_id long, text string"), labels).toPandas()
+    held = rows[rows["held_out"]]
+    assert auc(held["score"].to_numpy(), held["doc_id"].to_numpy() % 2) > 0.95
+
+
+def test_network_of_several_runs_is_as_good(labelled):
+    docs, labels = labelled
+    rows = quality.score_quality(docs, labels, run_rows=80).join(labels, "doc_id").toPandas()
+    held = rows[rows["held_out"]]
+    assert auc(held["score"].to_numpy(), held["quality"].to_numpy()) > 0.97
+
+
+def test_context_sums_equal_those_word_by_word(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(12)], n)) for n in (0, 1, 2, 3, 40, 7)] + [None]
+    vectors = quality.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string"))
+    want = {}
+    for text in texts:
+        own = (text or "").encode().split()
+        for i, w in enumerate(own):
+            near = [quality.sparse_vector(own[j]) for j in range(max(0, i - 2), min(len(own), i + 3)) if j != i]
+            want[w] = want.get(w, 0) + sum(near, np.zeros(quality.SIZE))
+    assert len(vectors.words) == 12
+    for w, v in want.items():
+        at = vectors.numbers(quality._hashes([w], quality._memos()[0]))[0]
+        assert np.allclose(vectors.context[at], v / max(np.linalg.norm(v), 1e-9), atol=1e-5)
+
+
+def test_fixed_vectors_at_once_equal_those_one_by_one():
+    words = [b"", b"a", b"word", "Ünï".encode(), *(b"w%d" % i for i in range(500))]
+    assert (quality.sparse_vectors(words) == [quality.sparse_vector(w) for w in words]).all()
