@@ -685,3 +685,15 @@ def test_one_outstanding_zone_reaches_all_and_opens_no_other_pairs(spark):
     for s in rows:
         scored = sorted((-(c[6] - c[7] * 0.2 - _arc_km(s[2:4], c[2:4]) * 2.5), c[0]) for c in rows if c[0] != s[0])
         assert [got[s[0], r] for r in range(1, 6)] == [z for _, z in scored[:5]]
+
+
+def test_index_lists_runs_of_rows_and_cuts_long_ones(spark):
+    """A trigram has one list a run, not a row for each key; runs of long texts are cut and none is lost."""
+    df = spark.range(3000).select("id", F.concat(F.lit("lot-"), F.col("id").cast("string")).alias("name")).coalesce(1)
+    index = search.search_index(df, "id")
+    assert index.where(F.col("gram") == search.text_grams("lot")[0]).count() < 10
+    assert index.columns == ["gram", "run", "keys"]
+    long = spark.range(6).select("id", F.concat(F.repeat(F.lit("ab"), 1_000_000), F.lit("-end"), F.col("id").cast("string")).alias("name")).coalesce(1)
+    index = search.search_index(long, "id")
+    assert index.select("run").distinct().count() > 1
+    assert [r["id"] for r in search.search_indexed(long, index, "id", "END4").select("id").collect()] == [4]
