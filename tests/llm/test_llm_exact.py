@@ -74,6 +74,67 @@ def test_families_of_edits_lose_no_link(spark, monkeypatch):
     assert found(similarity.jaccard_components(docs, 5, 80, slices=3)) == components(texts, 5, 80)
 
 
+def edited_families(spark):
+    """Chains of edits around four texts, a few unrelated texts with a shared line, copies and rows without id or words."""
+    rng, rows = np.random.default_rng(11), []
+    line = " ".join(f"common{i}" for i in range(20))
+    for family in range(4):
+        words = [f"w{family}x{i}" for i in rng.integers(0, 500, 120)]
+        for _ in range(25):
+            for at in rng.integers(0, len(words), rng.integers(1, 5)):
+                words[at] = f"e{rng.integers(0, 40)}"
+            rows.append((len(rows), line + " " + " ".join(words)))
+    rows += [(1000 + i, line + " " + " ".join(f"r{x}" for x in rng.integers(0, 10**9, 200))) for i in range(50)]
+    texts = dict(rows) | {2000: rows[3][1], 2001: rows[120][1], 2002: "", 2003: " ".join(f"only{i}" for i in range(9))}
+    rows = [*texts.items(), *rows[:4], (None, rows[5][1]), (None, rows[130][1]), (2004, None)]
+    return texts | {2004: ""}, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_few_tables_however_many_pairs_are_compared(spark, monkeypatch):
+    """The driver's plans and stages follow the tables stored, of which each slice of all leaders once took its own."""
+    from zoneflow.llm import components as labelling
+
+    stored, store = Counter(), similarity.write_table
+
+    def counting(df, name, keep=False):
+        stored[name] += 1
+        return store(df, name, keep)
+
+    texts, docs = edited_families(spark)
+    monkeypatch.setattr(similarity, "write_table", counting)
+    monkeypatch.setattr(labelling, "write_table", counting)
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    kept = similarity.one_per_group(docs).where("doc_id is not null").select("doc_id").distinct()
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, (_, top) in components(texts, 5, 80).items() if i == top}
+    assert stored["needed"] == stored["compared"] == 1 and sum(stored.values()) < 30, stored
+
+
+def test_sets_with_too_many_tokens_of_their_own_are_not_indexed(spark, monkeypatch):
+    seen, rows_of = [], similarity._index_rows
+
+    def indexed(docs, *rest):
+        seen.extend(r["doc_id"] for r in docs.collect())
+        return rows_of(docs, *rest)
+
+    texts, docs = edited_families(spark)
+    monkeypatch.setattr(similarity, "_index_rows", indexed)
+    for width, percent in ((3, 90), (5, 80)):
+        seen.clear()
+        want = components(texts, width, percent)
+        got = similarity.jaccard_components(docs.where("doc_id is not null"), width, percent)
+        assert found(got) == want
+        assert not set(seen) & {*range(1000, 1050), 2000, 2001, 2002, 2004}
+        assert {i for i, (_, top) in want.items() if i != top} - {2000, 2001} <= set(seen)
+
+
+@pytest.mark.parametrize(("limit", "value"), [("MOST_HELD", 300), ("CHUNK", 2), ("COLUMNS", 7)])
+def test_links_of_leaders_with_few_and_many_sets(spark, monkeypatch, limit, value):
+    """Sets of a leader are linked in the task or, where there are too many, by joins: with the same result."""
+    monkeypatch.setattr(similarity, limit, value)
+    texts, docs = edited_families(spark)
+    assert found(similarity.jaccard_components(docs.where("doc_id is not null"), 5, 80)) == components(texts, 5, 80)
+
+
 def test_links_of_odd_rows(odd_documents, no_documents):
     rows = similarity.jaccard_components(odd_documents, 3, 90).collect()
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows}

@@ -1,5 +1,9 @@
 """Exact Jaccard join of word shingle sets that skips index lists by position and derives answers from similar sets.
 
+A linked set shares most of its tokens with another set. So a set is left alone
+once more of its tokens than a link allows are in no other set; tokens of a
+fixed range of hashes are counted for it. Only the sets that remain are indexed.
+
 A set is laid out along one order of its tokens, the order of their 64-bit
 hashes, and the order is cut into P position blocks. Two sets that differ in
 at most H tokens agree on at least P - H whole blocks. So the index keeps one
@@ -10,10 +14,11 @@ read.
 
 Within a list only one set, the leader, is compared with the others by their
 texts. The comparison yields the difference of a set to the leader. All further
-answers come from these small differences: sets close to a common centre are
-linked by the triangle inequality, and any other pair must share difference
-tokens, which an equality join on (leader, token) finds. No group is expanded
-into all pairs.
+answers come from these differences. The sets of a leader that has few are
+linked with each other at once, in the task. Of a leader with many, sets close
+to a common centre are linked by the triangle inequality, and any other pair
+must share difference tokens, which an equality join on (leader, token) finds.
+No large group is expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -31,11 +36,14 @@ from zoneflow.llm.text import lists, map_batches, mix64, raw_texts, signed, to_a
 from zoneflow.llm.url_filter import blocked_bloom, maybe_listed
 from zoneflow.session import scratch, write_table
 
-# Parts of the leaders whose sets are compared one after the other, which bounds the disk, and pairs below which one part does.
-SLICES = 16
+# Parts of the leaders with many sets that are answered one after the other, which bounds the disk, and sets below which one part does.
+SLICES = 4
 FEW_PAIRS = 20_000
-# Sets that one task compares with one copy of their leader.
-CHUNK = 256
+# Sets that one task compares with one copy of their leader, and with each other where a leader has no more.
+CHUNK = 512
+# Tokens of differences that a task holds to do so, and columns of its tables of tokens.
+MOST_HELD = 4_000_000
+COLUMNS = 4096
 # Blocks of the filter of ids whose texts are compared.
 FILTER_BLOCKS = 1 << 14
 LAYOUTS = 4
@@ -138,47 +146,127 @@ def block_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     return (np.concatenate(keys) if keys else _EMPTY), common
 
 
-def _index_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _counted(percent: int) -> np.uint64:
+    """Hashes up to this one are counted: twice the share of its tokens that a linked set may have alone, and a little more."""
+    return _U(min(100, 2 * (100 - percent) + 5) * ((1 << 64) - 1) // 100)
+
+
+def _set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Size and two prints of every set, and those of its tokens that are counted."""
     def run(batch: pa.RecordBatch):
-        words, n, one, two, keys, common = word_hashes(), [], [], [], [], []
+        words, last, n, one, two, some = word_hashes(), _counted(percent), [], [], [], []
         for raw in raw_texts(batch.column("text")):
             tokens = shingle_hashes(raw, width, words)
             n.append(len(tokens))
             one.append(mix64(tokens).sum(dtype=np.uint64))
             two.append(mix64(tokens + _U(0x632BE59BD9B4E019)).sum(dtype=np.uint64))
-            for values, value in zip((keys, common), block_keys(tokens, percent), strict=True):
-                values.append(value)
-        return {"doc_id": batch.column("doc_id"), "n": n, "one": signed(np.array(one)), "two": signed(np.array(two)),
-                "keys": lists(keys), "common": common}
+            some.append(tokens[:np.searchsorted(tokens, last, "right")])
+        return {"doc_id": batch.column("doc_id"), "n": n, "one": signed(np.array(one)), "two": signed(np.array(two)), "some": lists(some)}
+
+    return map_batches(docs, run, "doc_id long, n long, one long, two long, some array<long>")
+
+
+def _own_tokens(sets: DataFrame) -> DataFrame:
+    """(one, own): how many of the counted tokens are in no set with another print; copies of a set count as one."""
+    tokens = sets.select("one", F.explode("some").alias("token"))
+    held = tokens.groupBy("token").agg(F.min("one").alias("one"), F.max("one").alias("last")).where("one = last")
+    return held.groupBy("one").agg(F.count("*").alias("own"))
+
 
-    return map_batches(docs, run, "doc_id long, n long, one long, two long, keys array<long>, common int")
+def _linkable(classes: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """doc_id of the classes that some other set may link with: p % of a set's tokens at least are in the other one."""
+    alone = 100 * F.coalesce("own", F.lit(0)) > (100 - percent) * F.col("n")
+    return classes.join(own, "one", "left").where(~alone).select(F.col("node").alias("doc_id")).distinct()
 
 
-_COMPARED = "lead long, id long, n_lead long, n long, apart array<long>"
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is in `ids`; a filter of fixed size keeps most others out of the shuffle."""
+    asked = maybe_listed(F.col("doc_id"), blocked_bloom(ids, "doc_id", FILTER_BLOCKS), FILTER_BLOCKS)
+    return docs.where(asked).join(ids, "doc_id", "left_semi")
 
 
-def _compare(rows: DataFrame, width: int) -> DataFrame:
-    """Compare the sets of a run of rows with the leader that opens it; one leader is held at a time."""
-    wanted = to_arrow(_COMPARED)
+def _index_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    def run(batch: pa.RecordBatch):
+        words, keys, common = word_hashes(), [], []
+        for raw in raw_texts(batch.column("text")):
+            for values, value in zip((keys, common), block_keys(shingle_hashes(raw, width, words), percent), strict=True):
+                values.append(value)
+        return {"doc_id": batch.column("doc_id"), "keys": lists(keys), "common": common}
+
+    return map_batches(docs, run, "doc_id long, keys array<long>, common int").where("size(keys) > 0")
+
+
+_COMPARED = "lead long, id long, n_lead long, n long, apart array<long>, link long"
+
+
+def _reached(ids: np.ndarray, sizes: np.ndarray, apart: list[np.ndarray], percent: int, width: int) -> np.ndarray:
+    """Smallest id that links among these sets reach from each of them, by their differences to one common set; `width` tokens make a table."""
+    flat, owner = np.concatenate(apart), np.repeat(np.arange(len(ids)), [len(x) for x in apart])
+    _, token, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column, held = np.cumsum(shared) - 1, shared[token]
+    rows, columns = owner[held], column[token[held]]
+    by_column = np.argsort(columns, kind="stable")
+    rows, columns = rows[by_column], columns[by_column]
+    both = np.zeros((len(ids), len(ids)))
+    for first in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(columns, (first, first + width))
+        part = np.zeros((len(ids), width), np.float32)
+        part[rows[a:b], columns[a:b] - first] = 1
+        both += part @ part.T
+    far = np.array([len(x) for x in apart])
+    linked = (100 + percent) * (far[:, None] + far - 2 * both) <= (100 - percent) * (sizes[:, None] + sizes)
+    np.fill_diagonal(linked, True)
+    while True:
+        near = np.where(linked, ids, np.iinfo(np.int64).max).min(axis=1)
+        if np.array_equal(near, ids):
+            return ids
+        ids = near
+
+
+def _compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Compare the sets of a run of rows with the leader that opens it.
+
+    The sets of a leader that has one run are linked with each other at once:
+    `link` is the smallest id their links reach. Of other leaders, and where the
+    differences of a run are too many to hold, each set's difference is returned.
+    """
+    wanted, most, columns_at_once = to_arrow(_COMPARED), MOST_HELD, COLUMNS
 
     def run(batches):
-        words, lead, base = word_hashes(), None, _EMPTY
+        words, lead, base, whole, held = word_hashes(), None, _EMPTY, False, 0
+        ids, sizes, apart = [], [], []
+
+        def end():
+            count = len(ids)
+            if whole and held <= most:
+                reached = _reached(np.array([lead, *ids]), np.array([len(base), *sizes]), [_EMPTY, *apart], percent, columns_at_once)
+                found = [pa.nulls(count, wanted[4].type), pa.array(reached[1:], pa.int64())]
+            else:
+                found = [lists(apart).cast(wanted[4].type), pa.nulls(count, pa.int64())]
+            known = [pa.array(x, pa.int64()) for x in ([lead] * count, ids, [len(base)] * count, sizes)]
+            return pa.RecordBatch.from_arrays(known + found, schema=wanted)
+
         for batch in batches:
-            leads, ids, sizes, n, apart = [], [], [], [], []
-            columns = (batch.column("lead").to_pylist(), batch.column("role").to_pylist(),
-                       batch.column("doc_id").to_pylist(), raw_texts(batch.column("text")))
-            for own, role, doc, raw in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("lead", "role", "doc_id", "chunks")]
+            for own, role, doc, chunks, raw in zip(*columns, raw_texts(batch.column("text")), strict=True):
                 tokens = shingle_hashes(raw, width, words)
+                if not len(tokens):
+                    continue
+                if ids and (role == 0 or held > most):
+                    yield end()
+                    # What follows of a run that was too large to hold is not linked at once either.
+                    whole = False
+                    ids, sizes, apart, held = [], [], [], 0
                 if role == 0:
-                    lead, base = own, tokens
+                    lead, base, whole = own, tokens, chunks == 1
                 elif own == lead:
-                    leads.append(own)
                     ids.append(doc)
-                    sizes.append(len(base))
-                    n.append(len(tokens))
+                    sizes.append(len(tokens))
                     apart.append(np.setxor1d(base, tokens, assume_unique=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (leads, ids, sizes, n)] + [lists(apart).cast(wanted[4].type)], schema=wanted)
+                    held += len(apart[-1])
+        if ids:
+            yield end()
 
     return rows.mapInArrow(run, _COMPARED)
 
@@ -199,8 +287,8 @@ def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sized = pairs.join(
         pairs.groupBy("lead").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "lead")
     members = sized.select(
-        F.col("id").alias("doc_id"), "lead", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), F.lit(1).alias("role"))
-    heads = members.select(F.col("lead").alias("doc_id"), "lead", "chunk", F.lit(0).alias("role")).distinct()
+        F.col("id").alias("doc_id"), "lead", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"), F.lit(1).alias("role"), "chunks")
+    heads = members.select(F.col("lead").alias("doc_id"), "lead", "chunk", F.lit(0).alias("role"), "chunks").distinct()
     needed = write_table(members.unionByName(heads), "needed")
     # A filter of fixed size keeps most other texts out of the shuffle.
     asked = maybe_listed(F.col("doc_id"), blocked_bloom(needed.select("doc_id").distinct(), "doc_id", FILTER_BLOCKS), FILTER_BLOCKS)
@@ -296,15 +384,6 @@ def _as_edges(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
 
 
-def _edges(chosen: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Components of the links between leaders and their sets, and the links among the sets of a leader that join more of them."""
-    compared = write_table(_compare(_with_texts(chosen, texts), width), "compared")
-    linked = compared.where(
-        f"{100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    labels = components(linked)
-    return labels, write_table(_derived_links(compared, labels, percent), "derived")
-
-
 def jaccard_components(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slices: int = 1,
 ) -> DataFrame:
@@ -316,37 +395,42 @@ def jaccard_components(
     component_id is the smallest id that links reach. An empty or null text has
     no shingles and no links. Rows that repeat an id count as one document; a
     row with a null id keeps a null component. Other columns are ignored.
-    `slices` bounds the disk: so many parts of the compared sets are stored one
-    after the other.
+    `slices` bounds the disk: so many parts of the sets under leaders with many
+    are answered one after the other.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     used = "n > 0 and doc_id is not null"
     with scratch(docs.sparkSession):
-        # The keys of all sets are by far the largest table; it goes once the leaders are known.
-        keyed = write_table(_index_rows(texts, width, percent), "index")
-        index = write_table(keyed.drop("keys"), "sets", keep=True)
-        leaders = write_table(_leaders(keyed.where(used)), "leaders", keep=True)
-    full = index.where(used)
-    classes = full.groupBy("one", "two", "n").agg(F.min("doc_id").alias("node"))
+        # Tokens, and then the keys of the sets that remain, are the largest tables; each goes once it has been read.
+        counted = write_table(_set_rows(texts, width, percent), "counted")
+        sets = write_table(counted.drop("some"), "sets", keep=True)
+        own = write_table(_own_tokens(counted.where(used)), "own", keep=True)
+    full = sets.where(used)
+    classes = write_table(full.groupBy("one", "two", "n").agg(F.min("doc_id").alias("node")), "classes")
+    linkable = write_table(_only(texts, write_table(_linkable(classes, own, percent), "linkable")), "texts")
+    with scratch(docs.sparkSession):
+        keyed = write_table(_index_rows(linkable, width, percent), "index")
+        index = write_table(keyed.drop("keys"), "common", keep=True)
+        leaders = write_table(_leaders(keyed), "leaders", keep=True)
     firsts = full.select("one", "two", "n", "doc_id").join(classes, ["one", "two", "n"])
     copies = firsts.where("doc_id <> node").select(F.col("doc_id").alias("id")).distinct()
     pairs = leaders.join(copies, "id", "left_anti")
-    chosen = write_table(_worth_comparing(pairs, full).select("lead", "id"), "chosen")
-    linkable = texts.where("doc_id is not null")
-    if slices == 1 or chosen.count() < FEW_PAIRS:
-        labels, derived = _edges(chosen, linkable, width, percent)
-        if not derived.isEmpty():
-            labels = components(_as_edges(labels).union(derived))
-    else:
-        # A leader's sets are compared and answered together; a slice of the leaders at a time lies on disk.
-        own, parts = F.pmod(F.xxhash64("lead"), F.lit(slices)), []
-        for i in range(slices):
-            with scratch(docs.sparkSession):
-                labels, derived = _edges(chosen.where(own == i), linkable, width, percent)
-                parts.append(write_table(_as_edges(labels).union(derived), "edges", keep=True))
-        labels = components(reduce(DataFrame.union, parts))
+    chosen = write_table(_worth_comparing(pairs, index).select("lead", "id"), "chosen")
+    compared = write_table(_compare(_with_texts(chosen, linkable), width, percent), "compared")
+    linked = f"link is not null or {100 + percent} * size(apart) <= {100 - percent} * (n + n_lead)"
+    labels = components(compared.where(linked).select(F.coalesce("link", "lead").alias("a"), F.col("id").alias("b")))
+    # A leader's sets are answered together; a slice of the leaders that are still open lies on disk at a time.
+    wide = compared.where("apart is not null").drop("link")
+    parts, own = slices if slices > 1 and wide.count() >= FEW_PAIRS else 1, F.pmod(F.xxhash64("lead"), F.lit(slices))
+    derived = []
+    for i in range(0 if wide.isEmpty() else parts):
+        with scratch(docs.sparkSession):
+            some = wide.where(own == i) if parts > 1 else wide
+            derived.append(write_table(_derived_links(some, labels, percent), "derived", keep=True))
+    if derived:
+        labels = components(reduce(DataFrame.union, [_as_edges(labels), *derived]))
     groups = classes.join(labels, "node", "left").select("one", "two", "n", F.coalesce("comp", "node").alias("component_id"))
-    rows = index.select("doc_id", "n", "one", "two").join(groups, ["one", "two", "n"], "left")
+    rows = sets.join(groups, ["one", "two", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
